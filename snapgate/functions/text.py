@@ -11,7 +11,6 @@ NA_TOKENS = [
     "n/a", "nan", "null",
 ]
 
-INTEGER_TEXT = r"^\s*[+-]?[0-9]+\s*$"
 NUMBER_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
@@ -41,12 +40,10 @@ def nan_to_null(df: DataFrame, name: str) -> Column:
 
 def try_integer(col: Column, dtype: T.DataType) -> Column:
     """Value as bigint, truncated toward zero; NULL when it is not a finite number."""
-    if isinstance(dtype, T.StringType):
-        return F.coalesce(
-            F.when(col.rlike(INTEGER_TEXT), F.trim(col).try_cast("bigint")),
-            F.when(col.rlike(NUMBER_TEXT), F.trim(col).try_cast("double").try_cast("bigint")),
-        )
-    return col.try_cast("bigint")
+    if not isinstance(dtype, T.StringType):
+        return col.try_cast("bigint")
+    number = F.when(col.rlike(NUMBER_TEXT), col.try_cast("double").try_cast("bigint"))
+    return F.coalesce(col.try_cast("bigint"), number)
 
 
 def try_date(col: Column, dtype: T.DataType) -> Column:
@@ -62,10 +59,19 @@ def try_typed(col: Column, dtype: T.DataType, contract_type: str) -> Column:
     return col.cast("string")
 
 
-def strict(typed: Column, source: Column, what: str) -> Column:
-    """``typed``, failing the job where a present source value did not convert."""
-    problem = F.concat(F.lit(f"{what}: cannot convert "), source.cast("string"))
-    return F.when(source.isNotNull() & typed.isNull(), F.raise_error(problem)).otherwise(typed)
+def not_convertible(col: Column, dtype: T.DataType, contract_type: str) -> Column:
+    """A present value that :func:`try_typed` turns into NULL."""
+    return col.isNotNull() & try_typed(col, dtype, contract_type).isNull()
+
+
+def strict(df: DataFrame, name: str, contract_type: str, target: T.DataType) -> Column:
+    """The column in its contract type; the job fails on a value that does not convert."""
+    col, dtype = F.col(name), df.schema[name].dataType
+    if dtype == target:
+        return col
+    typed = try_typed(col, dtype, contract_type)
+    problem = F.concat(F.lit(f"{name}: cannot convert "), col.cast("string"))
+    return F.when(col.isNull(), F.lit(None)).otherwise(F.coalesce(typed, F.raise_error(problem)))
 
 
 def snapshot_of_path(path: Column) -> Column:

@@ -7,8 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from snapgate.config import Contract
-from snapgate.functions.text import is_missing, strict, try_typed
+from snapgate.config import CONTRACT_TYPES, Contract
+from snapgate.functions.text import is_missing, not_convertible, strict
 
 
 def any_missing(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -16,8 +16,10 @@ def any_missing(df: DataFrame, columns: Sequence[str]) -> Column:
 
 
 def drop_null_critical(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop rows with NULL or NaN in any of ``columns``."""
-    return df.na.drop(how="any", subset=list(columns)) if columns else df
+    """Drop rows with NULL or NaN in any of ``columns``; the conditions reach the scan."""
+    for c in columns:
+        df = df.where(~is_missing(df, c))
+    return df
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -39,28 +41,31 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 def enforce_types(df: DataFrame, contract: Contract) -> DataFrame:
     """Cast integer and date columns; a present value that does not convert fails the job."""
     return df.withColumns({
-        c.name: strict(try_typed(F.col(c.name), df.schema[c.name].dataType, c.type),
-                       F.col(c.name), c.name)
+        c.name: strict(df, c.name, c.type, CONTRACT_TYPES[c.type])
         for c in contract.columns if c.type != "string" and c.name in df.columns
     })
 
 
-def reject_reasons(df: DataFrame, contract: Contract) -> DataFrame:
-    """Add ``_rejects``: the contract columns whose present value does not convert."""
-    reasons = []
-    for c in contract.columns:
-        if c.type == "string" or c.name not in df.columns:
-            continue
-        col = F.col(c.name)
-        typed = try_typed(col, df.schema[c.name].dataType, c.type)
-        reasons.append(F.when(col.isNotNull() & typed.isNull(), F.lit(c.name)))
-    found = F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
-    return df.withColumn("_rejects", found)
+def _bad_values(df: DataFrame, contract: Contract) -> dict[str, Column]:
+    return {c.name: not_convertible(F.col(c.name), df.schema[c.name].dataType, c.type)
+            for c in contract.columns
+            if c.type != "string" and c.name in df.columns
+            and df.schema[c.name].dataType != CONTRACT_TYPES[c.type]}
 
 
 def cast_rejects(df: DataFrame, contract: Contract) -> DataFrame:
-    """The rows :func:`enforce_types` would fail on, with the offending columns."""
-    return reject_reasons(df, contract).where(F.size("_rejects") > 0)
+    """The rows :func:`enforce_types` would fail on; ``_rejects`` names the columns."""
+    bad = _bad_values(df, contract)
+    names = [F.when(cond, F.array(F.lit(name))).otherwise(F.array()) for name, cond in bad.items()]
+    reasons = F.concat(*names) if names else F.array().cast("array<string>")
+    return df.where(reduce(lambda a, b: a | b, bad.values(), F.lit(False))).withColumn("_rejects", reasons)
+
+
+def drop_rejects(df: DataFrame, contract: Contract) -> DataFrame:
+    """The other rows."""
+    for cond in _bad_values(df, contract).values():
+        df = df.where(~cond)
+    return df
 
 
 def clean(df: DataFrame, contract: Contract, keys: Sequence[str],
@@ -76,7 +81,7 @@ def clean(df: DataFrame, contract: Contract, keys: Sequence[str],
     kept = drop_null_critical(df, contract.critical)
     kept = keep_first(kept, keys, [F.col(c).asc() for c in order])
     if on_bad_cast == "drop":
-        kept = reject_reasons(kept, contract).where(F.size("_rejects") == 0).drop("_rejects")
+        kept = drop_rejects(kept, contract)
     return enforce_types(kept, contract)
 
 

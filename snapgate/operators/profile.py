@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from snapgate.functions.text import nan_to_null
-from snapgate.operators.quantiles import SMALL_GROUP_ROWS, largest_group, select_quantiles
+from snapgate.operators.quantiles import (SMALL_GROUP_ROWS, interpolate, largest_group,
+                                          select_quantiles, sorted_values)
 
 # The numeric statistics and their order in a profile record.
 NUMERIC_METRICS = ["count", "mean", "median", "std", "min", "max", "p25", "p50", "p75"]
@@ -26,7 +27,7 @@ def profile_numeric(df: DataFrame, columns: Sequence[str], by: str = "snapshot_d
                     small_group_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
     """``(by, column, count, mean, median, std, min, max, p25, p50, p75)``, all exact.
 
-    Every column is aggregated in one pass. Quantiles come from ``percentile`` while the
+    Every column is aggregated in one pass. Quantiles come from the sorted values while the
     largest snapshot is counted at or below ``small_group_rows``, else from narrowing rounds
     that never collect a snapshot in one task. NaN counts as missing. Standard deviation is
     that of the population, 0.0 below two values.
@@ -40,15 +41,14 @@ def profile_numeric(df: DataFrame, columns: Sequence[str], by: str = "snapshot_d
                  F.coalesce(F.stddev_pop(c), F.lit(0.0)).alias(f"std_{c}"),
                  F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
         if small:
-            aggs.append(F.percentile(c, list(QUANTILES.values())).alias(f"q_{c}"))
+            aggs.append(sorted_values(c).alias(f"q_{c}"))
     wide = data.groupBy(by).agg(*aggs)
     fields = ["count", "mean", "std", "min", "max"] + (["q"] if small else [])
     rows = F.array(*[F.struct(F.lit(c).alias("column"),
                               *[F.col(f"{f}_{c}").alias(f) for f in fields]) for c in columns])
     out = wide.select(by, F.inline(rows))
     if small:
-        for i, name in enumerate(QUANTILES):
-            out = out.withColumn(name, F.col("q")[i])
+        out = out.withColumns({name: interpolate(F.col("q"), p) for name, p in QUANTILES.items()})
     else:
         found = select_quantiles(data, [by], columns, list(QUANTILES.values()))
         found = found.groupBy(by, "column").agg(*[

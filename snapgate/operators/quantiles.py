@@ -1,30 +1,42 @@
 """Exact linear-interpolated quantiles per group, safe for groups of any size.
 
-``percentile`` keeps every distinct value of a group in one buffer. That is right for groups
-of a checked size and impossible for a snapshot that holds a third of a very large table.
-For those, :func:`select_quantiles` finds the wanted order statistics by narrowing: count the
-group's values in buckets, keep the buckets that hold a wanted rank, split those again. Each
-round is one partially aggregated count, so a task never holds more than the buckets.
+Groups that are counted small are sorted whole. A snapshot that holds a third of a very large
+table cannot be: there :func:`select_quantiles` finds the wanted order statistics by
+narrowing. Count the group's values in buckets, keep the buckets that hold a wanted rank, and
+split those again until few enough values are left to sort. Each round is one partially
+aggregated count, so a task never holds more than the buckets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from snapgate.sinks.scratch import cut_lineage
 
-SMALL_GROUP_ROWS = 1_000_000
-_LOG_STEPS = 64          # buckets per factor of e in the first round
-_LOG_OFFSET = 60_000     # above 64 * |ln(x)| for every finite double
-_SPLIT = 4096            # equal-width parts per bucket in later rounds
+SMALL_GROUP_ROWS = 250_000   # values one task may sort per group and column
+_LOG_STEPS = 64              # buckets per factor of e in the first round
+_LOG_OFFSET = 60_000         # above 64 * |ln(x)| for every finite double
+_SPLIT = 4096                # equal-width parts per bucket in later rounds
 
 
 def largest_group(df: DataFrame, by: Sequence[str]) -> int:
     return df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
 
 
+def sorted_values(column: str) -> Column:
+    """Aggregate: a group's values in order. Only for groups counted small."""
+    return F.sort_array(F.collect_list(column))
+
+
+def interpolate(ordered: Column, prob: float) -> Column:
+    """The quantile of a sorted array between its two nearest entries; NULL when empty."""
+    at = F.lit(prob) * (F.size(ordered) - 1)
+    low, high = (F.get(ordered, edge(at).cast("int")) for edge in (F.floor, F.ceil))
+    return F.when(low == high, low).otherwise(low + (high - low) * (at - F.floor(at)))
+
+
 def long_values(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """``(by, column, value)`` without NULL and NaN."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
@@ -65,12 +77,13 @@ def _pick(hist: DataFrame, keys: list[str], order: str, targets: DataFrame | Non
 
 
 def select_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
-                     probs: Sequence[float]) -> DataFrame:
+                     probs: Sequence[float], sort_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
     """``(by, column, prob, value)`` exact for groups of any size and any value skew.
 
     Round one uses buckets of equal relative width, which needs no knowledge of the data;
     later rounds split the remaining range ``[lo, hi]`` of a bucket into equal parts. A
-    bucket is done when its smallest and largest value agree, so repeated values end at once.
+    bucket is done when its smallest and largest value agree, so repeated values end at once,
+    or when it is counted to hold at most ``sort_rows`` values, which are then sorted.
     """
     by = list(by)
     values = long_values(df, by, columns)
@@ -80,22 +93,44 @@ def select_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
     targets = cut_lineage(_pick(hist, keys, "_b", None, probs))
     done = targets.where("lo = hi")
     todo = targets.where("lo < hi")
-    while not todo.isEmpty():
-        ranges = todo.select(*keys, F.col("lo").alias("_lo"), F.col("hi").alias("_hi")).distinct()
-        inside = (values.join(ranges, keys)  # broadcast while measured small
-                  .where("value between _lo and _hi"))
+    largest = _largest(todo)
+    while largest:
+        wanted = todo.withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
+        inside = _inside(values, wanted, keys)
+        ranges = [*keys, "_lo", "_hi"]
+        if largest <= sort_rows:
+            ordered = inside.groupBy(*ranges).agg(sorted_values("value").alias("_v"))
+            value = F.get("_v", F.col("rank").cast("int"))
+            found = wanted.drop("n").join(ordered, ranges).select(
+                *keys, "prob", "side", "frac", "rank", value.alias("lo"), value.alias("hi"),
+                F.lit(1).cast("bigint").alias("n"))
+            done = done.unionByName(found)
+            break
         # halving before subtracting keeps the width finite for the widest buckets
         part = F.floor((F.col("value") / 2 - F.col("_lo") / 2)
                        / (F.col("_hi") / 2 - F.col("_lo") / 2) * _SPLIT)
-        hist = (inside.groupBy(*keys, "_lo", "_hi", F.least(part, F.lit(_SPLIT - 1)).alias("_b"))
+        hist = (inside.groupBy(*ranges, F.least(part, F.lit(_SPLIT - 1)).alias("_b"))
                 .agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")))
-        wanted = todo.withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
-        targets = cut_lineage(_pick(hist, [*keys, "_lo", "_hi"], "_b", wanted, probs))
+        targets = cut_lineage(_pick(hist, ranges, "_b", wanted, probs))
         done = done.unionByName(targets.where("lo = hi"))
         todo = targets.where("lo < hi")
+        largest = _largest(todo)
     low, high = (F.max(F.when(F.col("side") == s, F.col("lo"))) for s in ("lo", "hi"))
     return (done.groupBy(*keys, "prob").agg(low.alias("_l"), high.alias("_h"),
                                             F.max("frac").alias("_f"))
             .select(*keys, "prob",
                     F.when(F.col("_l") == F.col("_h"), F.col("_l"))
                     .otherwise(F.col("_l") + (F.col("_h") - F.col("_l")) * F.col("_f")).alias("value")))
+
+
+def _largest(todo: DataFrame) -> int:
+    return todo.agg(F.max("n")).first()[0] or 0
+
+
+def _inside(values: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """The values in a wanted range; ranges of a group never overlap.
+
+    ``wanted`` is a stored table, so it is broadcast when its measured size allows.
+    """
+    ranges = wanted.select(*keys, "_lo", "_hi").distinct()
+    return values.join(ranges, keys).where("value between _lo and _hi")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapgate.config import CONTRACT_TYPES, Contract
-from snapgate.functions.text import INTEGER_TEXT, is_missing, try_date
+from snapgate.functions.text import is_missing, try_date
 
 
 def actual_columns(spark: SparkSession, df: DataFrame, dataset: str) -> DataFrame:
@@ -43,7 +43,7 @@ def _not_castable(df: DataFrame, name: str, contract_type: str):
     if contract_type == "string":
         return F.lit(False) if isinstance(dtype, T.StringType) else col.isNotNull()
     if contract_type == "integer" and isinstance(dtype, T.StringType):
-        ok = col.rlike(INTEGER_TEXT) & F.trim(col).try_cast("bigint").isNotNull()
+        ok = col.try_cast("bigint").isNotNull()
     elif contract_type == "integer":
         return F.lit(False) if isinstance(dtype, T.IntegralType) else col.isNotNull()
     elif isinstance(dtype, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)):

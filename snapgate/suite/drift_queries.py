@@ -60,7 +60,8 @@ def quantile_selection(spark, sf):
     """Exact deciles of prices per line status by narrowing rounds."""
     li = table(spark, sf, "lineitem")
     found = select_quantiles(li, ["l_linestatus", "l_returnflag"], ["l_extendedprice"],
-                             [i / 10 for i in range(11)])
+                             [i / 10 for i in range(11)],
+                             sort_rows=1000)
     return rounded(found, ["value"])
 
 

@@ -14,6 +14,7 @@ def session():
              .config("spark.driver.memory", "8g")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark

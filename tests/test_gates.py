@@ -151,14 +151,14 @@ def test_profile_edge_cases(spark):
         assert [got["d2"][m] for m in pf.NUMERIC_METRICS] == [1, 5.0, 5.0, 0.0, 5.0, 5.0, 5.0, 5.0, 5.0]
         assert [got["d3"][m] for m in pf.NUMERIC_METRICS] == [0, None, None, 0.0] + [None] * 5
     cat = {r["snapshot_date"]: r for r in pf.profile_categorical(df, ["g"]).collect()}
-    assert (cat["d1"]["count"], cat["d1"]["cardinality"], list(cat["d1"]["top_5_values"].items())) == (
-        3, 2, [("b", 2), ("a", 1)])
-    assert (cat["d2"]["count"], cat["d2"]["cardinality"], cat["d2"]["top_5_values"]) == (0, 0, {})
+    assert tuple(cat["d1"])[2:] == (3, 2, {"b": 2, "a": 1})
+    assert tuple(cat["d2"])[2:] == (0, 0, {})
     assert rows(pf.missing_profile_columns(df, ["x", "absent"]), "snapshot_date", "column") == [
         ("d1", "absent"), ("d2", "absent"), ("d3", "absent")]
 
 
-def test_quantiles_by_narrowing_on_skewed_values(spark):
+@pytest.mark.parametrize("sort_rows", [0, 50, 100_000])
+def test_quantiles_by_narrowing_on_skewed_values(spark, sort_rows):
     """One value holds a third of the rows, one is huge, some are negative, zero or infinite."""
     import numpy as np
     rng = np.random.default_rng(7)
@@ -167,12 +167,12 @@ def test_quantiles_by_narrowing_on_skewed_values(spark):
             "near": 1.7e9 + rng.random(5000) * 1e-2, "neg": -rng.lognormal(3, 2, 2001), "one": np.array([3.5])}
     df = spark.createDataFrame([(k, float(v)) for k, vs in data.items() for v in vs], "k string, x double")
     probs = [0.0, 0.1, 0.25, 1 / 3, 0.5, 0.75, 0.999, 1.0]
-    got = {(r["k"], r["prob"]): r["value"] for r in select_quantiles(df, ["k"], ["x"], probs).collect()}
+    got = {(r["k"], r["prob"]): r["value"] for r in select_quantiles(df, ["k"], ["x"], probs, sort_rows).collect()}
     for k, vs in data.items():
         for p in probs:
             assert got[k, p] == pytest.approx(np.quantile(vs, p), rel=1e-9, abs=1e-12), (k, p)
     inf = spark.createDataFrame([("i", x) for x in (float("-inf"), 1.0, 2.0, float("inf"))], "k string, x double")
-    got = {r["prob"]: r["value"] for r in select_quantiles(inf, ["k"], ["x"], [0.0, 1 / 3, 1.0]).collect()}
+    got = {r["prob"]: r["value"] for r in select_quantiles(inf, ["k"], ["x"], [0.0, 1 / 3, 1.0], sort_rows).collect()}
     assert got[0.0] == float("-inf") and got[1.0] == float("inf") and got[1 / 3] == pytest.approx(1.0)
 
 
