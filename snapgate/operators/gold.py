@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from snapgate.operators.cleaning import keep_first, keep_last
 
+MAX_PARTITION_VALUES = 2000
+
 
 def pending_snapshots(snapshots: DataFrame, ledger: DataFrame, by: str = "snapshot_date") -> DataFrame:
     """Snapshots the ledger does not list as processed."""
@@ -28,8 +30,16 @@ def last_wins(source: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 
 
 def touched(target: DataFrame, source: DataFrame, by: str) -> DataFrame:
-    """Target rows in the partitions the source has rows for; prunes partitions at run time."""
-    return target.join(source.select(by).distinct(), by, "left_semi")
+    """Target rows in the partitions the source has rows for.
+
+    The partition values (a handful per load) are fetched and become a pruning filter; beyond
+    ``MAX_PARTITION_VALUES`` of them the restriction is a join.
+    """
+    distinct = source.select(by).distinct()
+    values = [r[0] for r in distinct.take(MAX_PARTITION_VALUES + 1)]
+    if len(values) > MAX_PARTITION_VALUES:
+        return target.join(distinct, by, "left_semi")
+    return target.where(F.col(by).isin(values))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],

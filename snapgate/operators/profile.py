@@ -58,15 +58,20 @@ def profile_numeric(df: DataFrame, columns: Sequence[str], by: str = "snapshot_d
     return out.withColumn("median", F.col("p50")).select(by, "column", *NUMERIC_METRICS)
 
 
-def value_counts(df: DataFrame, columns: Sequence[str], by: str = "snapshot_date") -> DataFrame:
-    """``(by, column, value, n)`` of non-missing values, as text; pre-aggregated per task."""
+def _counts(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
+    """Counts of all values, missing ones as a NULL value; pre-aggregated per task."""
     columns = [c for c in columns if c in df.columns]
     pairs = F.array(*[F.struct(F.lit(c).alias("column"),
                                nan_to_null(df, c).cast("string").alias("value")) for c in columns])
-    return (df.select(by, F.inline(pairs)).where("value is not null")
+    return (df.select(by, F.inline(pairs))
             .groupBy(by, "column", "value").agg(F.count("*").alias("n")))
 
 
+def value_counts(df: DataFrame, columns: Sequence[str], by: str = "snapshot_date") -> DataFrame:
+    """``(by, column, value, n)`` of non-missing values, as text."""
+    return _counts(df, columns, by).where("value is not null")
+
+
 def top_values(counts: DataFrame, k: int = 5, by: str = "snapshot_date") -> DataFrame:
     """The ``k`` most frequent values with their rank; equal counts rank by value.
 
@@ -82,18 +87,15 @@ def profile_categorical(df: DataFrame, columns: Sequence[str], by: str = "snapsh
 
     A column without any value in a snapshot still has a row, with count 0.
     """
-    columns = [c for c in columns if c in df.columns]
-    counts = value_counts(df, columns, by)
+    counts = _counts(df, columns, by)
     totals = counts.groupBy(by, "column").agg(
-        F.sum("n").alias("count"), F.count("*").alias("cardinality"))
+        F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("count"),
+        F.count("value").alias("cardinality"))
     ranked = F.sort_array(F.collect_list(F.struct("rank", "value", "n")))  # k entries
     entries = F.transform(ranked, lambda r: F.struct(r["value"], r["n"]))
-    top = (top_values(counts, k, by).groupBy(by, "column")
+    top = (top_values(counts.where("value is not null"), k, by).groupBy(by, "column")
            .agg(F.map_from_entries(entries).alias("top_5_values")))
-    every = df.select(by).distinct().select(
-        by, F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
-    return (every.join(totals, [by, "column"], "left").join(top, [by, "column"], "left")
-            .select(by, "column", F.coalesce("count", F.lit(0)).alias("count"),
-                    F.coalesce("cardinality", F.lit(0)).alias("cardinality"),
-                    F.coalesce("top_5_values", F.create_map().cast("map<string,bigint>"))
-                    .alias("top_5_values")))
+    no_values = F.create_map().cast("map<string,bigint>")
+    return totals.join(top, [by, "column"], "left").select(
+        by, "column", "count", "cardinality",
+        F.coalesce("top_5_values", no_values).alias("top_5_values"))

@@ -81,12 +81,13 @@ def quality_status(metrics: DataFrame, limits: QualityLimits,
             .withColumn("reasons", F.concat("failures", "warnings")).drop("failures", "warnings"))
 
 
-def quality_record(metrics: DataFrame, limits: QualityLimits, by: str = "snapshot_date") -> DataFrame:
+def quality_record(metrics: DataFrame, limits: QualityLimits,
+                   rules: dict[str, Column] | None = None, by: str = "snapshot_date") -> DataFrame:
     """The metric record: counts, change and null percentages rounded to two places, status."""
     present = [c for c in limits.critical_columns if f"nulls_{c}" in metrics.columns]
     pairs = [F.struct(F.lit(c), two_places(_null_pct(c))) for c in present]
     nulls = F.map_from_entries(F.array(*pairs)) if pairs else F.create_map().cast("map<string,double>")
-    return quality_status(metrics, limits).select(
+    return quality_status(metrics, limits, rules).select(
         by, "row_count", nulls.alias("null_percentages"), "status",
         two_places(F.col("row_count_change_pct")).alias("row_count_change_pct"), "reasons")
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapgate.config import CONTRACT_TYPES, Contract
 from snapgate.functions.text import is_missing, try_date
+from snapgate.sources.snapshots import cover
 
 
 def actual_columns(spark: SparkSession, df: DataFrame, dataset: str) -> DataFrame:
@@ -80,11 +81,12 @@ def null_violations(df: DataFrame, contract: Contract, by: str = "snapshot_date"
 
 
 def scorecard(df: DataFrame, contract: Contract, by: str = "snapshot_date",
-              evolution_ok: bool = True) -> DataFrame:
+              evolution_ok: bool = True, snapshots: DataFrame | None = None) -> DataFrame:
     """Four ordered checks per snapshot: evolution, presence, types, nulls.
 
     ``checks_passed`` counts the leading passes and ``checks_failed`` is 1 when one fails,
     all from a single aggregate over the rows. ``evolution_ok`` is the contract gate's answer.
+    With ``snapshots`` those without rows have a scorecard too.
     """
     present = [c for c in contract.columns if c.name in df.columns]
     presence_ok = F.lit(len(present) == len(contract.columns))
@@ -94,6 +96,8 @@ def scorecard(df: DataFrame, contract: Contract, by: str = "snapshot_date",
         F.count("*").alias("row_count"),
         sum(bad_types, F.lit(0)).alias("uncastable_values"),
         sum(bad_nulls, F.lit(0)).alias("null_values"))
+    if snapshots is not None:
+        agg = cover(snapshots, agg, ["row_count", "uncastable_values", "null_values"], by)
     flags = [F.lit(evolution_ok), presence_ok, F.col("uncastable_values") == 0,
              F.col("null_values") == 0]
     passed = F.lit(4)

@@ -9,17 +9,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from snapgate.config import DatasetConfig
 from snapgate.functions.measures import two_places
 from snapgate.operators import (alerts as al, baseline as bl, cleaning, contracts, drift, gold,
                                 profile as pf, quality as dq, schema_gate as sg)
-from snapgate.sinks.layers import append_metrics, read_gold, write_gold, write_layer
+from snapgate.sinks.layers import (append_metrics, read_gold, write_empty, write_gold,
+                                   write_layer)
 from snapgate.sinks.scratch import cut_lineage
 from snapgate.sources import metrics as mt
 from snapgate.sources.raw import ORDER_COLUMNS, SNAPSHOT, read_layer, read_raw, stamp
-from snapgate.sources.snapshots import latest_snapshot, missing_snapshots
+from snapgate.sources.snapshots import (cover, latest_snapshot, list_snapshots, missing_snapshots,
+                                        require_snapshots)
 
 PROCESSED_SCHEMA = "snapshot_date string, processed_at timestamp_ntz"
 
@@ -44,21 +46,15 @@ def _only(df: DataFrame, snapshots: Sequence[str]) -> DataFrame:
     return df.where(F.col(SNAPSHOT).isin(list(snapshots)))
 
 
-def _require(spark: SparkSession, df: DataFrame, snapshots: Sequence[str], what: str) -> None:
-    wanted = spark.createDataFrame([(s,) for s in snapshots], f"{SNAPSHOT} string")
-    absent = [r[0] for r in missing_snapshots(wanted, df).orderBy(SNAPSHOT).take(10)]
-    if absent:
-        raise FileNotFoundError(f"missing {what} data for snapshots {absent}")
+def _layer(spark: SparkSession, run: Run, name: str, cfg: DatasetConfig,
+           snapshots: Sequence[str]) -> DataFrame:
+    """The given snapshots of a layer; fails when one has no files."""
+    require_snapshots(spark, run.path(name), snapshots, name)
+    return _only(read_layer(spark, run.path(name), cfg.layer_format), snapshots)
 
 
-def _layer(spark: SparkSession, run: Run, name: str, cfg: DatasetConfig) -> DataFrame:
-    from pyspark.errors import AnalysisException
-    try:
-        return read_layer(spark, run.path(name), cfg.layer_format)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            raise FileNotFoundError(f"no {name} data at {run.path(name)}") from None
-        raise
+def _wanted(spark: SparkSession, snapshots: Sequence[str]) -> DataFrame:
+    return spark.createDataFrame([(s,) for s in snapshots], f"{SNAPSHOT} string")
 
 
 def _emit(alerts: DataFrame, run: Run) -> None:
@@ -74,28 +70,36 @@ def _stop_on(bad: DataFrame, message: str) -> None:
 def ingest(spark: SparkSession, cfg: DatasetConfig, run: Run,
            snapshots: Sequence[str] | None = None) -> list[str]:
     """Raw to Bronze; without ``snapshots`` the newest raw one."""
-    raw = read_raw(spark, run.path("raw"), cfg.raw_format)
     if not snapshots:
-        newest = latest_snapshot(raw)
+        newest = latest_snapshot(list_snapshots(spark, run.path("raw")))
         if newest is None:
             raise RuntimeError("no snapshots available for ingestion")
         snapshots = [newest]
-    _require(spark, raw, snapshots, "raw")
-    write_layer(stamp(_only(raw, snapshots), run.run_ts), run.path("bronze"), cfg.layer_format)
+    require_snapshots(spark, run.path("raw"), snapshots, "raw")
+    raw = _only(read_raw(spark, run.path("raw"), cfg.raw_format), snapshots)
+    write_layer(stamp(raw, run.run_ts), run.path("bronze"), cfg.layer_format)
     return list(snapshots)
 
 
 def validate_and_clean(spark: SparkSession, cfg: DatasetConfig, run: Run,
-                       snapshots: Sequence[str], on_bad_cast: str = "fail") -> None:
-    """Bronze to Silver; with ``on_bad_cast='drop'`` refused rows go to ``rejects``."""
-    bronze = _layer(spark, run, "bronze", cfg)
-    _require(spark, bronze, snapshots, "bronze")
-    rows = _only(bronze, snapshots).withColumns({
-        "_src_block": F.col("_src_block").cast("bigint"), "_src_pos": F.col("_src_pos").cast("bigint")})
+                       snapshots: Sequence[str], on_bad_cast: str = "fail") -> dict[str, int]:
+    """Bronze to Silver; with ``on_bad_cast='drop'`` refused rows go to ``rejects``.
+
+    Returns the Silver rows per snapshot, counted while they are written. A snapshot that
+    loses all its rows becomes an empty partition.
+    """
+    rows = _layer(spark, run, "bronze", cfg, snapshots).withColumns({
+        c: F.col(c).cast("bigint") for c in ("_src_block", "_src_pos")})
     silver = cleaning.clean(rows, cfg.contract, [SNAPSHOT, *cfg.dedup_keys], ORDER_COLUMNS, on_bad_cast)
-    write_layer(silver, run.path("silver"), cfg.layer_format, rebalance=True)
+    written = Observation()
+    counted = silver.observe(written, *[F.count_if(F.col(SNAPSHOT) == s).alias(s) for s in snapshots])
+    write_layer(counted, run.path("silver"), cfg.layer_format, rebalance=True)
+    for s, n in written.get.items():
+        if n == 0:
+            write_empty(silver, run.path("silver"), s, cfg.layer_format)
     if on_bad_cast == "drop":
         write_layer(cleaning.cast_rejects(rows, cfg.contract), run.path("rejects"))
+    return written.get
 
 
 def registered_contract(spark: SparkSession, cfg: DatasetConfig, run: Run) -> DataFrame:
@@ -128,10 +132,9 @@ def enforce_schema(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
 
     if register_first:
         register()
-    silver = _layer(spark, run, "silver", cfg)
-    _require(spark, silver, snapshots, "silver")
-    cards = sg.scorecard(_only(silver, snapshots), contract,
-                         evolution_ok=decision["action"] != "abort")
+    silver = _layer(spark, run, "silver", cfg, snapshots)
+    cards = cut_lineage(sg.scorecard(silver, contract, evolution_ok=decision["action"] != "abort",
+                                     snapshots=_wanted(spark, snapshots)))
     metrics_path = run.path("metrics", "schema")
     append_metrics(cards.select(SNAPSHOT, "schema_version", "checks_passed", "checks_failed", "status"),
                    metrics_path, run.run_seq, run.run_ts)
@@ -150,33 +153,29 @@ def check_quality(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
     or the newest record of the history) or ``latest_record`` (the last record written,
     whatever its snapshot).
     """
-    silver = _layer(spark, run, "silver", cfg)
-    _require(spark, silver, snapshots, "silver")
+    silver = _layer(spark, run, "silver", cfg, snapshots)
     path = run.path("metrics", "quality")
     history = mt.read_metrics(spark, path, mt.QUALITY_METRIC)
-    now = dq.snapshot_metrics(_only(silver, snapshots), cfg.quality.critical_columns)
+    measured = dq.snapshot_metrics(silver, cfg.quality.critical_columns)
+    zeros = [c for c in measured.columns if c != SNAPSHOT]
+    now = cut_lineage(cover(_wanted(spark, snapshots), measured, zeros))
     if compare_with == "latest_record":
         dataset = F.lit(cfg.dataset).alias("dataset")
         past = history.select(dataset, SNAPSHOT, "run_seq", "row_count")
-        measured = dq.row_count_change_from_history(now.withColumn("dataset", dataset), past).drop("dataset")
+        compared = dq.row_count_change_from_history(now.withColumn("dataset", dataset), past).drop("dataset")
     else:
         past = (mt.latest_record(history.where(~F.col(SNAPSHOT).isin(list(snapshots))),
                                  [SNAPSHOT], ["run_seq"]).select(SNAPSHOT, "row_count"))
-        measured = _only(dq.row_count_change(now.unionByName(past, allowMissingColumns=True)), snapshots)
-    status = dq.quality_status(measured, cfg.quality, rules)
-    record = dq.quality_record(measured, cfg.quality).drop("reasons", "status").join(
-        status.select(SNAPSHOT, "status"), SNAPSHOT)
-    append_metrics(record.withColumn("format", F.lit(cfg.layer_format)), path, run.run_seq, run.run_ts)
-    _emit(al.quality_alerts(status, run.run_ts), run)
-    # judged from the stored record, so the rows are not scanned a third time
-    stored = mt.read_metrics(spark, path, mt.QUALITY_METRIC).where(F.col("run_seq") == run.run_seq)
-    _stop_on(_only(stored, snapshots).where("status = 'FAILED'"), "data quality checks failed")
+        compared = _only(dq.row_count_change(now.unionByName(past, allowMissingColumns=True)), snapshots)
+    judged = cut_lineage(dq.quality_record(compared, cfg.quality, rules))
+    append_metrics(judged.drop("reasons").withColumn("format", F.lit(cfg.layer_format)), path,
+                   run.run_seq, run.run_ts)
+    _emit(al.quality_alerts(judged, run.run_ts), run)
+    _stop_on(judged.where("status = 'FAILED'"), "data quality checks failed")
 
 
 def run_profiling(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequence[str]) -> None:
-    silver = _layer(spark, run, "silver", cfg)
-    _require(spark, silver, snapshots, "silver")
-    rows = _only(silver, snapshots)
+    rows = _layer(spark, run, "silver", cfg, snapshots)
     numeric = pf.profile_numeric(rows, cfg.numeric_columns)
     categorical = pf.profile_categorical(rows, cfg.categorical_columns)
     records = (numeric.select(SNAPSHOT, "column", F.lit("numeric").alias("type"),
@@ -202,8 +201,7 @@ def build_baseline(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
                    all_records: bool = False) -> None:
     """Baselines from the profiles of earlier snapshots; without any, nothing is written."""
     profiles = _profiles(spark, run, all_records)
-    wanted = spark.createDataFrame([(s,) for s in snapshots], f"{SNAPSHOT} string")
-    members = bl.window_members(profiles.select(SNAPSHOT).union(wanted), cfg.baseline_window)
+    members = bl.window_members(profiles.select(SNAPSHOT).union(_wanted(spark, snapshots)), cfg.baseline_window)
     history = bl.history_of(profiles, _only(members, snapshots))
     numeric = bl.numeric_baseline(history.where("type = 'numeric'"))
     categorical = bl.categorical_baseline(history.where("type = 'categorical'"))
@@ -229,12 +227,12 @@ def detect_drift(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: S
     baselines = drift.last_baseline(_only(
         mt.read_metrics(spark, run.path("metrics", "baseline"), mt.BASELINE_METRIC), snapshots)
     ).select(SNAPSHOT, "column", "type", "baseline.*")
-    records = drift.drift_records(
+    records = cut_lineage(drift.drift_records(
         drift.numeric_drift(profiles.where("type = 'numeric'"),
                             baselines.where("type = 'numeric'"), cfg.numeric_drift, **drift_options),
         drift.categorical_drift(profiles.where("type = 'categorical'"),
                                 baselines.where("type = 'categorical'"), cfg.cardinality_drift,
-                                **drift_options))
+                                **drift_options)))
     append_metrics(records.select(SNAPSHOT, F.lit("silver").alias("layer"), "column", "metric",
                                   "baseline", "current", two_places(F.col("drift_pct")).alias("drift_pct"),
                                   "severity"),
@@ -251,15 +249,12 @@ def load_gold(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequ
     ``force`` applies snapshots the ledger already lists, for corrections.
     """
     version = version or registered_contract(spark, cfg, run).first()["version"]
-    silver = _layer(spark, run, "silver", cfg)
+    rows = _layer(spark, run, "silver", cfg, snapshots)
     ledger = read_gold(spark, run.path("ledger"), PROCESSED_SCHEMA)
-    wanted = spark.createDataFrame([(s,) for s in snapshots], f"{SNAPSHOT} string")
+    wanted = _wanted(spark, snapshots)
     todo = wanted if force else gold.pending_snapshots(wanted, ledger)
     skipped = wanted.join(todo, SNAPSHOT, "left_anti")
-    empty = missing_snapshots(todo, silver)
-    if not empty.isEmpty():
-        _require(spark, _layer(spark, run, "bronze", cfg), [r[0] for r in empty.collect()], "silver")
-    rows = _only(silver, snapshots)
+    empty = cut_lineage(missing_snapshots(todo, rows))
     source = gold.tag_version(rows if force else gold.pending_rows(rows, ledger), version)
     date_col = cfg.gold_keys[-1]
     target = read_gold(spark, run.path("gold"), source.select(*cfg.gold_columns).schema)

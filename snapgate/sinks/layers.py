@@ -27,6 +27,13 @@ def write_layer(df: DataFrame, path: str, file_format: str = "parquet", by: str
         writer.option("compression", "snappy").parquet(path)
 
 
+def write_empty(df: DataFrame, path: str, snapshot: str, file_format: str = "parquet",
+                by: str = SNAPSHOT) -> None:
+    """Make a snapshot's partition an empty file, so that it exists but has no rows."""
+    none = df.drop(by).limit(0).coalesce(1)
+    none.write.mode("overwrite").format(file_format).option("header", True).save(f"{path}/{by}={snapshot}")
+
+
 def append_metrics(df: DataFrame, path: str, run_seq: int, run_ts: str, by: str = SNAPSHOT) -> None:
     """Add records to a metric history as JSON lines, one folder per snapshot.
 

@@ -2,7 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+
+def list_snapshots(spark: SparkSession, root: str, by: str = "snapshot_date") -> DataFrame:
+    """The snapshots that have files under ``root``, from the file listing alone.
+
+    One row per file, no file is opened. A root that does not exist has no snapshots.
+    """
+    try:
+        files = spark.read.format("binaryFile").load(root)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], f"{by} string")
+    if by not in files.columns:
+        return spark.createDataFrame([], f"{by} string")
+    return files.select(F.col(by).cast("string").alias(by)).distinct()
 
 
 def discover_snapshots(df: DataFrame, by: str = "snapshot_date") -> DataFrame:
@@ -16,9 +35,9 @@ def latest_snapshot(df: DataFrame, by: str = "snapshot_date"):
 
 
 def rows_of_latest(df: DataFrame, by: str = "snapshot_date") -> DataFrame:
-    """The rows of the newest snapshot, as one lazy plan."""
-    newest = df.agg(F.max(by).alias(by))
-    return df.join(F.broadcast(newest), by, "left_semi")  # one row
+    """The rows of the newest snapshot; its value is fetched first so that the filter prunes."""
+    newest = latest_snapshot(df, by)
+    return df.where(F.col(by) == F.lit(newest))
 
 
 def missing_snapshots(requested: DataFrame, df: DataFrame, by: str = "snapshot_date") -> DataFrame:
@@ -26,9 +45,20 @@ def missing_snapshots(requested: DataFrame, df: DataFrame, by: str = "snapshot_d
     return requested.select(by).distinct().join(df.select(by).distinct(), by, "left_anti")
 
 
-def require_snapshot(df: DataFrame, snapshot: str, what: str, by: str = "snapshot_date") -> None:
-    if df.where(F.col(by) == snapshot).select(by).isEmpty():
-        raise FileNotFoundError(f"missing {what} data for snapshot {snapshot}")
+def require_snapshots(spark: SparkSession, root: str, snapshots: Sequence[str], what: str,
+                      by: str = "snapshot_date") -> None:
+    """Fail unless every snapshot has files under ``root``."""
+    wanted = spark.createDataFrame([(s,) for s in snapshots], f"{by} string")
+    absent = [r[0] for r in missing_snapshots(wanted, list_snapshots(spark, root, by), by)
+              .orderBy(by).take(10)]
+    if absent:
+        raise FileNotFoundError(f"missing {what} data for snapshots {absent}")
+
+
+def cover(known: DataFrame, measured: DataFrame, zeros: Sequence[str], by: str = "snapshot_date") -> DataFrame:
+    """``measured`` with a row for every known snapshot; ``zeros`` are 0 where there were no rows."""
+    joined = known.select(by).distinct().join(measured, by, "left")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in zeros})
 
 
 def empty_snapshots(known: DataFrame, df: DataFrame, by: str = "snapshot_date") -> DataFrame:

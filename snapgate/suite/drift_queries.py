@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from snapgate.operators import baseline as bl, drift, profile as pf
 from snapgate.operators.quantiles import select_quantiles
+from snapgate.sinks.scratch import cut_lineage
 from snapgate.suite.inputs import CATEGORICAL, NUMERIC, SNAP, out, snap, table
 
 WINDOW = 7
@@ -26,12 +27,14 @@ def _categorical(spark, sf):
     return pf.profile_categorical(snap(spark, sf), CATEGORICAL)
 
 
-def _members(profile):
-    return bl.window_members(profile.select("snapshot_date"), WINDOW)
+def _stored(profile):
+    """Profiles go to the metric history; baselines and drift start from the stored records."""
+    return cut_lineage(profile)
 
 
 def _baselines(profile, fold):
-    return fold(bl.history_of(profile, _members(profile)))
+    members = bl.window_members(profile.select("snapshot_date"), WINDOW)
+    return fold(bl.history_of(profile, members))
 
 
 def profile_numeric(spark, sf):
@@ -105,7 +108,7 @@ def baseline_previous_snapshots(spark, sf):
 
 
 def baseline_numeric(spark, sf):
-    return out(rounded(_baselines(_numeric(spark, sf), bl.numeric_baseline), _STATS))
+    return out(rounded(_baselines(_stored(_numeric(spark, sf)), bl.numeric_baseline), _STATS))
 
 
 def baseline_rolling(spark, sf):
@@ -113,25 +116,25 @@ def baseline_rolling(spark, sf):
 
 
 def baseline_categorical(spark, sf):
-    base = _baselines(_categorical(spark, sf), bl.categorical_baseline)
+    base = _baselines(_stored(_categorical(spark, sf)), bl.categorical_baseline)
     return out(rounded(base.select("snapshot_date", "column", "avg_cardinality", "history_snapshots"),
                        ["avg_cardinality"]))
 
 
 def baseline_top_values(spark, sf):
-    base = _baselines(_categorical(spark, sf), bl.categorical_baseline)
+    base = _baselines(_stored(_categorical(spark, sf)), bl.categorical_baseline)
     values = base.select("snapshot_date", "column", F.explode("top_values").alias("value", "avg_count"))
     return out(rounded(values, ["avg_count"]))
 
 
 def baseline_seen_values(spark, sf):
-    base = _baselines(_categorical(spark, sf), bl.categorical_baseline)
+    base = _baselines(_stored(_categorical(spark, sf)), bl.categorical_baseline)
     return out(base.select("snapshot_date", "column", F.array_join("seen_values", ",").alias("seen_values")))
 
 
 def _rerun_baselines(spark, sf):
     """Two runs per snapshot: first over three snapshots, then over seven."""
-    p = _numeric(spark, sf)
+    p = _stored(_numeric(spark, sf))
     return [bl.rolling_baseline(p, w).withColumns({"run_seq": F.lit(i + 1), "type": F.lit("numeric")})
             for i, w in enumerate((3, WINDOW))]
 
@@ -144,12 +147,12 @@ def baseline_last_record(spark, sf):
 
 
 def _numeric_drift(spark, sf):
-    p = _numeric(spark, sf)
+    p = _stored(_numeric(spark, sf))
     return drift.numeric_drift(p, bl.rolling_baseline(p, WINDOW))
 
 
 def _categorical_drift(spark, sf):
-    p = _categorical(spark, sf)
+    p = _stored(_categorical(spark, sf))
     return drift.categorical_drift(p, _baselines(p, bl.categorical_baseline))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from snapgate.functions.text import na_to_null
+from snapgate.sinks.scratch import cut_lineage
 from snapgate.operators import contracts, schema_gate as sg
 from snapgate.suite.inputs import (CONTRACT, DELIVERED, REGISTRY, SNAP, TEXT_CONTRACT, delivered,
                                    out, registry, snap)
@@ -16,30 +17,36 @@ def _text_snap(spark, sf):
     return snap(spark, sf).withColumn("measure_text", na_to_null(F.col("measure_text")))
 
 
-def _expected(spark, sf):
-    """The newest contract of each brand for every month the brand delivered."""
-    newest = contracts.latest_contract(registry(spark, sf))
-    months = delivered(spark, sf).select("snapshot_date", "dataset").distinct()
-    return newest.join(months, "dataset")
+def _stored_registry(spark, sf):
+    """The registry as a stored table, as the gates find it."""
+    return cut_lineage(registry(spark, sf))
+
+
+def _sides(spark, sf):
+    """The newest contract of each brand for every month the brand delivered, and what it
+    delivered; the column catalog is stored once and read twice."""
+    actual = cut_lineage(delivered(spark, sf))
+    newest = contracts.latest_contract(_stored_registry(spark, sf))
+    return newest.join(actual.select("snapshot_date", "dataset").distinct(), "dataset"), actual
 
 
 def registry_latest_version(spark, sf):
-    newest = contracts.latest_contract(registry(spark, sf))
+    newest = contracts.latest_contract(_stored_registry(spark, sf))
     return newest.groupBy("dataset", "version").agg(F.count("*").alias("columns"))
 
 
 def critical_columns(spark, sf):
-    newest = contracts.latest_contract(registry(spark, sf))
+    newest = contracts.latest_contract(_stored_registry(spark, sf))
     return contracts.critical_columns(newest).select("dataset", "version", "name")
 
 
 def schema_diff(spark, sf):
-    r = registry(spark, sf)
+    r = _stored_registry(spark, sf)
     return contracts.diff_contracts(contracts.previous_contract(r), contracts.latest_contract(r))
 
 
 def schema_gate_action(spark, sf):
-    r = registry(spark, sf)
+    r = _stored_registry(spark, sf)
     return contracts.gate_actions(contracts.previous_contract(r), _grown(r))
 
 
@@ -74,23 +81,23 @@ acted as (
 
 
 def registry_append(spark, sf):
-    r = registry(spark, sf)
+    r = _stored_registry(spark, sf)
     old = contracts.previous_contract(r)
     new = contracts.rows_to_register(old, _grown(r))
     return old.unionByName(new)
 
 
 def schema_missing_columns(spark, sf):
-    return out(sg.missing_columns(_expected(spark, sf), delivered(spark, sf), ON)
+    return out(sg.missing_columns(*_sides(spark, sf), ON)
                .select("snapshot_date", "dataset", "version", "name"))
 
 
 def schema_extra_columns(spark, sf):
-    return out(sg.extra_columns(_expected(spark, sf), delivered(spark, sf), ON))
+    return out(sg.extra_columns(*_sides(spark, sf), ON))
 
 
 def schema_type_mismatch(spark, sf):
-    return out(sg.type_mismatches(_expected(spark, sf), delivered(spark, sf), ON))
+    return out(sg.type_mismatches(*_sides(spark, sf), ON))
 
 
 def schema_castability(spark, sf):

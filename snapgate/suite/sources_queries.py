@@ -51,7 +51,8 @@ def missing_snapshots(spark, sf):
 
 
 def empty_snapshots(spark, sf):
-    return out(sn.empty_snapshots(calendar(spark, sf), _silver(spark, sf)))
+    rows = cleaning.drop_null_critical(snap(spark, sf), CONTRACT.critical)
+    return out(sn.empty_snapshots(calendar(spark, sf), rows))
 
 
 def snapshot_row_count(spark, sf):

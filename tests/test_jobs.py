@@ -222,3 +222,18 @@ def test_csv_layers(spark, root):
     jobs.run_all(spark, cfg, run(root), D)
     assert spark.read.parquet(f"{root}/gold").count() == 60
     assert glob.glob(f"{root}/silver/snapshot_date={D[0]}/*.csv")
+
+
+def test_a_snapshot_that_loses_all_rows_is_emptied(spark, tmp_path):
+    root = str(tmp_path)
+    for day in D[:2]:
+        write_raw(root, day, day_lines(day))
+    prepare(spark, root, D[:2])
+    write_raw(root, D[0], [player(1, D[0], points="NA")])
+    jobs.ingest(spark, PLAYER_STATS, run(root, 2), D[:1])
+    assert jobs.validate_and_clean(spark, PLAYER_STATS, run(root, 2), D[:2]) == {D[0]: 0, D[1]: 20}
+    assert spark.read.parquet(f"{root}/silver").count() == 20
+    assert jobs.enforce_schema(spark, PLAYER_STATS, run(root, 2), D[:2]) == "v1"
+    jobs.check_quality(spark, PLAYER_STATS, run(root, 2), D[:1])
+    record = mt.read_metrics(spark, f"{root}/metrics/quality", mt.QUALITY_METRIC).first()
+    assert (record["row_count"], record["status"]) == (0, "PASSED")
