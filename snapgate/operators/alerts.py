@@ -25,8 +25,8 @@ def alerts_from(df: DataFrame, severity: str | Column, source: str, message: str
 
 def schema_alerts(scorecards: DataFrame, run_ts: str) -> DataFrame:
     return alerts_from(scorecards.where("status = 'FAILED'"), "CRITICAL", "SCHEMA_CHECK",
-                       "Schema enforcement failed", ["checks_passed", "uncastable_values", "null_values"],
-                       run_ts)
+                       "Schema enforcement failed",
+                       ["checks_passed", "missing_columns", "uncastable_columns", "null_columns"], run_ts)
 
 
 def contract_alerts(actions: DataFrame, snapshot: str, run_ts: str) -> DataFrame:

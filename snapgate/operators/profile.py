@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from snapgate.functions.text import nan_to_null
 from snapgate.operators.quantiles import (SMALL_GROUP_ROWS, interpolate, largest_group,
@@ -33,6 +33,9 @@ def profile_numeric(df: DataFrame, columns: Sequence[str], by: str = "snapshot_d
     that of the population, 0.0 below two values.
     """
     columns = [c for c in columns if c in df.columns]
+    if not columns:
+        return _no_rows(df, by, "column string, count bigint, "
+                        + ", ".join(f"{m} double" for m in NUMERIC_METRICS[1:]))
     data = df.select(by, *[nan_to_null(df, c).cast("double").alias(c) for c in columns])
     small = largest_group(data, [by]) <= small_group_rows
     aggs = []
@@ -58,6 +61,11 @@ def profile_numeric(df: DataFrame, columns: Sequence[str], by: str = "snapshot_d
     return out.withColumn("median", F.col("p50")).select(by, "column", *NUMERIC_METRICS)
 
 
+def _no_rows(df: DataFrame, by: str, fields: str) -> DataFrame:
+    schema = T.StructType([df.schema[by], *T.StructType.fromDDL(fields).fields])
+    return df.sparkSession.createDataFrame([], schema)
+
+
 def _counts(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     """Counts of all values, missing ones as a NULL value; pre-aggregated per task."""
     columns = [c for c in columns if c in df.columns]
@@ -87,6 +95,9 @@ def profile_categorical(df: DataFrame, columns: Sequence[str], by: str = "snapsh
 
     A column without any value in a snapshot still has a row, with count 0.
     """
+    if not any(c in df.columns for c in columns):
+        return _no_rows(df, by, "column string, count bigint, cardinality bigint, "
+                                "top_5_values map<string,bigint>")
     counts = _counts(df, columns, by)
     totals = counts.groupBy(by, "column").agg(
         F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("count"),

@@ -85,27 +85,38 @@ def scorecard(df: DataFrame, contract: Contract, by: str = "snapshot_date",
     """Four ordered checks per snapshot: evolution, presence, types, nulls.
 
     ``checks_passed`` counts the leading passes and ``checks_failed`` is 1 when one fails,
-    all from a single aggregate over the rows. ``evolution_ok`` is the contract gate's answer.
+    all from a single aggregate over the rows. The offending columns of every check are named. ``evolution_ok`` is the contract gate's answer.
     With ``snapshots`` those without rows have a scorecard too.
     """
     present = [c for c in contract.columns if c.name in df.columns]
-    presence_ok = F.lit(len(present) == len(contract.columns))
-    bad_types = [F.count_if(_not_castable(df, c.name, c.type)) for c in present]
-    bad_nulls = [F.count_if(is_missing(df, c)) for c in contract.critical if c in df.columns]
-    agg = df.groupBy(by).agg(
-        F.count("*").alias("row_count"),
-        sum(bad_types, F.lit(0)).alias("uncastable_values"),
-        sum(bad_nulls, F.lit(0)).alias("null_values"))
+    missing = [c for c in contract.names if c not in df.columns]
+    types = {c.name: F.count_if(_not_castable(df, c.name, c.type)) for c in present}
+    nulls = {c: F.count_if(is_missing(df, c)) for c in contract.critical if c in df.columns}
+    agg = df.groupBy(by).agg(F.count("*").alias("row_count"),
+                             *[n.alias(f"t_{c}") for c, n in types.items()],
+                             *[n.alias(f"n_{c}") for c, n in nulls.items()])
     if snapshots is not None:
-        agg = cover(snapshots, agg, ["row_count", "uncastable_values", "null_values"], by)
-    flags = [F.lit(evolution_ok), presence_ok, F.col("uncastable_values") == 0,
-             F.col("null_values") == 0]
-    passed = F.lit(4)
-    for i in range(3, -1, -1):
-        passed = F.when(~flags[i], F.lit(i)).otherwise(passed)
-    return agg.select(by, F.lit(contract.version).alias("schema_version"), "row_count",
-                      "uncastable_values", "null_values",
-                      passed.alias("checks_passed")).withColumns({
-                          "checks_failed": F.when(F.col("checks_passed") < 4, 1).otherwise(0),
-                          "status": F.when(F.col("checks_passed") < 4, "FAILED").otherwise("PASSED"),
-                      })
+        agg = cover(snapshots, agg, [c for c in agg.columns if c != by], by)
+    agg = agg.select(
+        by, F.lit(contract.version).alias("schema_version"), "row_count",
+        _names(F.lit(True), missing).alias("missing_columns"),
+        F.concat(_names(F.lit(True), []), *[_names(F.col(f"t_{c}") > 0, [c]) for c in types])
+        .alias("uncastable_columns"),
+        F.concat(_names(F.lit(True), []), *[_names(F.col(f"n_{c}") > 0, [c]) for c in nulls])
+        .alias("null_columns"))
+    checks = [F.lit(evolution_ok), F.size("missing_columns") == 0, F.size("uncastable_columns") == 0,
+              F.size("null_columns") == 0]
+    passed = F.lit(len(checks))
+    for i in reversed(range(len(checks))):
+        passed = F.when(~checks[i], F.lit(i)).otherwise(passed)
+    failed = F.col("checks_passed") < len(checks)
+    return agg.withColumn("checks_passed", passed).withColumns({
+        "checks_failed": F.when(failed, 1).otherwise(0),
+        "status": F.when(failed, "FAILED").otherwise("PASSED"),
+    })
+
+
+def _names(cond, names: Sequence[str]):
+    """The names as an array where the condition holds, else no names."""
+    none = F.array().cast("array<string>")
+    return F.when(cond, F.array(*[F.lit(n) for n in names]).cast("array<string>")).otherwise(none)

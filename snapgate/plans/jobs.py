@@ -6,6 +6,7 @@ A gate writes its metrics and alerts first and raises :class:`GateFailed` afterw
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -23,6 +24,8 @@ from snapgate.sources.raw import ORDER_COLUMNS, SNAPSHOT, read_layer, read_raw,
 from snapgate.sources.snapshots import (cover, latest_snapshot, list_snapshots, missing_snapshots,
                                         require_snapshots)
 
+log = logging.getLogger("snapgate")
+
 PROCESSED_SCHEMA = "snapshot_date string, processed_at timestamp_ntz"
 
 
@@ -50,7 +53,7 @@ def _layer(spark: SparkSession, run: Run, name: str, cfg: DatasetConfig,
            snapshots: Sequence[str]) -> DataFrame:
     """The given snapshots of a layer; fails when one has no files."""
     require_snapshots(spark, run.path(name), snapshots, name)
-    return _only(read_layer(spark, run.path(name), cfg.layer_format), snapshots)
+    return read_layer(spark, run.path(name), cfg.layer_format, snapshots)
 
 
 def _wanted(spark: SparkSession, snapshots: Sequence[str]) -> DataFrame:
@@ -76,17 +79,17 @@ def ingest(spark: SparkSession, cfg: DatasetConfig, run: Run,
             raise RuntimeError("no snapshots available for ingestion")
         snapshots = [newest]
     require_snapshots(spark, run.path("raw"), snapshots, "raw")
-    raw = _only(read_raw(spark, run.path("raw"), cfg.raw_format), snapshots)
+    raw = read_raw(spark, run.path("raw"), cfg.raw_format, snapshots)
     write_layer(stamp(raw, run.run_ts), run.path("bronze"), cfg.layer_format)
     return list(snapshots)
 
 
 def validate_and_clean(spark: SparkSession, cfg: DatasetConfig, run: Run,
-                       snapshots: Sequence[str], on_bad_cast: str = "fail") -> dict[str, int]:
+                       snapshots: Sequence[str], on_bad_cast: str = "fail") -> list[str]:
     """Bronze to Silver; with ``on_bad_cast='drop'`` refused rows go to ``rejects``.
 
-    Returns the Silver rows per snapshot, counted while they are written. A snapshot that
-    loses all its rows becomes an empty partition.
+    Returns the snapshots that lost all their rows, seen while the rows are written; each
+    becomes an empty partition.
     """
     rows = _layer(spark, run, "bronze", cfg, snapshots).withColumns({
         c: F.col(c).cast("bigint") for c in ("_src_block", "_src_pos")})
@@ -94,12 +97,12 @@ def validate_and_clean(spark: SparkSession, cfg: DatasetConfig, run: Run,
     written = Observation()
     counted = silver.observe(written, *[F.count_if(F.col(SNAPSHOT) == s).alias(s) for s in snapshots])
     write_layer(counted, run.path("silver"), cfg.layer_format, rebalance=True)
-    for s, n in written.get.items():
-        if n == 0:
-            write_empty(silver, run.path("silver"), s, cfg.layer_format)
+    empty = [s for s, n in written.get.items() if n == 0]
+    for s in empty:
+        write_empty(silver, run.path("silver"), s, cfg.layer_format)
     if on_bad_cast == "drop":
         write_layer(cleaning.cast_rejects(rows, cfg.contract), run.path("rejects"))
-    return written.get
+    return empty
 
 
 def registered_contract(spark: SparkSession, cfg: DatasetConfig, run: Run) -> DataFrame:
@@ -135,9 +138,10 @@ def enforce_schema(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
     silver = _layer(spark, run, "silver", cfg, snapshots)
     cards = cut_lineage(sg.scorecard(silver, contract, evolution_ok=decision["action"] != "abort",
                                      snapshots=_wanted(spark, snapshots)))
-    metrics_path = run.path("metrics", "schema")
+    extra = [c for c in silver.columns if c not in contract.names]
+    log.info("columns beyond the contract (allowed): %s", extra)
     append_metrics(cards.select(SNAPSHOT, "schema_version", "checks_passed", "checks_failed", "status"),
-                   metrics_path, run.run_seq, run.run_ts)
+                   run.path("metrics", "schema"), run.run_seq, run.run_ts)
     _emit(al.schema_alerts(cards, run.run_ts), run)
     _stop_on(cards.where("status = 'FAILED'"), "schema enforcement failed")
     if not register_first:
@@ -176,6 +180,9 @@ def check_quality(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
 
 def run_profiling(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequence[str]) -> None:
     rows = _layer(spark, run, "silver", cfg, snapshots)
+    absent = [c for c in (*cfg.numeric_columns, *cfg.categorical_columns) if c not in rows.columns]
+    if absent:
+        log.warning("columns missing in silver are not profiled: %s", absent)
     numeric = pf.profile_numeric(rows, cfg.numeric_columns)
     categorical = pf.profile_categorical(rows, cfg.categorical_columns)
     records = (numeric.select(SNAPSHOT, "column", F.lit("numeric").alias("type"),

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from snapgate.functions.text import na_to_null_all
+from snapgate.sources.snapshots import snapshot_paths
 
 SNAPSHOT = "snapshot_date"
 
@@ -14,23 +17,38 @@ ORDER_COLUMNS = ["_src_file", "_src_block", "_src_pos"]
 CSV_OPTIONS = {"header": True, "escape": '"', "enforceSchema": False}
 
 
-def _csv_schema(spark: SparkSession, path: str) -> T.StructType:
+def _csv_schema(spark: SparkSession, paths: Sequence[str], base: str) -> T.StructType:
     """All header columns as text; only the first file's header line is read."""
-    head = spark.read.options(header=True, escape='"').csv(path)
+    head = spark.read.options(header=True, escape='"', basePath=base).csv(list(paths))
     names = [f.name for f in head.schema.fields if f.name != SNAPSHOT]
     partitioned = SNAPSHOT in head.columns
     return T.StructType([T.StructField(n, T.StringType()) for n in names]
                         + ([T.StructField(SNAPSHOT, T.StringType())] if partitioned else []))
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
+def _csv(spark: SparkSession, root: str, snapshots: Sequence[str] | None) -> DataFrame:
+    paths = snapshot_paths(root, snapshots)
+    schema = _csv_schema(spark, paths, root)
+    return spark.read.schema(schema).options(**CSV_OPTIONS, basePath=root).csv(paths)
+
+
+def read_csv_text(spark: SparkSession, root: str, snapshots: Sequence[str] | None = None) -> DataFrame:
     """CSV with a header, every cell as text, missing-value tokens as NULL.
 
     Values stay text so that digits in a string column remain a string. A file whose header
     differs from the first one's fails the read instead of being mapped by position.
     """
-    df = spark.read.schema(_csv_schema(spark, path)).options(**CSV_OPTIONS).csv(path)
-    return na_to_null_all(df)
+    return na_to_null_all(_csv(spark, root, snapshots))
+
+
+def read_parquet(spark: SparkSession, root: str, snapshots: Sequence[str] | None = None) -> DataFrame:
+    """Parquet snapshots with a text ``snapshot_date``.
+
+    A snapshot is written by one job, so schemas are merged only across several snapshots.
+    """
+    merge = snapshots is not None and len(snapshots) > 1
+    df = spark.read.options(basePath=root, mergeSchema=merge).parquet(*snapshot_paths(root, snapshots))
+    return df.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("string"))
 
 
 def with_source_order(df: DataFrame, file_format: str) -> DataFrame:
@@ -47,22 +65,20 @@ def with_source_order(df: DataFrame, file_format: str) -> DataFrame:
                            "_src_block": block, "_src_pos": pos})
 
 
-def read_raw(spark: SparkSession, root: str, file_format: str = "csv") -> DataFrame:
-    """The raw layer with source order and a text ``snapshot_date``."""
+def read_raw(spark: SparkSession, root: str, file_format: str = "csv",
+             snapshots: Sequence[str] | None = None) -> DataFrame:
+    """The raw layer with its source order; only the given snapshots are listed and read."""
     if file_format == "csv":
-        schema = _csv_schema(spark, root)
-        df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(root)
-        return na_to_null_all(with_source_order(df, "csv").withColumn(SNAPSHOT, F.col(SNAPSHOT)))
-    df = with_source_order(spark.read.parquet(root), "parquet")
-    return df.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("string"))
+        return na_to_null_all(with_source_order(_csv(spark, root, snapshots), "csv"))
+    return with_source_order(read_parquet(spark, root, snapshots), "parquet")
 
 
-def read_layer(spark: SparkSession, root: str, file_format: str = "parquet") -> DataFrame:
-    """Bronze or Silver; ``where('snapshot_date = ...')`` on it prunes partitions."""
+def read_layer(spark: SparkSession, root: str, file_format: str = "parquet",
+               snapshots: Sequence[str] | None = None) -> DataFrame:
+    """Bronze or Silver; only the given snapshots are listed and read."""
     if file_format == "csv":
-        return read_csv_text(spark, root)
-    df = spark.read.parquet(root)
-    return df.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("string"))
+        return read_csv_text(spark, root, snapshots)
+    return read_parquet(spark, root, snapshots)
 
 
 def stamp(df: DataFrame, run_ts: str) -> DataFrame:

@@ -8,13 +8,23 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def list_snapshots(spark: SparkSession, root: str, by: str = "snapshot_date") -> DataFrame:
-    """The snapshots that have files under ``root``, from the file listing alone.
+def snapshot_paths(root: str, snapshots: Sequence[str] | None, by: str = "snapshot_date") -> list[str]:
+    """The partition folders of the given snapshots, or the root for all of them."""
+    if snapshots is None:
+        return [root]
+    return [f"{root.rstrip('/')}/{by}={s}" for s in snapshots]
 
-    One row per file, no file is opened. A root that does not exist has no snapshots.
+
+def list_snapshots(spark: SparkSession, root: str, snapshots: Sequence[str] | None = None,
+                   by: str = "snapshot_date") -> DataFrame:
+    """The snapshots, all or of those given, that have files under ``root``.
+
+    Taken from the file listing: one row per file, no file is opened. A root that does not
+    exist has no snapshots.
     """
+    wanted = root if snapshots is None else f"{root.rstrip('/')}/{by}={{{','.join(snapshots)}}}"
     try:
-        files = spark.read.format("binaryFile").load(root)
+        files = spark.read.format("binaryFile").option("basePath", root).load(wanted)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
@@ -49,7 +59,7 @@ def require_snapshots(spark: SparkSession, root: str, snapshots: Sequence[str],
                       by: str = "snapshot_date") -> None:
     """Fail unless every snapshot has files under ``root``."""
     wanted = spark.createDataFrame([(s,) for s in snapshots], f"{by} string")
-    absent = [r[0] for r in missing_snapshots(wanted, list_snapshots(spark, root, by), by)
+    absent = [r[0] for r in missing_snapshots(wanted, list_snapshots(spark, root, snapshots, by), by)
               .orderBy(by).take(10)]
     if absent:
         raise FileNotFoundError(f"missing {what} data for snapshots {absent}")

@@ -171,8 +171,9 @@ tx as (select snapshot_date, count(*) as row_count,
 alerts as (
   select 'CRITICAL' as severity, 'SCHEMA_CHECK' as source, snapshot_date,
          'Schema enforcement failed' as message,
-         '{{"checks_passed":' || case when bad > 0 then '2' else '3' end || ',"uncastable_values":' || bad
-           || ',"null_values":' || nulls || '}}' as details
+         '{{"checks_passed":' || case when bad > 0 then '2' else '3' end
+           || ',"missing_columns":[],"uncastable_columns":[' || case when bad > 0 then '"measure_text"' else '' end
+           || '],"null_columns":[' || case when nulls > 0 then '"measure_text"' else '' end || ']}}' as details
   from tx where bad > 0 or nulls > 0
   union all
   select 'CRITICAL', 'DATA_QUALITY', snapshot_date, 'Null percentage threshold exceeded',

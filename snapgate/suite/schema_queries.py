@@ -109,7 +109,8 @@ def schema_null_violations(spark, sf):
 
 
 def schema_scorecard(spark, sf):
-    return out(sg.scorecard(_text_snap(spark, sf), TEXT_CONTRACT))
+    cards = sg.scorecard(_text_snap(spark, sf), TEXT_CONTRACT)
+    return out(cards.withColumns({c: F.array_join(c, ",") for c in cards.columns if c.endswith("_columns")}))
 
 
 QUERIES = {
@@ -174,7 +175,8 @@ a as (select snapshot_date, count(*) as row_count,
              count(*) filter (measure_text = 'NA') as nulls from snap group by 1),
 p as (select *, case when bad > 0 then 2 when nulls > 0 then 3 else 4 end as passed from a)
 select cast(snapshot_date as varchar) as snapshot_date, 'v2' as schema_version, row_count,
-       bad as uncastable_values, nulls as null_values, passed as checks_passed,
+       '' as missing_columns, case when bad > 0 then 'measure_text' else '' end as uncastable_columns,
+       case when nulls > 0 then 'measure_text' else '' end as null_columns, passed as checks_passed,
        case when passed < 4 then 1 else 0 end as checks_failed,
        case when passed < 4 then 'FAILED' else 'PASSED' end as status from p"""),
 }

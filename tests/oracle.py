@@ -15,7 +15,8 @@ import duckdb
 def connect(sf_dir):
     con = duckdb.connect()
     for path in glob.glob(f"{sf_dir}/*.parquet"):
-        con.execute(f"create view {os.path.basename(path)[:-8]} as select * from '{path}'")
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"create view {os.path.basename(path)[:-8]} as select * from '{files}'")
     return con
 
 
@@ -57,7 +58,7 @@ if __name__ == "__main__":
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     only = sys.argv[2:]
-    sf_dir = f"/root/testdata/sf{sf}"
+    sf_dir = sf if sf.startswith("/") else f"/root/testdata/sf{sf}"
     spark, con = session(), connect(sf_dir)
     sqls, bad = catalog.oracle_sql(), 0
     for name, fn in catalog.queries().items():

@@ -88,7 +88,9 @@ def test_scorecard_stops_at_the_first_failure(spark):
     assert {r[0] for r in rows(sg.scorecard(df.drop("d"), c), "checks_passed")} == {1}
     assert {r[0] for r in rows(sg.scorecard(df, c, evolution_ok=False), "checks_passed")} == {0}
     physical = spark.createDataFrame([("s", 1.0, None)], "snapshot_date string, a double, d date")
-    assert rows(sg.scorecard(physical, c), "checks_passed") == [(2,)]
+    assert rows(sg.scorecard(physical, c), "checks_passed", "uncastable_columns") == [(2, ["a"])]
+    both = sg.scorecard(df, c, snapshots=spark.createDataFrame([("s1",), ("s9",)], "snapshot_date string"))
+    assert rows(both, "snapshot_date", "row_count", "status") == [("s1", 1, "PASSED"), ("s9", 0, "PASSED")]
 
 
 LIMITS = QualityLimits(30.0, 5.0, ("a",))

@@ -12,6 +12,9 @@ from snapgate.operators.contracts import contract_rows, latest_versions
 from snapgate.plans import jobs
 from snapgate.plans.jobs import GateFailed, Run
 from snapgate.sources import metrics as mt
+from snapgate.sources.raw import read_layer
+from snapgate.sources.snapshots import list_snapshots
+from snapgate.streaming.incremental import run_new_snapshots
 
 D = ["2024-01-01", "2024-01-02", "2024-01-03"]
 HEADER = "player_id,player_name,team,season,points,assists,rebounds,snapshot_time_date"
@@ -231,9 +234,42 @@ def test_a_snapshot_that_loses_all_rows_is_emptied(spark, tmp_path):
     prepare(spark, root, D[:2])
     write_raw(root, D[0], [player(1, D[0], points="NA")])
     jobs.ingest(spark, PLAYER_STATS, run(root, 2), D[:1])
-    assert jobs.validate_and_clean(spark, PLAYER_STATS, run(root, 2), D[:2]) == {D[0]: 0, D[1]: 20}
+    assert jobs.validate_and_clean(spark, PLAYER_STATS, run(root, 2), D[:2]) == [D[0]]
     assert spark.read.parquet(f"{root}/silver").count() == 20
     assert jobs.enforce_schema(spark, PLAYER_STATS, run(root, 2), D[:2]) == "v1"
     jobs.check_quality(spark, PLAYER_STATS, run(root, 2), D[:1])
     record = mt.read_metrics(spark, f"{root}/metrics/quality", mt.QUALITY_METRIC).first()
     assert (record["row_count"], record["status"]) == (0, "PASSED")
+
+
+def test_new_snapshots_are_processed_once(spark, tmp_path):
+    root, checkpoint = str(tmp_path / "lake"), str(tmp_path / "checkpoint")
+    seen = []
+
+    def job(spark, cfg, run, snapshots):
+        seen.append((run.run_seq, list(snapshots)))
+        jobs.ingest(spark, cfg, run, snapshots)
+
+    for days in (D[:2], [], D[2:]):
+        for day in days:
+            write_raw(root, day, day_lines(day))
+        run_new_snapshots(spark, PLAYER_STATS, root, checkpoint, "2024-02-01 00:00:00", job=job)
+    assert [s for _, s in seen] == [D[:2], D[2:]] and seen[0][0] < seen[1][0]
+    assert spark.read.parquet(f"{root}/bronze").count() == 60
+
+
+def test_layers_read_only_the_given_snapshots(spark, root):
+    prepare(spark, root)
+    one = read_layer(spark, f"{root}/silver", "parquet", D[:1])
+    assert one.count() == 20 and len(one.inputFiles()) < len(spark.read.parquet(f"{root}/silver").inputFiles())
+    assert sorted(r[0] for r in list_snapshots(spark, f"{root}/silver").collect()) == D
+    assert list_snapshots(spark, f"{root}/silver", [D[1], "2031-01-01"]).collect()[0][0] == D[1]
+    assert list_snapshots(spark, f"{root}/nowhere").count() == 0
+
+
+def test_profiling_skips_absent_columns(spark, root):
+    prepare(spark, root, D[:1])
+    cfg = replace(PLAYER_STATS, numeric_columns=("height",), categorical_columns=("team", "club"))
+    jobs.run_profiling(spark, cfg, run(root), D[:1])
+    records = mt.read_metrics(spark, f"{root}/metrics/profile", mt.PROFILE_METRIC).collect()
+    assert [(r["column"], r["type"], r["metrics"]["cardinality"]) for r in records] == [("team", "categorical", 3)]
