@@ -5,7 +5,25 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+# Alert sources and messages.
+SCHEMA_CHECK = "SCHEMA_CHECK"
+DATA_QUALITY = "DATA_QUALITY"
+DRIFT_DETECTOR = "DRIFT_DETECTOR"
+GOLD_LOADER = "GOLD_LOADER"
+SCHEMA_FAILED = "Schema enforcement failed"
+BREAKING_CHANGE = "Breaking schema change detected"
+VERSION_REGISTERED = "New schema version registered: "
+ROW_COUNT_DRIFT = "Row count drift detected"
+NULLS_EXCEEDED = "Null percentage threshold exceeded"
+QUALITY_FAILED = "Data quality check failed"
+NUMERIC_DRIFT = "Numeric drift detected: "
+CATEGORICAL_DRIFT = "Categorical drift detected: "
+GOLD_FAILED = "Gold load failed"
+GOLD_LOADED = "Gold load completed successfully"
+SILVER_EMPTY = "Silver dataset is empty — no rows loaded"
+ALREADY_PROCESSED = "Snapshot already processed — skipping Gold load"
 
 ALERT_COLUMNS = ["severity", "source", "snapshot_date", "message", "details", "timestamp"]
 
@@ -24,51 +42,61 @@ def alerts_from(df: DataFrame, severity: str | Column, source: str, message: str
 
 
 def schema_alerts(scorecards: DataFrame, run_ts: str) -> DataFrame:
-    return alerts_from(scorecards.where("status = 'FAILED'"), "CRITICAL", "SCHEMA_CHECK",
-                       "Schema enforcement failed",
+    return alerts_from(scorecards.where("status = 'FAILED'"), "CRITICAL", SCHEMA_CHECK, SCHEMA_FAILED,
                        ["checks_passed", "missing_columns", "uncastable_columns", "null_columns"], run_ts)
 
 
-def contract_alerts(actions: DataFrame, snapshot: str, run_ts: str) -> DataFrame:
-    breaking = alerts_from(actions.where("action = 'abort'"), "CRITICAL", "SCHEMA_CHECK",
-                           "Breaking schema change detected", ["dataset", "breaking"], run_ts,
-                           F.lit(snapshot))
-    new = alerts_from(actions.where("action = 'register'"), "INFO", "SCHEMA_CHECK",
-                      F.concat(F.lit("New schema version registered: "), "effective_version"),
-                      ["dataset"], run_ts, F.lit(snapshot))
+def contract_alerts(actions: DataFrame, changes: DataFrame, snapshot: str, run_ts: str) -> DataFrame:
+    """The contract gate's alerts; ``issues`` has at most two entries per contract column."""
+    issues = (changes.where("kind = 'breaking'").groupBy("dataset")
+              .agg(F.array_sort(F.collect_list("change")).alias("issues")))
+    at = F.lit(snapshot)
+    breaking = alerts_from(actions.where("action = 'abort'").join(issues, "dataset"), "CRITICAL",
+                           SCHEMA_CHECK, BREAKING_CHANGE, ["dataset", "issues"], run_ts, at)
+    new = alerts_from(actions.where("action = 'register'"), "INFO", SCHEMA_CHECK,
+                      F.concat(F.lit(VERSION_REGISTERED), "effective_version"), ["dataset"], run_ts, at)
     return breaking.unionByName(new)
 
 
+def failure_alert(spark: SparkSession, source: str, message: str, snapshots: Sequence[str],
+                  error: str, run_ts: str) -> DataFrame:
+    """One CRITICAL alert per snapshot of a job that failed."""
+    failed = spark.createDataFrame([(s, error) for s in snapshots], "snapshot_date string, error string")
+    return alerts_from(failed, "CRITICAL", source, message, ["error"], run_ts)
+
+
 def quality_alerts(statuses: DataFrame, run_ts: str) -> DataFrame:
-    """One alert per finding of a snapshot: WARN for row count, CRITICAL for the rest."""
-    found = statuses.select("snapshot_date", "row_count", F.explode("reasons").alias("reason"))
+    """One alert per finding of a snapshot: WARN for row count, CRITICAL for the rest.
+
+    Given whole quality records, the details hold their percentages as well.
+    """
+    percentages = (["row_count_change_pct", "null_percentages"]
+                   if "null_percentages" in statuses.columns else [])
+    found = statuses.select("snapshot_date", "row_count", F.explode("reasons").alias("reason"), *percentages)
     is_warn = F.col("reason") == "row count"
     return alerts_from(
-        found, F.when(is_warn, "WARN").otherwise("CRITICAL"), "DATA_QUALITY",
-        F.when(is_warn, "Row count drift detected")
-        .when(F.col("reason").startswith("nulls:"), "Null percentage threshold exceeded")
-        .otherwise("Data quality check failed"),
-        ["row_count", "reason"], run_ts)
+        found, F.when(is_warn, "WARN").otherwise("CRITICAL"), DATA_QUALITY,
+        F.when(is_warn, F.lit(ROW_COUNT_DRIFT))
+        .when(F.col("reason").startswith("nulls:"), NULLS_EXCEEDED)
+        .otherwise(QUALITY_FAILED),
+        ["row_count", "reason", *percentages], run_ts)
 
 
 def drift_alerts(records: DataFrame, run_ts: str) -> DataFrame:
     found = records.where("severity <> 'INFO'")
     message = F.when(F.col("type") == "numeric",
-                     F.concat(F.lit("Numeric drift detected: "), "column", F.lit(":"), "metric")
-                     ).otherwise(F.concat(F.lit("Categorical drift detected: "), "column"))
-    return alerts_from(found, F.col("severity"), "DRIFT_DETECTOR", message,
+                     F.concat(F.lit(NUMERIC_DRIFT), "column", F.lit(":"), "metric")
+                     ).otherwise(F.concat(F.lit(CATEGORICAL_DRIFT), "column"))
+    return alerts_from(found, F.col("severity"), DRIFT_DETECTOR, message,
                        ["baseline", "current", "drift_pct"], run_ts)
 
 
 def gold_alerts(counts: DataFrame, empty: DataFrame, skipped: DataFrame, version: str,
                 run_ts: str) -> DataFrame:
-    done = alerts_from(counts.withColumn("schema_version", F.lit(version)), "INFO", "GOLD_LOADER",
-                       "Gold load completed successfully",
+    done = alerts_from(counts.withColumn("schema_version", F.lit(version)), "INFO", GOLD_LOADER, GOLD_LOADED,
                        ["source_rows", "distinct_keys", "inserted", "updated", "schema_version"], run_ts)
-    none = alerts_from(empty, "WARN", "GOLD_LOADER", "Silver dataset is empty — no rows loaded",
-                       [], run_ts)
-    skip = alerts_from(skipped, "INFO", "GOLD_LOADER",
-                       "Snapshot already processed — skipping Gold load", [], run_ts)
+    none = alerts_from(empty, "WARN", GOLD_LOADER, SILVER_EMPTY, [], run_ts)
+    skip = alerts_from(skipped, "INFO", GOLD_LOADER, ALREADY_PROCESSED, [], run_ts)
     return union_alerts([done, none, skip])
 
 

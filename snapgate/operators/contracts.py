@@ -12,6 +12,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from snapgate.config import Contract
 from snapgate.functions.text import next_version, version_number
 
+# How a change is described.
+REMOVED = "Column removed: "
+TYPE_CHANGED = "Type change: "
+MADE_REQUIRED = "Nullable → non-nullable: "
+MADE_NULLABLE = "Non-nullable → nullable: "
+NEW_NULLABLE = "New nullable column: "
+NEW_REQUIRED = "New non-nullable column: "
+
 REGISTRY_SCHEMA = "dataset string, version string, name string, type string, nullable boolean"
 
 
@@ -60,18 +68,18 @@ def diff_contracts(old: DataFrame, new: DataFrame) -> DataFrame:
 
     both = F.col("o_in") & F.col("n_in")
     found = F.array_compact(F.array(
-        F.when(F.col("n_in").isNull(), change("breaking", F.lit("Column removed: "), name)),
+        F.when(F.col("n_in").isNull(), change("breaking", F.lit(REMOVED), name)),
         F.when(both & (F.col("o_type") != F.col("n_type")),
-               change("breaking", F.lit("Type change: "), name, F.lit(" ("), F.col("o_type"),
+               change("breaking", F.lit(TYPE_CHANGED), name, F.lit(" ("), F.col("o_type"),
                       F.lit(" → "), F.col("n_type"), F.lit(")"))),
         F.when(both & F.col("o_null") & ~F.col("n_null"),
-               change("breaking", F.lit("Nullable → non-nullable: "), name)),
+               change("breaking", F.lit(MADE_REQUIRED), name)),
         F.when(both & ~F.col("o_null") & F.col("n_null"),
-               change("relaxed", F.lit("Non-nullable → nullable: "), name)),
+               change("relaxed", F.lit(MADE_NULLABLE), name)),
         F.when(F.col("o_in").isNull() & F.col("n_null"),
-               change("compatible", F.lit("New nullable column: "), name)),
+               change("compatible", F.lit(NEW_NULLABLE), name)),
         F.when(F.col("o_in").isNull() & ~F.col("n_null"),
-               change("breaking", F.lit("New non-nullable column: "), name)),
+               change("breaking", F.lit(NEW_REQUIRED), name)),
     ))
     return (o.join(n, ["dataset", "name"], "full_outer")
             .select("dataset", "name", F.explode(found).alias("c"))

@@ -126,7 +126,10 @@ def enforce_schema(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
     actions = contracts.gate_actions(registered, incoming)
     decision = actions.first()
     contract = replace(cfg.contract, version=decision["effective_version"])
-    _emit(al.contract_alerts(actions, max(snapshots), run.run_ts), run)
+    changes = contracts.diff_contracts(registered, incoming)
+    _emit(al.contract_alerts(actions, changes, max(snapshots), run.run_ts), run)
+    evolution_ok = decision["action"] != "abort"
+    metrics = run.path("metrics", "schema")
 
     def register():
         if decision["action"] == "register":
@@ -135,13 +138,22 @@ def enforce_schema(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
 
     if register_first:
         register()
-    silver = _layer(spark, run, "silver", cfg, snapshots)
-    cards = cut_lineage(sg.scorecard(silver, contract, evolution_ok=decision["action"] != "abort",
+    try:
+        silver = _layer(spark, run, "silver", cfg, snapshots)
+    except FileNotFoundError as e:
+        failed = _wanted(spark, snapshots).select(
+            SNAPSHOT, F.lit(contract.version).alias("schema_version"),
+            F.lit(int(evolution_ok)).alias("checks_passed"), F.lit(1).alias("checks_failed"),
+            F.lit("FAILED").alias("status"))
+        append_metrics(failed, metrics, run.run_seq, run.run_ts)
+        _emit(al.failure_alert(spark, al.SCHEMA_CHECK, al.SCHEMA_FAILED, snapshots, str(e), run.run_ts), run)
+        raise
+    cards = cut_lineage(sg.scorecard(silver, contract, evolution_ok=evolution_ok,
                                      snapshots=_wanted(spark, snapshots)))
     extra = [c for c in silver.columns if c not in contract.names]
     log.info("columns beyond the contract (allowed): %s", extra)
     append_metrics(cards.select(SNAPSHOT, "schema_version", "checks_passed", "checks_failed", "status"),
-                   run.path("metrics", "schema"), run.run_seq, run.run_ts)
+                   metrics, run.run_seq, run.run_ts)
     _emit(al.schema_alerts(cards, run.run_ts), run)
     _stop_on(cards.where("status = 'FAILED'"), "schema enforcement failed")
     if not register_first:
@@ -255,6 +267,15 @@ def load_gold(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequ
     The ledger is written last, so a run that dies in between is repeated without harm.
     ``force`` applies snapshots the ledger already lists, for corrections.
     """
+    try:
+        _load_gold(spark, cfg, run, snapshots, version, force)
+    except Exception as e:
+        _emit(al.failure_alert(spark, al.GOLD_LOADER, al.GOLD_FAILED, snapshots, str(e), run.run_ts), run)
+        raise
+
+
+def _load_gold(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequence[str],
+               version: str | None, force: bool) -> None:
     version = version or registered_contract(spark, cfg, run).first()["version"]
     rows = _layer(spark, run, "silver", cfg, snapshots)
     ledger = read_gold(spark, run.path("ledger"), PROCESSED_SCHEMA)

@@ -146,6 +146,8 @@ def test_contract_evolution(spark, root):
     found = alerts(spark, root)
     assert ("INFO", "SCHEMA_CHECK", D[2], "New schema version registered: v2") in found
     assert ("CRITICAL", "SCHEMA_CHECK", D[2], "Breaking schema change detected") in found
+    details = spark.read.schema(mt.ALERT).json(f"{root}/alerts").where("message like 'Breaking%'").first()["details"]
+    assert json.loads(details) == {"dataset": "player_stats", "issues": ["Column removed: snapshot_date"]}
 
 
 def test_quality_gate_warns_and_fails_after_writing(spark, root):
@@ -218,6 +220,11 @@ def test_empty_silver_is_not_marked_processed(spark, tmp_path):
     assert ("WARN", "GOLD_LOADER", D[0], "Silver dataset is empty — no rows loaded") in alerts(spark, root)
     with pytest.raises(FileNotFoundError):
         jobs.load_gold(spark, PLAYER_STATS, run(root), ["2024-09-09"], "v1")
+    assert ("CRITICAL", "GOLD_LOADER", "2024-09-09", "Gold load failed") in alerts(spark, root)
+    with pytest.raises(FileNotFoundError):
+        jobs.enforce_schema(spark, PLAYER_STATS, run(root), ["2024-09-09"])
+    card = mt.read_metrics(spark, f"{root}/metrics/schema", mt.SCHEMA_METRIC).first()
+    assert (card["snapshot_date"], card["checks_passed"], card["status"]) == ("2024-09-09", 1, "FAILED")
 
 
 def test_csv_layers(spark, root):
