@@ -73,6 +73,7 @@ class DatasetConfig:
     dedup_keys: tuple[str, ...]
     gold_keys: tuple[str, ...]
     gold_columns: tuple[str, ...]
+    gold_partition: str
     numeric_columns: tuple[str, ...]
     categorical_columns: tuple[str, ...]
     quality: QualityLimits = field(default_factory=QualityLimits)
@@ -101,6 +102,7 @@ PLAYER_STATS = DatasetConfig(
     gold_keys=("player_id", "season", "snapshot_time_date"),
     gold_columns=("player_id", "player_name", "team", "season", "points", "assists", "rebounds",
                   "snapshot_time_date", "ingested_at", "schema_version"),
+    gold_partition="snapshot_time_date",
     numeric_columns=("points", "assists", "rebounds"),
     categorical_columns=("team", "season"),
     quality=QualityLimits(30.0, 5.0, ("player_id", "points", "season")),

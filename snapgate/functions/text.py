@@ -28,10 +28,7 @@ def na_to_null_all(df: DataFrame) -> DataFrame:
 
 def is_missing(df: DataFrame, name: str) -> Column:
     """NULL, or NaN in a floating column (NaN counts as missing everywhere)."""
-    col = F.col(name)
-    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        return col.isNull() | F.isnan(col)
-    return col.isNull()
+    return ~_present(F.col(name), df.schema[name].dataType)
 
 
 def nan_to_null(df: DataFrame, name: str) -> Column:
@@ -59,19 +56,25 @@ def try_typed(col: Column, dtype: T.DataType, contract_type: str) -> Column:
     return col.cast("string")
 
 
+def _present(col: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return col.isNotNull() & ~F.isnan(col)
+    return col.isNotNull()
+
+
 def not_convertible(col: Column, dtype: T.DataType, contract_type: str) -> Column:
     """A present value that :func:`try_typed` turns into NULL."""
-    return col.isNotNull() & try_typed(col, dtype, contract_type).isNull()
+    return _present(col, dtype) & try_typed(col, dtype, contract_type).isNull()
 
 
 def strict(df: DataFrame, name: str, contract_type: str, target: T.DataType) -> Column:
-    """The column in its contract type; the job fails on a value that does not convert."""
+    """The column in its contract type; the job fails on a present value that does not convert."""
     col, dtype = F.col(name), df.schema[name].dataType
     if dtype == target:
         return col
     typed = try_typed(col, dtype, contract_type)
     problem = F.concat(F.lit(f"{name}: cannot convert "), col.cast("string"))
-    return F.when(col.isNull(), F.lit(None)).otherwise(F.coalesce(typed, F.raise_error(problem)))
+    return F.when(_present(col, dtype), F.coalesce(typed, F.raise_error(problem)))
 
 
 def snapshot_of_path(path: Column) -> Column:

@@ -83,7 +83,8 @@ def select_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
     Round one uses buckets of equal relative width, which needs no knowledge of the data;
     later rounds split the remaining range ``[lo, hi]`` of a bucket into equal parts. A
     bucket is done when its smallest and largest value agree, so repeated values end at once,
-    or when it is counted to hold at most ``sort_rows`` values, which are then sorted.
+    or when it is counted to hold at most ``sort_rows`` values, which are then sorted. Every
+    round scans ``df`` again, column-pruned: give it a stored table.
     """
     by = list(by)
     values = long_values(df, by, columns)

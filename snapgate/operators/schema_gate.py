@@ -56,11 +56,11 @@ def _not_castable(df: DataFrame, name: str, contract_type: str):
 
 def _unpivot_counts(df: DataFrame, by: str, counts: dict, value: str) -> DataFrame:
     """One aggregate over the rows, then one output row per counted column."""
-    agg = df.groupBy(by).agg(F.count("*").alias("_rows"),
-                             *[F.count_if(cond).alias(f"c_{name}") for name, cond in counts.items()])
+    counted = [F.count_if(cond).alias(f"c_{name}") for name, cond in counts.items()]
+    agg = df.groupBy(by).agg(F.count("*").alias("_rows"), *counted)
     pairs = F.array(*[F.struct(F.lit(n).alias("column"), F.col(f"c_{n}").alias(value))
                       for n in counts])
-    return (agg.select(by, F.col("_rows").alias("row_count"), F.inline(pairs)))
+    return agg.select(by, F.col("_rows").alias("row_count"), F.inline(pairs))
 
 
 def castability(df: DataFrame, contract: Contract, by: str = "snapshot_date") -> DataFrame:
@@ -85,8 +85,9 @@ def scorecard(df: DataFrame, contract: Contract, by: str = "snapshot_date",
     """Four ordered checks per snapshot: evolution, presence, types, nulls.
 
     ``checks_passed`` counts the leading passes and ``checks_failed`` is 1 when one fails,
-    all from a single aggregate over the rows. The offending columns of every check are named. ``evolution_ok`` is the contract gate's answer.
-    With ``snapshots`` those without rows have a scorecard too.
+    all from a single aggregate over the rows; the offending columns of every check are named.
+    ``evolution_ok`` is the contract gate's answer. With ``snapshots`` those without rows have
+    a scorecard too.
     """
     present = [c for c in contract.columns if c.name in df.columns]
     missing = [c for c in contract.names if c not in df.columns]

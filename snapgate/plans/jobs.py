@@ -53,7 +53,11 @@ def _layer(spark: SparkSession, run: Run, name: str, cfg: DatasetConfig,
            snapshots: Sequence[str]) -> DataFrame:
     """The given snapshots of a layer; fails when one has no files."""
     require_snapshots(spark, run.path(name), snapshots, name)
-    return read_layer(spark, run.path(name), cfg.layer_format, snapshots)
+    rows = read_layer(spark, run.path(name), cfg.layer_format, snapshots)
+    if cfg.layer_format == "csv":
+        types = {"_src_block": "bigint", "_src_pos": "bigint", "ingested_at": "timestamp_ntz"}
+        rows = rows.withColumns({c: F.col(c).cast(t) for c, t in types.items() if c in rows.columns})
+    return rows
 
 
 def _wanted(spark: SparkSession, snapshots: Sequence[str]) -> DataFrame:
@@ -91,8 +95,7 @@ def validate_and_clean(spark: SparkSession, cfg: DatasetConfig, run: Run,
     Returns the snapshots that lost all their rows, seen while the rows are written; each
     becomes an empty partition.
     """
-    rows = _layer(spark, run, "bronze", cfg, snapshots).withColumns({
-        c: F.col(c).cast("bigint") for c in ("_src_block", "_src_pos")})
+    rows = _layer(spark, run, "bronze", cfg, snapshots)
     silver = cleaning.clean(rows, cfg.contract, [SNAPSHOT, *cfg.dedup_keys], ORDER_COLUMNS, on_bad_cast)
     written = Observation()
     counted = silver.observe(written, *[F.count_if(F.col(SNAPSHOT) == s).alias(s) for s in snapshots])
@@ -277,14 +280,14 @@ def load_gold(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequ
 def _load_gold(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequence[str],
                version: str | None, force: bool) -> None:
     version = version or registered_contract(spark, cfg, run).first()["version"]
-    rows = _layer(spark, run, "silver", cfg, snapshots)
+    rows = cleaning.enforce_types(_layer(spark, run, "silver", cfg, snapshots), cfg.contract)
     ledger = read_gold(spark, run.path("ledger"), PROCESSED_SCHEMA)
     wanted = _wanted(spark, snapshots)
     todo = wanted if force else gold.pending_snapshots(wanted, ledger)
     skipped = wanted.join(todo, SNAPSHOT, "left_anti")
     empty = cut_lineage(missing_snapshots(todo, rows))
     source = gold.tag_version(rows if force else gold.pending_rows(rows, ledger), version)
-    date_col = cfg.gold_keys[-1]
+    date_col = cfg.gold_partition
     target = read_gold(spark, run.path("gold"), source.select(*cfg.gold_columns).schema)
     counts = cut_lineage(gold.upsert_counts(
         gold.touched(target, source, date_col), source, cfg.gold_keys, date_col))

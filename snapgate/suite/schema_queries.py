@@ -84,7 +84,7 @@ def registry_append(spark, sf):
     r = _stored_registry(spark, sf)
     old = contracts.previous_contract(r)
     new = contracts.rows_to_register(old, _grown(r))
-    return old.unionByName(new)
+    return old.unionByName(new).withColumn("nullable", F.col("nullable").cast("string"))
 
 
 def schema_missing_columns(spark, sf):
@@ -137,10 +137,10 @@ union all select dataset, name, 'breaking', 'New non-nullable column: ' || name
 select *, case when action = 'register' then 'v' || cast(cast(substr(registered_version, 2) as int) + 1 as varchar)
                else registered_version end as effective_version from acted"""),
     "registry_append_rows": (registry_append, f"""with {REGISTRY}, {_GROWN}
-select dataset, version, name, type, nullable from before
+select dataset, version, name, type, cast(nullable as varchar) as nullable from before
 union all
 select g.dataset, 'v' || cast(cast(substr(a.registered_version, 2) as int) + 1 as varchar), g.name, g.type,
-       g.nullable
+       cast(g.nullable as varchar)
 from grown g join acted a using (dataset) where a.action = 'register'"""),
     "schema_missing_columns": (schema_missing_columns, f"""with {REGISTRY}, {DELIVERED}
 select cast(e.snapshot_date as varchar) as snapshot_date, e.dataset, e.version, e.name

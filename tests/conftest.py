@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(__file__), ".."))
 def session():
     from pyspark.sql import SparkSession
     spark = (SparkSession.builder.master("local[8]").appName("tests")
-             .config("spark.sql.shuffle.partitions", "8")
+             .config("spark.sql.shuffle.partitions", "4")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", "8g")
              .config("spark.ui.enabled", "false")

@@ -229,8 +229,13 @@ def test_empty_silver_is_not_marked_processed(spark, tmp_path):
 
 def test_csv_layers(spark, root):
     cfg = replace(LOOSE, layer_format="csv")
+    write_raw(root, D[0], [player(i, D[0], team=t, points=p) for i in range(12) for t, p in (("A", 1), ("B", i))])
     jobs.run_all(spark, cfg, run(root), D)
-    assert spark.read.parquet(f"{root}/gold").count() == 60
+    gold = spark.read.parquet(f"{root}/gold")
+    assert gold.count() == 52 and dict(gold.dtypes)["player_id"] == "bigint"
+    assert dict(gold.dtypes)["ingested_at"] == "timestamp_ntz"
+    last = gold.where(f"snapshot_time_date = '{D[0]}'").select("player_id", "team", "points").collect()
+    assert sorted(map(tuple, last)) == [(i, "B", i) for i in range(12)]
     assert glob.glob(f"{root}/silver/snapshot_date={D[0]}/*.csv")
 
 
