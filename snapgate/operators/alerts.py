@@ -91,13 +91,18 @@ def drift_alerts(records: DataFrame, run_ts: str) -> DataFrame:
                        ["baseline", "current", "drift_pct"], run_ts)
 
 
-def gold_alerts(counts: DataFrame, empty: DataFrame, skipped: DataFrame, version: str,
-                run_ts: str) -> DataFrame:
-    done = alerts_from(counts.withColumn("schema_version", F.lit(version)), "INFO", GOLD_LOADER, GOLD_LOADED,
-                       ["source_rows", "distinct_keys", "inserted", "updated", "schema_version"], run_ts)
-    none = alerts_from(empty, "WARN", GOLD_LOADER, SILVER_EMPTY, [], run_ts)
-    skip = alerts_from(skipped, "INFO", GOLD_LOADER, ALREADY_PROCESSED, [], run_ts)
-    return union_alerts([done, none, skip])
+def gold_loaded(counts: DataFrame, version: str, run_ts: str) -> DataFrame:
+    details = ["source_rows", "distinct_keys", "inserted", "updated", "schema_version"]
+    return alerts_from(counts.withColumn("schema_version", F.lit(version)), "INFO", GOLD_LOADER,
+                       GOLD_LOADED, details, run_ts)
+
+
+def silver_empty(snapshots: DataFrame, run_ts: str) -> DataFrame:
+    return alerts_from(snapshots, "WARN", GOLD_LOADER, SILVER_EMPTY, [], run_ts)
+
+
+def already_processed(snapshots: DataFrame, run_ts: str) -> DataFrame:
+    return alerts_from(snapshots, "INFO", GOLD_LOADER, ALREADY_PROCESSED, [], run_ts)
 
 
 def union_alerts(alerts: Sequence[DataFrame]) -> DataFrame:

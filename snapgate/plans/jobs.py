@@ -21,8 +21,7 @@ from snapgate.sinks.layers import (append_metrics, read_gold, write_empty, write
 from snapgate.sinks.scratch import cut_lineage
 from snapgate.sources import metrics as mt
 from snapgate.sources.raw import ORDER_COLUMNS, SNAPSHOT, read_layer, read_raw, stamp
-from snapgate.sources.snapshots import (cover, latest_snapshot, list_snapshots, missing_snapshots,
-                                        require_snapshots)
+from snapgate.sources.snapshots import (cover, latest_snapshot, list_snapshots, require_snapshots)
 
 log = logging.getLogger("snapgate")
 
@@ -68,9 +67,11 @@ def _emit(alerts: DataFrame, run: Run) -> None:
     alerts.write.mode("append").json(run.path("alerts"))
 
 
-def _stop_on(bad: DataFrame, message: str) -> None:
+def _stop_on(bad: DataFrame, message: str, alerts: DataFrame, run: Run) -> None:
+    """Emit the alerts and raise when there are refused snapshots."""
     rows = [r[0] for r in bad.select(SNAPSHOT).distinct().orderBy(SNAPSHOT).take(10)]
     if rows:
+        _emit(alerts, run)
         raise GateFailed(f"{message}: {rows}")
 
 
@@ -129,8 +130,9 @@ def enforce_schema(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
     actions = contracts.gate_actions(registered, incoming)
     decision = actions.first()
     contract = replace(cfg.contract, version=decision["effective_version"])
-    changes = contracts.diff_contracts(registered, incoming)
-    _emit(al.contract_alerts(actions, changes, max(snapshots), run.run_ts), run)
+    if decision["action"] != "pass":
+        changes = contracts.diff_contracts(registered, incoming)
+        _emit(al.contract_alerts(actions, changes, max(snapshots), run.run_ts), run)
     evolution_ok = decision["action"] != "abort"
     metrics = run.path("metrics", "schema")
 
@@ -157,8 +159,8 @@ def enforce_schema(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
     log.info("columns beyond the contract (allowed): %s", extra)
     append_metrics(cards.select(SNAPSHOT, "schema_version", "checks_passed", "checks_failed", "status"),
                    metrics, run.run_seq, run.run_ts)
-    _emit(al.schema_alerts(cards, run.run_ts), run)
-    _stop_on(cards.where("status = 'FAILED'"), "schema enforcement failed")
+    _stop_on(cards.where("status = 'FAILED'"), "schema enforcement failed",
+             al.schema_alerts(cards, run.run_ts), run)
     if not register_first:
         register()
     return contract.version
@@ -177,7 +179,7 @@ def check_quality(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
     history = mt.read_metrics(spark, path, mt.QUALITY_METRIC)
     measured = dq.snapshot_metrics(silver, cfg.quality.critical_columns)
     zeros = [c for c in measured.columns if c != SNAPSHOT]
-    now = cut_lineage(cover(_wanted(spark, snapshots), measured, zeros))
+    now = cover(_wanted(spark, snapshots), measured, zeros)
     if compare_with == "latest_record":
         dataset = F.lit(cfg.dataset).alias("dataset")
         past = history.select(dataset, SNAPSHOT, "run_seq", "row_count")
@@ -189,8 +191,10 @@ def check_quality(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
     judged = cut_lineage(dq.quality_record(compared, cfg.quality, rules))
     append_metrics(judged.drop("reasons").withColumn("format", F.lit(cfg.layer_format)), path,
                    run.run_seq, run.run_ts)
-    _emit(al.quality_alerts(judged, run.run_ts), run)
-    _stop_on(judged.where("status = 'FAILED'"), "data quality checks failed")
+    alerts = al.quality_alerts(judged, run.run_ts)
+    _stop_on(judged.where("status = 'FAILED'"), "data quality checks failed", alerts, run)
+    if not judged.where("status = 'WARN'").isEmpty():
+        _emit(alerts, run)
 
 
 def run_profiling(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequence[str]) -> None:
@@ -259,8 +263,10 @@ def detect_drift(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: S
                                   "baseline", "current", two_places(F.col("drift_pct")).alias("drift_pct"),
                                   "severity"),
                    run.path("metrics", "drift"), run.run_seq, run.run_ts)
-    _emit(al.drift_alerts(records, run.run_ts), run)
-    _stop_on(records.where("severity = 'CRITICAL'"), "CRITICAL drift detected")
+    alerts = al.drift_alerts(records, run.run_ts)
+    _stop_on(records.where("severity = 'CRITICAL'"), "CRITICAL drift detected", alerts, run)
+    if not records.where("severity = 'WARN'").isEmpty():
+        _emit(alerts, run)
 
 
 def load_gold(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequence[str],
@@ -280,25 +286,31 @@ def load_gold(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequ
 def _load_gold(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequence[str],
                version: str | None, force: bool) -> None:
     version = version or registered_contract(spark, cfg, run).first()["version"]
-    rows = cleaning.enforce_types(_layer(spark, run, "silver", cfg, snapshots), cfg.contract)
     ledger = read_gold(spark, run.path("ledger"), PROCESSED_SCHEMA)
-    wanted = _wanted(spark, snapshots)
-    todo = wanted if force else gold.pending_snapshots(wanted, ledger)
-    skipped = wanted.join(todo, SNAPSHOT, "left_anti")
-    empty = cut_lineage(missing_snapshots(todo, rows))
-    source = gold.tag_version(rows if force else gold.pending_rows(rows, ledger), version)
-    date_col = cfg.gold_partition
-    target = read_gold(spark, run.path("gold"), source.select(*cfg.gold_columns).schema)
-    counts = cut_lineage(gold.upsert_counts(
-        gold.touched(target, source, date_col), source, cfg.gold_keys, date_col))
-    alerts = al.gold_alerts(counts.withColumnRenamed(date_col, SNAPSHOT), empty, skipped, version,
-                            run.run_ts)
-    if not counts.isEmpty():
-        write_gold(source, run.path("gold"), cfg.gold_keys, [SNAPSHOT, *ORDER_COLUMNS], date_col,
-                   cfg.gold_columns)
-        marked = gold.ledger_rows(gold.pending_rows(rows, ledger), run.run_ts)
-        marked.write.mode("append").parquet(run.path("ledger"))
-    _emit(alerts, run)
+    pending = gold.pending_snapshots(_wanted(spark, snapshots), ledger)
+    unmarked = [r[0] for r in pending.collect()]
+    todo = list(snapshots) if force else unmarked
+    skipped = [s for s in snapshots if s not in todo]
+    loaded, alerts = [], [al.already_processed(_wanted(spark, skipped), run.run_ts)] if skipped else []
+    if todo:
+        rows = cleaning.enforce_types(_layer(spark, run, "silver", cfg, todo), cfg.contract)
+        loaded = [r[0] for r in rows.select(SNAPSHOT).distinct().collect()]
+        empty = [s for s in todo if s not in loaded]
+        if empty:
+            alerts.append(al.silver_empty(_wanted(spark, empty), run.run_ts))
+    if loaded:
+        source = gold.tag_version(rows, version)
+        by = cfg.gold_partition
+        target = read_gold(spark, run.path("gold"), source.select(*cfg.gold_columns).schema)
+        target = gold.touched(target, source, by)
+        counts = cut_lineage(gold.upsert_counts(target, source, cfg.gold_keys, by))
+        alerts.append(al.gold_loaded(counts.withColumnRenamed(by, SNAPSHOT), version, run.run_ts))
+        write_gold(source, target, run.path("gold"), cfg.gold_keys, [SNAPSHOT, *ORDER_COLUMNS], by)
+        marked = [s for s in loaded if s in unmarked]
+        gold.ledger_rows(_wanted(spark, marked), run.run_ts).coalesce(1).write.mode("append").parquet(
+            run.path("ledger"))
+    if alerts:
+        _emit(al.union_alerts(alerts), run)
 
 
 def run_all(spark: SparkSession, cfg: DatasetConfig, run: Run,

@@ -54,13 +54,11 @@ def read_gold(spark: SparkSession, path: str, schema) -> DataFrame:
         raise
 
 
-def write_gold(source: DataFrame, path: str, keys: Sequence[str], order: Sequence[str],
-               by: str, columns: Sequence[str]) -> None:
-    """Merge ``source`` into the partitioned gold table at ``path``.
+def write_gold(source: DataFrame, target: DataFrame, path: str, keys: Sequence[str],
+               order: Sequence[str], by: str) -> None:
+    """Merge ``source`` into the partitioned gold table at ``path``. Safe to repeat.
 
-    Reads only the partitions the source touches and replaces exactly those. Safe to repeat.
+    ``target`` is the table restricted to the partitions the source touches
+    (:func:`gold.touched`); exactly those are replaced, and its columns are kept.
     """
-    schema = source.select(*columns).schema
-    target = gold.touched(read_gold(source.sparkSession, path, schema), source, by)
-    write_layer(gold.upsert(target, source, keys, order).select(*columns), path, by=by,
-                rebalance=True)
+    write_layer(gold.upsert(target, source, keys, order), path, by=by, rebalance=True)

@@ -79,7 +79,8 @@ def gold_upsert_stored(spark, sf):
     target, source = _sides(spark, sf)
     path = scratch_dir(spark)
     for rows in (target, source, source):
-        write_gold(rows, path, GOLD_KEYS, ["o_orderkey"], "snapshot_year", GOLD_COLUMNS)
+        stored = gold.touched(read_gold(spark, path, source.schema), rows, "snapshot_year")
+        write_gold(rows, stored, path, GOLD_KEYS, ["o_orderkey"], "snapshot_year")
     return read_gold(spark, path, source.schema).select(*GOLD_COLUMNS)
 
 
