@@ -12,6 +12,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from snapgate.llm.common import serve
@@ -92,16 +93,17 @@ def top_k(queries: DataFrame, candidates: DataFrame, k=5, block_rows=BLOCK_ROWS,
     blocks = max(1, math.ceil(queries.count() / block_rows))
     shards = max(1, math.ceil(candidates.count() / shard_rows))
     spread = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    q = queries.select("id", "vector", "dims", F.xxhash64("vector").alias("query"), spread(blocks).alias("block"),
+    q = queries.select("id", "vector", "dims", F.xxhash64("vector").alias("query"), F.lit(True).alias("asks"), spread(blocks).alias("block"),
                        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
-    c = candidates.select("id", "vector", "dims", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), spread(shards).alias("shard"))
+    c = candidates.select("id", "vector", "dims", F.lit(0).cast("long").alias("query"), F.lit(False).alias("asks"),
+                          F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), spread(shards).alias("shard"))
 
-    def tile(key, left, right):
-        found = _tile(left, right, k)
+    def tile(key, rows):
+        found = _tile(rows.filter(rows.column("asks")), rows.filter(pc.invert(rows.column("asks"))), k)
         return found.append_column("shard", pa.array(np.full(found.num_rows, key[2].as_py(), np.int32)))
 
     serve(queries.sparkSession)
-    tops = q.groupBy("dims", "block", "shard").cogroup(c.groupBy("dims", "block", "shard")).applyInArrow(
+    tops = q.unionByName(c).groupBy("dims", "block", "shard").applyInArrow(
         tile, "query_id long, query long, vec_id long, score long, shard int")
     while True:
         shards = math.ceil(shards / FAN_IN)
