@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Bytes of text a task works on at once; a longer document is a chunk of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 #: True for bytes that end a word: space and U+0009 to U+000D.
 SPACE = np.zeros(256, bool)
@@ -55,7 +55,14 @@ def keep(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept._at = at
+    return kept
+
+
+def forget(kept: DataFrame) -> None:
+    """Delete a table of :func:`keep` that nothing will read again."""
+    kept._at.getFileSystem(kept.sparkSession._jsc.hadoopConfiguration()).delete(kept._at, True)
 
 
 def flat(column) -> tuple[np.ndarray, np.ndarray]:
@@ -190,5 +197,6 @@ def components(links: DataFrame) -> DataFrame:
         large = _edges(both.where("v > u").join(least, "u"), F.col("v"), F.col("m"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
-        edges = keep(_edges(small.select(F.col("v").alias("u"), "m").unionByName(small.select("u", "m")),
+        last, edges = edges, keep(_edges(small.select(F.col("v").alias("u"), "m").unionByName(small.select("u", "m")),
                             F.col("u"), F.col("m")))
+        forget(last)

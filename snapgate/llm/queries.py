@@ -59,9 +59,9 @@ QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_repeats, op3_pieces, op4
                                    op8_topk, op9_simhash, op10_quality)}
 SQL = {
     "op8_topk": """
-with v as (select distinct vec_id, list_transform(embedding, x -> floor(256 * x::double)) as e from embeddings
+with v as (select distinct vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
            where vec_id is not null and embedding is not null
-             and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
       from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.e) = len(c.e)),
 r as (select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from s)

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from snapgate.llm.common import CHUNK_BYTES, chunks, flat, in_arrow, keep, map_chunks, mix, powers, prefix_sums, substring_hashes
+from snapgate.llm.common import CHUNK_BYTES, chunks, flat, forget, in_arrow, keep, map_chunks, mix, powers, prefix_sums, substring_hashes
 
 MIN_BYTES = 200
 ANCHOR_BYTES = 40
@@ -226,7 +226,7 @@ def _removed(batch):
 def repeated_stretches(texts: DataFrame) -> DataFrame:
     """(doc, start, stop): stretches of texts (doc, text) that are repeated, overlapping ones included."""
     def scan(batches):
-        for batch in chunks(batches, "text"):
+        for batch in chunks(batches, "text", CHUNK_BYTES // 2):
             data, offsets = flat(batch.column("text"))
             at, value, around, loop, doc = anchors(data, offsets)
             yield pa.RecordBatch.from_arrays(
@@ -236,7 +236,8 @@ def repeated_stretches(texts: DataFrame) -> DataFrame:
     found = keep(in_arrow(texts.select("doc", "text"), scan, "anchor long, around long, doc long, at int, loop boolean"))
     shared = (found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("around").alias("a"), F.max("around").alias("b"), F.max("loop").alias("loops"))
               .where("n > 1 or loops").select("anchor", F.expr("n > 1 and a = b and not loops").alias("equal")))
-    shared = found.join(shared, "anchor")
+    shared = keep(found.join(shared, "anchor"))
+    forget(found)
     whole = F.struct((F.col("at") - REACH).alias("start"), (F.col("at") + ANCHOR_BYTES + REACH).alias("stop"))
     kind = Window.partitionBy("anchor", "around")
     mixed = keep(shared.where("not equal").withColumn("weight", F.count("*").over(kind))
