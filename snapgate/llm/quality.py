@@ -20,6 +20,8 @@ BUCKET_BITS = 16
 SMOOTHING = 0.5
 #: Where the threshold lies between the target mean (0) and the reject mean (1).
 THRESHOLD_AT = 0.25
+#: At most so many labelled rows make the target and reject multinomials.
+FIT_ROWS = 16_384
 MIN_WORDS = 50
 MAX_REPEATED_PCT = 50
 WINDOW_WORDS = 3
@@ -145,11 +147,13 @@ def judge(docs: DataFrame, model, id_col="doc_id", text_col="text") -> DataFrame
     return map_chunks(rows, "text", schema, run).withColumnRenamed("id", id_col)
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality") -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="quality", fit_rows=FIT_ROWS) -> DataFrame:
     """:func:`judge` with a model of ``docs`` itself, trusted and rejected texts being its labelled ones.
 
-    An id with several labels takes the smallest.
+    At most ``fit_rows`` labelled ids count, by a hash of the id, so that they can be broadcast;
+    the raw counts cover every document. An id with several labels takes the smallest.
     """
-    kinds = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("kind"))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(kinds, "id", "left")
+    kinds = (labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("kind"))
+             .where("kind in (0, 1)").orderBy(F.xxhash64("id"), "id").limit(fit_rows))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(kinds), "id", "left")
     return judge(docs, fit(rows), id_col, text_col)
