@@ -223,8 +223,8 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", width=SHI
 def drop_near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", width=SHINGLE_WORDS, budget=MAX_BITS) -> DataFrame:
     """One row of each component stays: the smallest id, ties by the row's hash; a null id comes last."""
     fp, root, place, row = fresh(docs, "fingerprint", "root", "place", "row_hash")
-    marked = with_fingerprint(docs, text_col, fp, width)
-    prints = keep(with_fingerprint(docs.select(F.col(text_col).alias("text")), width=width).select("fingerprint").distinct())
+    marked = keep(with_fingerprint(docs, text_col, fp, width))
+    prints = keep(marked.select(F.col(fp).alias("fingerprint")).distinct())
     roots = keep(components(links(prints, budget)).select(F.col("node").alias(fp), F.col("root").alias(root)))
     hashed = [F.col(f"`{f.name}`") for f in docs.schema if not f.dataType.simpleString().startswith(("map", "variant"))]
     order = Window.partitionBy(root).orderBy(F.col(id_col).asc_nulls_last(), row)
