@@ -103,6 +103,13 @@ def sentences(text: str) -> list[tuple[int, int, str | None]]:
             if piece.strip():
                 start = at + len(piece) - len(piece.lstrip())
                 name = KNOWN.get(normal(piece)) if len(piece) <= LONGEST else None
+                if name is None and out is wrapped:
+                    # a heading without a stop may stand on the lines before
+                    for line in re.finditer("\n", piece[-LONGEST:]):
+                        tail = piece[max(0, len(piece) - LONGEST) + line.end():]
+                        if normal(tail) in KNOWN:
+                            name, start = KNOWN[normal(tail)], at + len(piece) - len(tail.lstrip())
+                            break
                 out.append((start, at + len(piece.rstrip()), name))
             at = m.end() if m else end
     known = [s for s in wrapped if s[2]]

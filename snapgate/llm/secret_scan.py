@@ -196,7 +196,7 @@ def secret_scan(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     An empty table gives an empty result, repeated rows come out repeated.
     """
     rows = with_spans(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
-    counts = [F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{r.kind}") for i, r in enumerate(BASE)]
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = {i})) as long)").alias(f"n_{r.kind}") for i, r in enumerate(BASE)]
     base = F.filter("spans", lambda s: s["kind"] < len(BASE))
     return rows.select(F.col("id").alias(id_col), *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
