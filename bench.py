@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from dataclasses import replace
 
@@ -79,6 +80,7 @@ def main():
              .config("spark.sql.shuffle.partitions", CPUS)
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", "16g")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.python.sql.dataFrameDebugging.enabled", "false")

@@ -73,16 +73,16 @@ def clean(df: DataFrame, contract: Contract, keys: Sequence[str],
     """Null drop, keep-first dedup, typed casts: Bronze rows to Silver rows.
 
     ``on_bad_cast='fail'`` fails the job on a value that does not convert; ``'drop'``
-    leaves such rows out, for callers that store :func:`cast_rejects` beside the result.
+    leaves such rows out ahead of the dedup, for callers that store :func:`cast_rejects` beside
+    the result: a good row never gives way to a refused one of the same key.
     """
     absent = [c for c in contract.critical if c not in df.columns]
     if absent:
         raise ValueError(f"missing critical columns: {absent}")
     kept = drop_null_critical(df, contract.critical)
-    kept = keep_first(kept, keys, [F.col(c).asc() for c in order])
     if on_bad_cast == "drop":
         kept = drop_rejects(kept, contract)
-    return enforce_types(kept, contract)
+    return enforce_types(keep_first(kept, keys, [F.col(c).asc() for c in order]), contract)
 
 
 def row_accounting(df: DataFrame, critical: Sequence[str], keys: Sequence[str],

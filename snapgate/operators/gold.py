@@ -8,9 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from snapgate.operators.cleaning import keep_first, keep_last
 
-MAX_PARTITION_VALUES = 2000
-
-
 def pending_snapshots(snapshots: DataFrame, ledger: DataFrame, by: str = "snapshot_date") -> DataFrame:
     """Snapshots the ledger does not list as processed."""
     return snapshots.select(by).distinct().join(ledger.select(by).distinct(), by, "left_anti")
@@ -32,14 +29,13 @@ def last_wins(source: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
 def touched(target: DataFrame, source: DataFrame, by: str) -> DataFrame:
     """Target rows in the partitions the source has rows for.
 
-    The partition values (a handful per load) are fetched and become a pruning filter; beyond
-    ``MAX_PARTITION_VALUES`` of them the restriction is a join.
+    A semi join, whose small side prunes the partitions at run time. Rows without a partition
+    value lie in a partition of their own, which a source row without one touches.
     """
-    distinct = source.select(by).distinct()
-    values = [r[0] for r in distinct.take(MAX_PARTITION_VALUES + 1)]
-    if len(values) > MAX_PARTITION_VALUES:
-        return target.join(distinct, by, "left_semi")
-    return target.where(F.col(by).isin(values))
+    values = source.select(by).distinct()
+    known = target.join(values, by, "left_semi")
+    lost, touching = target.where(F.col(by).isNull()), values.where(F.col(by).isNull())
+    return known.unionByName(lost.join(touching, lost[by].eqNullSafe(touching[by]), "left_semi"))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],

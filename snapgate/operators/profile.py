@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from snapgate.functions.text import nan_to_null
-from snapgate.operators.quantiles import (SMALL_GROUP_ROWS, interpolate, largest_group,
-                                          select_quantiles, sorted_values)
+from snapgate.operators.quantiles import SMALL_GROUP_ROWS, select_quantiles
+from snapgate.sinks.scratch import cut_lineage
 
 # The numeric statistics and their order in a profile record.
 NUMERIC_METRICS = ["count", "mean", "median", "std", "min", "max", "p25", "p50", "p75"]
@@ -24,43 +24,48 @@ def missing_profile_columns(df: DataFrame, wanted: Sequence[str], by: str = "sna
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str], by: str = "snapshot_date",
-                    small_group_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
+                    sort_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
     """``(by, column, count, mean, median, std, min, max, p25, p50, p75)``, all exact.
 
-    Every column is aggregated in one pass. Quantiles come from the sorted values while the
-    largest snapshot is counted at or below ``small_group_rows``, else from narrowing rounds
-    that never collect a snapshot in one task. NaN counts as missing. Standard deviation is
-    that of the population, 0.0 below two values.
+    Every column is aggregated in one pass. Quantiles come from narrowing rounds that never
+    collect more than ``sort_rows`` values in one task. NaN counts as missing. Standard
+    deviation is that of the population, 0.0 below two values.
     """
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return _no_rows(df, by, "column string, count bigint, "
                         + ", ".join(f"{m} double" for m in NUMERIC_METRICS[1:]))
     data = df.select(by, *[nan_to_null(df, c).cast("double").alias(c) for c in columns])
-    small = largest_group(data, [by]) <= small_group_rows
     aggs = []
     for c in columns:
         aggs += [F.count(c).alias(f"count_{c}"), F.avg(c).alias(f"mean_{c}"),
                  F.coalesce(F.stddev_pop(c), F.lit(0.0)).alias(f"std_{c}"),
                  F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
-        if small:
-            aggs.append(sorted_values(c).alias(f"q_{c}"))
     wide = data.groupBy(by).agg(*aggs)
-    fields = ["count", "mean", "std", "min", "max"] + (["q"] if small else [])
+    fields = ["count", "mean", "std", "min", "max"]
     rows = F.array(*[F.struct(F.lit(c).alias("column"),
                               *[F.col(f"{f}_{c}").alias(f) for f in fields]) for c in columns])
     out = wide.select(by, F.inline(rows))
-    if small:
-        out = out.withColumns({name: interpolate(F.col("q"), p) for name, p in QUANTILES.items()})
-    else:
-        found = select_quantiles(data, [by], columns, list(QUANTILES.values()))
-        found = found.groupBy(by, "column").agg(*[
-            F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name)
-            for name, p in QUANTILES.items()])
-        out = out.join(found, [by, "column"], "left")
+    found = select_quantiles(data, [by], columns, list(QUANTILES.values()), sort_rows)
+    found = found.groupBy(by, "column").agg(*[
+        F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name)
+        for name, p in QUANTILES.items()])
+    out = out.join(found, [by, "column"], "left")
     return out.withColumn("median", F.col("p50")).select(by, "column", *NUMERIC_METRICS)
 
 
+def cover_profiles(known: DataFrame, profile: DataFrame, columns: Sequence[str],
+                   by: str = "snapshot_date") -> DataFrame:
+    """``profile`` with a record of count 0 for every known snapshot and column without one."""
+    wanted = known.select(by).distinct().select(by, F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
+    zeros = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("count", "cardinality") if c in profile.columns}
+    if "std" in profile.columns:
+        zeros["std"] = F.coalesce("std", F.lit(0.0))
+    if "top_5_values" in profile.columns:
+        zeros["top_5_values"] = F.coalesce("top_5_values", F.create_map().cast("map<string,bigint>"))
+    return wanted.join(profile, [by, "column"], "left").withColumns(zeros)
+
+
 def _no_rows(df: DataFrame, by: str, fields: str) -> DataFrame:
     schema = T.StructType([df.schema[by], *T.StructType.fromDDL(fields).fields])
     return df.sparkSession.createDataFrame([], schema)
@@ -93,12 +98,13 @@ def profile_categorical(df: DataFrame, columns: Sequence[str], by: str = "snapsh
                         k: int = 5) -> DataFrame:
     """``(by, column, count, cardinality, top_5_values)``; the map holds the ``k`` top values.
 
-    A column without any value in a snapshot still has a row, with count 0.
+    A column without any value in a snapshot still has a row, with count 0. The value counts,
+    the one pass and shuffle over the rows, are stored; totals and ranks are read off them.
     """
     if not any(c in df.columns for c in columns):
         return _no_rows(df, by, "column string, count bigint, cardinality bigint, "
                                 "top_5_values map<string,bigint>")
-    counts = _counts(df, columns, by)
+    counts = cut_lineage(_counts(df, columns, by))
     totals = counts.groupBy(by, "column").agg(
         F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("count"),
         F.count("value").alias("cardinality"))

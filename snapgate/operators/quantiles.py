@@ -1,8 +1,7 @@
 """Exact linear-interpolated quantiles per group, safe for groups of any size.
 
-Groups that are counted small are sorted whole. A snapshot that holds a third of a very large
-table cannot be: there :func:`select_quantiles` finds the wanted order statistics by
-narrowing. Count the group's values in buckets, keep the buckets that hold a wanted rank, and
+A snapshot that holds a third of a very large table cannot be sorted in one task, so
+:func:`select_quantiles` finds the wanted order statistics by narrowing. Count the group's values in buckets, keep the buckets that hold a wanted rank, and
 split those again until few enough values are left to sort. Each round is one partially
 aggregated count, so a task never holds more than the buckets.
 """
@@ -21,22 +20,11 @@ _LOG_OFFSET = 60_000         # above 64 * |ln(x)| for every finite double
 _SPLIT = 4096                # equal-width parts per bucket in later rounds
 
 
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    return df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-
-
 def sorted_values(column: str) -> Column:
     """Aggregate: a group's values in order. Only for groups counted small."""
     return F.sort_array(F.collect_list(column))
 
 
-def interpolate(ordered: Column, prob: float) -> Column:
-    """The quantile of a sorted array between its two nearest entries; NULL when empty."""
-    at = F.lit(prob) * (F.size(ordered) - 1)
-    low, high = (F.get(ordered, edge(at).cast("int")) for edge in (F.floor, F.ceil))
-    return F.when(low == high, low).otherwise(low + (high - low) * (at - F.floor(at)))
-
-
 def long_values(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """``(by, column, value)`` without NULL and NaN."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
@@ -131,7 +119,10 @@ def _largest(todo: DataFrame) -> int:
 def _inside(values: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
     """The values in a wanted range; ranges of a group never overlap.
 
-    ``wanted`` is a stored table, so it is broadcast when its measured size allows.
+    A group's ranges, two for each probability at most, are packed into one row, so the join
+    neither repeats values nor sends them by range; ``wanted`` is a stored table, broadcast
+    when its measured size allows.
     """
-    ranges = wanted.select(*keys, "_lo", "_hi").distinct()
-    return values.join(ranges, keys).where("value between _lo and _hi")
+    ranges = wanted.groupBy(*keys).agg(F.collect_set(F.struct("_lo", "_hi")).alias("_ranges"))
+    hit = F.get(F.filter("_ranges", lambda r: F.col("value").between(r["_lo"], r["_hi"])), F.lit(0))
+    return values.join(ranges, keys).withColumn("_r", hit).where("_r is not null").select(*values.columns, "_r._lo", "_r._hi")

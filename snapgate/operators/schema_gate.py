@@ -81,17 +81,22 @@ def null_violations(df: DataFrame, contract: Contract, by: str = "snapshot_date"
 
 
 def scorecard(df: DataFrame, contract: Contract, by: str = "snapshot_date",
-              evolution_ok: bool = True, snapshots: DataFrame | None = None) -> DataFrame:
+              evolution_ok: bool = True, snapshots: DataFrame | None = None,
+              strict_types: bool = False) -> DataFrame:
     """Four ordered checks per snapshot: evolution, presence, types, nulls.
 
     ``checks_passed`` counts the leading passes and ``checks_failed`` is 1 when one fails,
     all from a single aggregate over the rows; the offending columns of every check are named.
     ``evolution_ok`` is the contract gate's answer. With ``snapshots`` those without rows have
-    a scorecard too.
+    a scorecard too. The type check asks whether the values convert, which is all that text
+    layers can answer; with ``strict_types`` the column must have exactly the contract's type,
+    but for ``by``, a folder name whose values are text in every layer.
     """
     present = [c for c in contract.columns if c.name in df.columns]
     missing = [c for c in contract.names if c not in df.columns]
-    types = {c.name: F.count_if(_not_castable(df, c.name, c.type)) for c in present}
+    strict = [c for c in present if strict_types and c.name != by]
+    wrong = [c.name for c in strict if df.schema[c.name].dataType != CONTRACT_TYPES[c.type]]
+    types = {c.name: F.count_if(_not_castable(df, c.name, c.type)) for c in present if c not in strict}
     nulls = {c: F.count_if(is_missing(df, c)) for c in contract.critical if c in df.columns}
     agg = df.groupBy(by).agg(F.count("*").alias("row_count"),
                              *[n.alias(f"t_{c}") for c, n in types.items()],
@@ -101,7 +106,7 @@ def scorecard(df: DataFrame, contract: Contract, by: str = "snapshot_date",
     agg = agg.select(
         by, F.lit(contract.version).alias("schema_version"), "row_count",
         _names(F.lit(True), missing).alias("missing_columns"),
-        F.concat(_names(F.lit(True), []), *[_names(F.col(f"t_{c}") > 0, [c]) for c in types])
+        F.concat(_names(F.lit(True), wrong), *[_names(F.col(f"t_{c}") > 0, [c]) for c in types])
         .alias("uncastable_columns"),
         F.concat(_names(F.lit(True), []), *[_names(F.col(f"n_{c}") > 0, [c]) for c in nulls])
         .alias("null_columns"))

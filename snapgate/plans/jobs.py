@@ -9,8 +9,9 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snapgate.config import DatasetConfig
 from snapgate.functions.measures import two_places
@@ -69,7 +70,7 @@ def _emit(alerts: DataFrame, run: Run) -> None:
 
 def _stop_on(bad: DataFrame, message: str, alerts: DataFrame, run: Run) -> None:
     """Emit the alerts and raise when there are refused snapshots."""
-    rows = [r[0] for r in bad.select(SNAPSHOT).distinct().orderBy(SNAPSHOT).take(10)]
+    rows = [r[0] for r in bad.select(SNAPSHOT).distinct().orderBy(SNAPSHOT).collect()]
     if rows:
         _emit(alerts, run)
         raise GateFailed(f"{message}: {rows}")
@@ -84,29 +85,45 @@ def ingest(spark: SparkSession, cfg: DatasetConfig, run: Run,
             raise RuntimeError("no snapshots available for ingestion")
         snapshots = [newest]
     require_snapshots(spark, run.path("raw"), snapshots, "raw")
-    raw = read_raw(spark, run.path("raw"), cfg.raw_format, snapshots)
-    write_layer(stamp(raw, run.run_ts), run.path("bronze"), cfg.layer_format)
+    raw = stamp(read_raw(spark, run.path("raw"), cfg.raw_format, snapshots, cfg.raw_multi_line), run.run_ts)
+    write_layer(raw, run.path("bronze"), cfg.layer_format)
+    _empty_others(raw, run.path("bronze"), cfg.layer_format, snapshots, _snapshots_of(raw))
     return list(snapshots)
 
 
+def _snapshots_of(df: DataFrame) -> set[str]:
+    """The snapshots with rows; partition values only, so no cell is read."""
+    return {r[0] for r in df.select(F.col(SNAPSHOT).cast("string")).distinct().collect()}
+
+
+def _empty_others(rows: DataFrame, path: str, file_format: str, snapshots: Sequence[str], full: set[str]) -> list[str]:
+    """Empty the partitions of the snapshots without rows, whatever an earlier run left there."""
+    empty = [s for s in snapshots if s not in full]
+    for s in empty:
+        write_empty(rows, path, s, file_format)
+    return empty
+
+
 def validate_and_clean(spark: SparkSession, cfg: DatasetConfig, run: Run,
                        snapshots: Sequence[str], on_bad_cast: str = "fail") -> list[str]:
     """Bronze to Silver; with ``on_bad_cast='drop'`` refused rows go to ``rejects``.
 
-    Returns the snapshots that lost all their rows, seen while the rows are written; each
-    becomes an empty partition.
+    Stores the row accounting of each snapshot under ``metrics/cleaning``. Returns the
+    snapshots that lost all their rows; each becomes an empty partition.
     """
     rows = _layer(spark, run, "bronze", cfg, snapshots)
     silver = cleaning.clean(rows, cfg.contract, [SNAPSHOT, *cfg.dedup_keys], ORDER_COLUMNS, on_bad_cast)
-    written = Observation()
-    counted = silver.observe(written, *[F.count_if(F.col(SNAPSHOT) == s).alias(s) for s in snapshots])
-    write_layer(counted, run.path("silver"), cfg.layer_format, rebalance=True)
-    empty = [s for s, n in written.get.items() if n == 0]
-    for s in empty:
-        write_empty(silver, run.path("silver"), s, cfg.layer_format)
+    write_layer(silver, run.path("silver"), cfg.layer_format, rebalance=True)
+    taken = cleaning.drop_rejects(rows, cfg.contract) if on_bad_cast == "drop" else rows
+    measured = cleaning.row_accounting(taken, cfg.contract.critical, [SNAPSHOT, *cfg.dedup_keys])
+    counted = cut_lineage(cover(_wanted(spark, snapshots), measured, [c for c in measured.columns if c != SNAPSHOT]))
+    append_metrics(counted, run.path("metrics", "cleaning"), run.run_seq, run.run_ts)
+    full = _snapshots_of(counted.where("rows_after_dedup > 0"))
     if on_bad_cast == "drop":
-        write_layer(cleaning.cast_rejects(rows, cfg.contract), run.path("rejects"))
-    return empty
+        rejects = cut_lineage(cleaning.cast_rejects(rows, cfg.contract))
+        write_layer(rejects, run.path("rejects"))
+        _empty_others(rejects, run.path("rejects"), "parquet", snapshots, _snapshots_of(rejects))
+    return _empty_others(silver, run.path("silver"), cfg.layer_format, snapshots, full)
 
 
 def registered_contract(spark: SparkSession, cfg: DatasetConfig, run: Run) -> DataFrame:
@@ -154,7 +171,8 @@ def enforce_schema(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
         _emit(al.failure_alert(spark, al.SCHEMA_CHECK, al.SCHEMA_FAILED, snapshots, str(e), run.run_ts), run)
         raise
     cards = cut_lineage(sg.scorecard(silver, contract, evolution_ok=evolution_ok,
-                                     snapshots=_wanted(spark, snapshots)))
+                                     snapshots=_wanted(spark, snapshots),
+                                     strict_types=cfg.layer_format == "parquet"))
     extra = [c for c in silver.columns if c not in contract.names]
     log.info("columns beyond the contract (allowed): %s", extra)
     append_metrics(cards.select(SNAPSHOT, "schema_version", "checks_passed", "checks_failed", "status"),
@@ -176,17 +194,17 @@ def check_quality(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
     """
     silver = _layer(spark, run, "silver", cfg, snapshots)
     path = run.path("metrics", "quality")
-    history = mt.read_metrics(spark, path, mt.QUALITY_METRIC)
     measured = dq.snapshot_metrics(silver, cfg.quality.critical_columns)
     zeros = [c for c in measured.columns if c != SNAPSHOT]
     now = cover(_wanted(spark, snapshots), measured, zeros)
     if compare_with == "latest_record":
         dataset = F.lit(cfg.dataset).alias("dataset")
-        past = history.select(dataset, SNAPSHOT, "run_seq", "row_count")
+        past = mt.read_metrics(spark, path, mt.QUALITY_METRIC).select(dataset, SNAPSHOT, "run_seq", "row_count")
         compared = dq.row_count_change_from_history(now.withColumn("dataset", dataset), past).drop("dataset")
     else:
-        past = (mt.latest_record(history.where(~F.col(SNAPSHOT).isin(list(snapshots))),
-                                 [SNAPSHOT], ["run_seq"]).select(SNAPSHOT, "row_count"))
+        before = _members(_recorded(spark, path), snapshots, 1) - set(snapshots)
+        history = mt.read_metrics(spark, path, mt.QUALITY_METRIC, sorted(before))
+        past = mt.latest_record(history, [SNAPSHOT], ["run_seq"]).select(SNAPSHOT, "row_count")
         compared = _only(dq.row_count_change(now.unionByName(past, allowMissingColumns=True)), snapshots)
     judged = cut_lineage(dq.quality_record(compared, cfg.quality, rules))
     append_metrics(judged.drop("reasons").withColumn("format", F.lit(cfg.layer_format)), path,
@@ -197,27 +215,38 @@ def check_quality(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
         _emit(alerts, run)
 
 
+def _recorded(spark: SparkSession, path: str) -> list[str]:
+    """The snapshots that have records, from the folder listing."""
+    return [r[0] for r in list_snapshots(spark, path).collect()]
+
+
+def _members(recorded: Sequence[str], snapshots: Sequence[str], window: int) -> set[str]:
+    """Snapshots of which the records before each of ``snapshots`` are read: up to ``window`` each."""
+    known = sorted({*recorded, *snapshots})
+    return {m for s in snapshots for m in known[max(0, known.index(s) - window):known.index(s)]}
+
+
 def run_profiling(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequence[str]) -> None:
     rows = _layer(spark, run, "silver", cfg, snapshots)
     absent = [c for c in (*cfg.numeric_columns, *cfg.categorical_columns) if c not in rows.columns]
     if absent:
         log.warning("columns missing in silver are not profiled: %s", absent)
-    numeric = pf.profile_numeric(rows, cfg.numeric_columns)
-    categorical = pf.profile_categorical(rows, cfg.categorical_columns)
-    records = (numeric.select(SNAPSHOT, "column", F.lit("numeric").alias("type"),
-                              F.struct(*pf.NUMERIC_METRICS).alias("metrics"))
-               .withColumn("metrics", F.to_json("metrics"))
-               .unionByName(categorical.select(
-                   SNAPSHOT, "column", F.lit("categorical").alias("type"),
-                   F.to_json(F.struct("count", "cardinality", "top_5_values")).alias("metrics"))))
-    metrics_type = mt.field_type(mt.PROFILE_METRIC, "metrics")
-    append_metrics(records.select(SNAPSHOT, F.lit("silver").alias("layer"), "column", "type",
-                                  F.from_json("metrics", metrics_type).alias("metrics")),
-                   run.path("metrics", "profile"), run.run_seq, run.run_ts)
-
-
-def _profiles(spark: SparkSession, run: Run, all_records: bool = False) -> DataFrame:
-    records = mt.read_metrics(spark, run.path("metrics", "profile"), mt.PROFILE_METRIC)
+    wanted = _wanted(spark, snapshots)
+    shape = mt.field_type(mt.PROFILE_METRIC, "metrics")
+    records = []
+    for kind, profile, columns in (("numeric", pf.profile_numeric, cfg.numeric_columns),
+                                   ("categorical", pf.profile_categorical, cfg.categorical_columns)):
+        columns = [c for c in columns if c in rows.columns]
+        if columns:
+            full = pf.cover_profiles(wanted, profile(rows, columns), columns)
+            records.append(full.select(SNAPSHOT, F.lit("silver").alias("layer"), "column", F.lit(kind).alias("type"),
+                                       mt.shaped(full, shape, "metrics")))
+    if records:
+        append_metrics(reduce(DataFrame.unionByName, records), run.path("metrics", "profile"), run.run_seq, run.run_ts)
+
+
+def _profiles(spark: SparkSession, run: Run, snapshots: Sequence[str], all_records: bool = False) -> DataFrame:
+    records = mt.read_metrics(spark, run.path("metrics", "profile"), mt.PROFILE_METRIC, snapshots)
     if not all_records:
         records = mt.latest_record(records, [SNAPSHOT, "column", "type"], ["run_seq"])
     return records.select(SNAPSHOT, "column", "type", "metrics.*")
@@ -226,32 +255,28 @@ def _profiles(spark: SparkSession, run: Run, all_records: bool = False) -> DataF
 def build_baseline(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequence[str],
                    all_records: bool = False) -> None:
     """Baselines from the profiles of earlier snapshots; without any, nothing is written."""
-    profiles = _profiles(spark, run, all_records)
-    members = bl.window_members(profiles.select(SNAPSHOT).union(_wanted(spark, snapshots)), cfg.baseline_window)
+    recorded = _recorded(spark, run.path("metrics", "profile"))
+    read = sorted(_members(recorded, snapshots, cfg.baseline_window))
+    profiles = _profiles(spark, run, read, all_records)
+    members = bl.window_members(_wanted(spark, sorted({*read, *snapshots})), cfg.baseline_window)
     history = bl.history_of(profiles, _only(members, snapshots))
     numeric = bl.numeric_baseline(history.where("type = 'numeric'"))
     categorical = bl.categorical_baseline(history.where("type = 'categorical'"))
     shape = mt.field_type(mt.BASELINE_METRIC, "baseline")
-    records = numeric.select(
-        SNAPSHOT, "column", F.lit("numeric").alias("type"),
-        F.to_json(F.struct(*bl.BASELINE_METRICS)).alias("baseline"), "history_snapshots",
-    ).unionByName(categorical.select(
-        SNAPSHOT, "column", F.lit("categorical").alias("type"),
-        F.to_json(F.struct("avg_cardinality", "top_values", "seen_values")).alias("baseline"),
-        "history_snapshots"))
-    append_metrics(records.select(SNAPSHOT, F.lit("silver").alias("layer"), "column", "type",
-                                  F.from_json("baseline", shape).alias("baseline"), "history_snapshots"),
-                   run.path("metrics", "baseline"), run.run_seq, run.run_ts)
+    records = [kept.select(SNAPSHOT, F.lit("silver").alias("layer"), "column", F.lit(kind).alias("type"),
+                           mt.shaped(kept, shape, "baseline"), "history_snapshots")
+               for kind, kept in (("numeric", numeric), ("categorical", categorical))]
+    append_metrics(records[0].unionByName(records[1]), run.path("metrics", "baseline"), run.run_seq, run.run_ts)
 
 
 def detect_drift(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequence[str],
                  all_records: bool = False, **drift_options) -> None:
     """Drift records and gate; snapshots without a baseline pass."""
-    profiles = _only(_profiles(spark, run, all_records), snapshots)
+    profiles = _profiles(spark, run, snapshots, all_records)
     if profiles.isEmpty():
         raise FileNotFoundError("profiling metrics missing")
-    baselines = drift.last_baseline(_only(
-        mt.read_metrics(spark, run.path("metrics", "baseline"), mt.BASELINE_METRIC), snapshots)
+    baselines = drift.last_baseline(
+        mt.read_metrics(spark, run.path("metrics", "baseline"), mt.BASELINE_METRIC, snapshots)
     ).select(SNAPSHOT, "column", "type", "baseline.*")
     records = cut_lineage(drift.drift_records(
         drift.numeric_drift(profiles.where("type = 'numeric'"),
@@ -294,7 +319,8 @@ def _load_gold(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Seq
     loaded, alerts = [], [al.already_processed(_wanted(spark, skipped), run.run_ts)] if skipped else []
     if todo:
         rows = cleaning.enforce_types(_layer(spark, run, "silver", cfg, todo), cfg.contract)
-        loaded = [r[0] for r in rows.select(SNAPSHOT).distinct().collect()]
+        full = _snapshots_of(_layer(spark, run, "silver", cfg, todo))
+        loaded = [s for s in todo if s in full]
         empty = [s for s in todo if s not in loaded]
         if empty:
             alerts.append(al.silver_empty(_wanted(spark, empty), run.run_ts))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from snapgate.operators import gold
 from snapgate.sources.raw import SNAPSHOT
+from snapgate.sources.snapshots import path_exists
 
 
 def write_layer(df: DataFrame, path: str, file_format: str = "parquet", by: str = SNAPSHOT,
@@ -45,13 +46,7 @@ def append_metrics(df: DataFrame, path: str, run_seq: int, run_ts: str, by: str
 
 def read_gold(spark: SparkSession, path: str, schema) -> DataFrame:
     """The gold table; one that does not exist yet is empty."""
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def write_gold(source: DataFrame, target: DataFrame, path: str, keys: Sequence[str],

@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local: dict[str, str] = {}
-
-
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """A new folder under ``spark.checkpoint.dir``, which driver and executors must share."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = _local.setdefault("root", tempfile.mkdtemp(prefix="run-"))
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{root.rstrip('/')}/snapgate-{uuid.uuid4().hex}"
 
 
@@ -22,8 +18,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Store ``df`` and go on from the stored rows.
 
     Lost executors then repeat nothing before this point, and the planner knows the real
-    size of what follows, so it broadcasts only what it has measured to be small.
+    size of what follows, so it broadcasts only what it has measured to be small. The table goes when Spark ends.
     """
     path = scratch_dir(df.sparkSession)
     df.write.parquet(path)
+    at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(at)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from snapgate.sources.snapshots import path_exists, snapshot_paths
 
 _HEAD = "snapshot_date string, "
 _TAIL = ", timestamp string, run_seq bigint"
@@ -29,15 +31,19 @@ ALERT = ("severity string, source string, snapshot_date string, message string,
          "details string, timestamp string")
 
 
-def read_metrics(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The whole metric history; an absent path is an empty history."""
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.schema(schema).json(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+def read_metrics(spark: SparkSession, path: str, schema: str,
+                 snapshots: Sequence[str] | None = None) -> DataFrame:
+    """The metric history, whole or of the given snapshots; an absent path is an empty history."""
+    paths = [p for p in snapshot_paths(path, snapshots) if path_exists(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).json(paths)
+
+
+def shaped(df: DataFrame, shape, name: str) -> Column:
+    """A struct of type ``shape``: the columns of ``df`` by field name, absent ones NULL."""
+    return F.struct(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                      for f in shape.fields]).alias(name)
 
 
 def latest_record(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

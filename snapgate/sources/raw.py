@@ -14,7 +14,8 @@ SNAPSHOT = "snapshot_date"
 # Lineage columns that fix the order of source rows once and for all.
 ORDER_COLUMNS = ["_src_file", "_src_block", "_src_pos"]
 
-CSV_OPTIONS = {"header": True, "escape": '"', "enforceSchema": False}
+CORRUPT = "_corrupt_record"
+CSV_OPTIONS = {"header": True, "escape": '"', "enforceSchema": False, "columnNameOfCorruptRecord": CORRUPT}
 
 
 def _csv_schema(spark: SparkSession, paths: Sequence[str], base: str) -> T.StructType:
@@ -26,10 +27,25 @@ def _csv_schema(spark: SparkSession, paths: Sequence[str], base: str) -> T.Struc
                         + ([T.StructField(SNAPSHOT, T.StringType())] if partitioned else []))
 
 
-def _csv(spark: SparkSession, root: str, snapshots: Sequence[str] | None) -> DataFrame:
+def _csv(spark: SparkSession, root: str, snapshots: Sequence[str] | None, multi_line: bool = False,
+         on_corrupt: str = "fail") -> DataFrame:
+    """All cells as text. A line with more cells than the header fails the read, with its text.
+
+    With ``on_corrupt='keep'`` such lines stay and their text is in the column ``_corrupt_record``,
+    NULL for the other lines; ask for another column beside it. A line with fewer cells has NULLs at its end.
+    """
     paths = snapshot_paths(root, snapshots)
     schema = _csv_schema(spark, paths, root)
-    return spark.read.schema(schema).options(**CSV_OPTIONS, basePath=root).csv(paths)
+    cells = [f.name for f in schema.fields if f.name != SNAPSHOT]
+    read = spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+    df = read.options(**CSV_OPTIONS, basePath=root, multiLine=multi_line).csv(paths)
+    wider = ", ".join([*(f"`c{i}` string" for i in range(len(cells))), "`beyond` string"])
+    beyond = F.from_csv(F.col(CORRUPT), wider, {"escape": '"', "mode": "PERMISSIVE"})["beyond"]
+    text = F.when(beyond.isNotNull(), F.col(CORRUPT))
+    if on_corrupt == "keep":
+        return df.withColumn(CORRUPT, text)
+    failed = F.raise_error(F.concat(F.lit("line with too many cells: "), F.col(CORRUPT))).cast("string")
+    return df.withColumn(cells[0], F.when(text.isNotNull(), failed).otherwise(F.col(cells[0]))).drop(CORRUPT)
 
 
 def read_csv_text(spark: SparkSession, root: str, snapshots: Sequence[str] | None = None) -> DataFrame:
@@ -44,10 +60,10 @@ def read_csv_text(spark: SparkSession, root: str, snapshots: Sequence[str] | Non
 def read_parquet(spark: SparkSession, root: str, snapshots: Sequence[str] | None = None) -> DataFrame:
     """Parquet snapshots with a text ``snapshot_date``.
 
-    A snapshot is written by one job, so schemas are merged only across several snapshots.
+    Schemas are always merged, so that a column only some snapshots have is there however
+    they are asked for.
     """
-    merge = snapshots is not None and len(snapshots) > 1
-    df = spark.read.options(basePath=root, mergeSchema=merge).parquet(*snapshot_paths(root, snapshots))
+    df = spark.read.options(basePath=root, mergeSchema=True).parquet(*snapshot_paths(root, snapshots))
     return df.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("string"))
 
 
@@ -66,10 +82,14 @@ def with_source_order(df: DataFrame, file_format: str) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, root: str, file_format: str = "csv",
-             snapshots: Sequence[str] | None = None) -> DataFrame:
-    """The raw layer with its source order; only the given snapshots are listed and read."""
+             snapshots: Sequence[str] | None = None, multi_line: bool = False,
+             on_corrupt: str = "fail") -> DataFrame:
+    """The raw layer with its source order; only the given snapshots are listed and read.
+
+    ``multi_line`` reads quoted line breaks as part of a cell; a file is then one task's work.
+    """
     if file_format == "csv":
-        return na_to_null_all(with_source_order(_csv(spark, root, snapshots), "csv"))
+        return na_to_null_all(with_source_order(_csv(spark, root, snapshots, multi_line, on_corrupt), "csv"))
     return with_source_order(read_parquet(spark, root, snapshots), "parquet")
 
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def snapshot_paths(root: str, snapshots: Sequence[str] | None, by: str = "snapshot_date") -> list[str]:
     """The partition folders of the given snapshots, or the root for all of them."""
     if snapshots is None:
@@ -22,13 +26,10 @@ def list_snapshots(spark: SparkSession, root: str, snapshots: Sequence[str] | No
     Taken from the file listing: one row per file, no file is opened. A root that does not
     exist has no snapshots.
     """
-    wanted = root if snapshots is None else f"{root.rstrip('/')}/{by}={{{','.join(snapshots)}}}"
-    try:
-        files = spark.read.format("binaryFile").option("basePath", root).load(wanted)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    wanted = [p for p in snapshot_paths(root, snapshots, by) if path_exists(spark, p)]
+    if not wanted:
         return spark.createDataFrame([], f"{by} string")
+    files = spark.read.format("binaryFile").option("basePath", root).load(wanted)
     if by not in files.columns:
         return spark.createDataFrame([], f"{by} string")
     return files.select(F.col(by).cast("string").alias(by)).distinct()
@@ -60,7 +61,7 @@ def require_snapshots(spark: SparkSession, root: str, snapshots: Sequence[str],
     """Fail unless every snapshot has files under ``root``."""
     wanted = spark.createDataFrame([(s,) for s in snapshots], f"{by} string")
     absent = [r[0] for r in missing_snapshots(wanted, list_snapshots(spark, root, snapshots, by), by)
-              .orderBy(by).take(10)]
+              .orderBy(by).collect()]
     if absent:
         raise FileNotFoundError(f"missing {what} data for snapshots {absent}")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from snapgate.config import Contract, ContractColumn
 from snapgate.functions.text import na_to_null, try_date, try_integer
 from snapgate.operators import cleaning
 from snapgate.suite.inputs import (CLEAN, CONTRACT, SNAP, SNAP_KEYS, TEXT_CONTRACT, out, snap, table)
@@ -16,6 +17,18 @@ def silver_clean(spark, sf):
     return out(clean.select(*_ROWS, "measure"))
 
 
+DROP_CONTRACT = Contract("v3", tuple(ContractColumn(n, t, False) for n, t in [
+    ("entity_id", "integer"), ("category", "string"), ("period", "string"), ("measure_text", "integer")]))
+
+
+def silver_clean_drop(spark, sf):
+    """Silver and rejects in drop mode: refused rows go ahead of the dedup."""
+    rows = snap(spark, sf).withColumn("measure_text", na_to_null(F.col("measure_text")))
+    silver = cleaning.clean(rows, DROP_CONTRACT, SNAP_KEYS, ["src_pos"], on_bad_cast="drop")
+    rejects = cleaning.cast_rejects(rows, DROP_CONTRACT)
+    return silver.select(F.lit("silver").alias("kind"), "src_pos").unionByName(rejects.select(F.lit("reject").alias("kind"), "src_pos"))
+
+
 def dropna_critical(spark, sf):
     return out(cleaning.drop_null_critical(snap(spark, sf), CONTRACT.critical).select(*_ROWS))
 
@@ -73,6 +86,14 @@ QUERIES = {
     "silver_clean": (silver_clean, f"""with {SNAP}, {CLEAN}
 select src_pos, cast(snapshot_date as varchar) as snapshot_date, entity_id, category, period,
        cast(trunc(measure) as bigint) as measure from firsts"""),
+    "silver_clean_drop": (silver_clean_drop, f"""with {SNAP},
+r as (select *, nullif(measure_text, 'NA') as cell from snap),
+g as (select *, cell is not null and not regexp_full_match(cell, '[+-]?[0-9]+([.][0-9]+)?') as bad from r),
+k as (select src_pos, row_number() over (
+        partition by entity_id, period, category, snapshot_date order by src_pos) as rn
+      from g where entity_id is not null and category is not null and period is not null and cell is not null and not bad)
+select 'silver' as kind, src_pos from k where rn = 1
+union all select 'reject', src_pos from g where bad"""),
     "dropna_critical": (dropna_critical, f"""with {SNAP}, {CLEAN}
 select src_pos, cast(snapshot_date as varchar) as snapshot_date, entity_id, category, period from kept"""),
     "silver_row_accounting": (silver_row_accounting, f"""with {SNAP}, {CLEAN},

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from snapgate.operators import baseline as bl, drift, profile as pf
 from snapgate.operators.quantiles import select_quantiles
 from snapgate.sinks.scratch import cut_lineage
-from snapgate.suite.inputs import CATEGORICAL, NUMERIC, SNAP, out, snap, table
+from snapgate.suite.inputs import CALENDAR, CATEGORICAL, NUMERIC, SNAP, calendar, out, snap, table
 
 WINDOW = 7
 
@@ -54,8 +54,8 @@ def profile_numeric_lineitem(spark, sf):
 
 
 def profile_numeric_narrowing(spark, sf):
-    """The same profile with every group treated as too large for one task."""
-    return rounded(pf.profile_numeric(_sold(spark, sf), _LI_NUM, "snapshot_year", small_group_rows=0),
+    """The same profile with ranges of a thousand values sorted at the end."""
+    return rounded(pf.profile_numeric(_sold(spark, sf), _LI_NUM, "snapshot_year", sort_rows=1000),
                    _STATS)
 
 
@@ -76,6 +76,12 @@ def profile_categorical(spark, sf):
     return out(_categorical(spark, sf).select("snapshot_date", "column", "count", "cardinality"))
 
 
+def profile_empty_snapshots(spark, sf):
+    """Records of count 0 for the calendar days without rows."""
+    p = pf.cover_profiles(calendar(spark, sf), _categorical(spark, sf), CATEGORICAL)
+    return out(p.select("snapshot_date", "column", "count", "cardinality", F.size("top_5_values").alias("top")))
+
+
 def profile_categorical_lineitem(spark, sf):
     li = table(spark, sf, "lineitem").withColumn("snapshot_year", F.year("l_shipdate"))
     p = pf.profile_categorical(li, ["l_returnflag", "l_linestatus", "l_suppkey"], "snapshot_year")
@@ -273,6 +279,14 @@ from (select l_linestatus, l_returnflag, quantile_cont(l_extendedprice,
 select {_DAY}, "column", value, n from vc"""),
     "profile_categorical": (profile_categorical, f"""with {SNAP}, {VC}
 select {_DAY}, "column", count, cardinality from cprof"""),
+    "profile_empty_snapshots": (profile_empty_snapshots, f"""with {SNAP}, {CALENDAR}, {VC},
+names as (select unnest({CATEGORICAL}) as "column"),
+top as (select snapshot_date, "column", cast(count(*) as int) as top from top5 group by all)
+select cast(c.snapshot_date as varchar) as snapshot_date, n."column", coalesce(p.count, 0) as count,
+       coalesce(p.cardinality, 0) as cardinality, coalesce(t.top, 0) as top
+from calendar c cross join names n
+left join cprof p on p.snapshot_date = c.snapshot_date and p."column" = n."column"
+left join top t on t.snapshot_date = c.snapshot_date and n."column" = t."column" """),
     "profile_categorical_lineitem": (profile_categorical_lineitem, " union all ".join(
         f"""select cast(year(l_shipdate) as int) as snapshot_year, '{c}' as "column", count({c}) as count,
        count(distinct {c}) as cardinality from lineitem group by 1

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from snapgate.operators import alerts as al, gold, quality as dq, schema_gate as sg
 from snapgate.sinks.layers import read_gold, write_gold
-from snapgate.sinks.scratch import scratch_dir
+from snapgate.sinks.scratch import cut_lineage, scratch_dir
 from snapgate.suite import drift_queries as dr
 from snapgate.suite.inputs import CONTRACT, LIMITS, SNAP, TEXT_CONTRACT, out, snap, yearly_orders
 from snapgate.functions.text import na_to_null
@@ -84,6 +84,17 @@ def gold_upsert_stored(spark, sf):
     return read_gold(spark, path, source.schema).select(*GOLD_COLUMNS)
 
 
+def gold_upsert_null_partition(spark, sf):
+    """The stored merge where a seventh of the customers have no partition value."""
+    year = F.expr("if(o_custkey % 7 = 0, null, snapshot_year)")
+    target, source = (side.withColumn("snapshot_year", year) for side in _sides(spark, sf))
+    path = scratch_dir(spark)
+    for rows in (target, source.where("o_orderkey % 2 = 0"), source):
+        stored = gold.touched(read_gold(spark, path, source.schema), rows, "snapshot_year")
+        write_gold(rows, stored, path, GOLD_KEYS, ["o_orderkey"], "snapshot_year")
+    return read_gold(spark, path, source.schema).select(*GOLD_COLUMNS)
+
+
 def gold_upsert_counts(spark, sf):
     target, source = _sides(spark, sf)
     return gold.upsert_counts(target, source, GOLD_KEYS, "snapshot_year")
@@ -120,11 +131,11 @@ def ledger_after_load(spark, sf):
 
 def _gate_alerts(spark, sf):
     s = snap(spark, sf).withColumn("measure_text", na_to_null(F.col("measure_text")))
-    return al.union_alerts([
-        al.schema_alerts(sg.scorecard(s, TEXT_CONTRACT), RUN_TS),
-        al.quality_alerts(dq.quality_status(_measured(spark, sf), LIMITS), RUN_TS),
-        al.drift_alerts(dr.rounded(dr._records(spark, sf), ["baseline", "current", "drift_pct"]), RUN_TS),
-    ])
+    # alerts are read off stored gate outputs, as the jobs do
+    cards, judged, drifted = (cut_lineage(x) for x in (
+        sg.scorecard(s, TEXT_CONTRACT), dq.quality_status(_measured(spark, sf), LIMITS),
+        dr.rounded(dr._records(spark, sf), ["baseline", "current", "drift_pct"])))
+    return al.union_alerts([al.schema_alerts(cards, RUN_TS), al.quality_alerts(judged, RUN_TS), al.drift_alerts(drifted, RUN_TS)])
 
 
 def alerts_union(spark, sf):
@@ -222,6 +233,10 @@ select {_DAY}, row_count, status, round_even(chg, 2), 'category',
   partition by o_custkey, snapshot_year order by o_orderkey desc) as rn from o) where rn = 1"""),
     "gold_upsert": (gold_upsert, f"with {_SIDES}\n{_GOLD} from merged"),
     "gold_upsert_stored": (gold_upsert_stored, f"with {_SIDES}\n{_GOLD} from merged"),
+    "gold_upsert_null_partition": (gold_upsert_null_partition, "with " + _SIDES.replace(
+        "cast(year(o_orderdate) as int) as snapshot_year",
+        "case when o_custkey % 7 <> 0 then cast(year(o_orderdate) as int) end as snapshot_year")
+        + f"\n{_GOLD} from merged"),
     "gold_upsert_counts": (gold_upsert_counts, f"""with {_SIDES},
 k as (select o_custkey, snapshot_year, count(*) as n,
              bool_or((o_custkey, snapshot_year) in (select (o_custkey, snapshot_year) from t)) as known

@@ -165,8 +165,9 @@ DELIVERED = f"""delivered as (
          replace(p_name, ' ', '_') as name, max({_TYPE_SQL}) as type
   from lineitem join part on l_partkey = p_partkey group by all),
 expected as (
-  select distinct d.snapshot_date, n.dataset, n.version, n.name, n.type
-  from delivered d join newest n on d.dataset = n.dataset)"""
+  select d.snapshot_date, n.dataset, n.version, n.name, n.type
+  from (select distinct snapshot_date, dataset from delivered) d
+  join (select distinct dataset, version, name, type from newest) n on d.dataset = n.dataset)"""
 
 
 def yearly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

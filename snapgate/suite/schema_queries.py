@@ -113,6 +113,12 @@ def schema_scorecard(spark, sf):
     return out(cards.withColumns({c: F.array_join(c, ",") for c in cards.columns if c.endswith("_columns")}))
 
 
+def schema_scorecard_types(spark, sf):
+    """The strict type check: a double is no integer, whatever its values."""
+    cards = sg.scorecard(snap(spark, sf), CONTRACT, strict_types=True)
+    return out(cards.withColumns({c: F.array_join(c, ",") for c in cards.columns if c.endswith("_columns")}))
+
+
 QUERIES = {
     "registry_latest_version": (registry_latest_version, f"""with {REGISTRY}
 select dataset, version, count(*) as columns from newest group by all"""),
@@ -179,4 +185,10 @@ select cast(snapshot_date as varchar) as snapshot_date, 'v2' as schema_version,
        case when nulls > 0 then 'measure_text' else '' end as null_columns, passed as checks_passed,
        case when passed < 4 then 1 else 0 end as checks_failed,
        case when passed < 4 then 'FAILED' else 'PASSED' end as status from p"""),
+    "schema_scorecard_types": (schema_scorecard_types, f"""with {SNAP}
+select cast(snapshot_date as varchar) as snapshot_date, 'v1' as schema_version, count(*) as row_count,
+       '' as missing_columns, 'measure' as uncastable_columns,
+       concat_ws(',', case when count(*) filter (entity_id is null) > 0 then 'entity_id' end,
+                 case when count(*) filter (measure is null or isnan(measure)) > 0 then 'measure' end) as null_columns,
+       2 as checks_passed, 1 as checks_failed, 'FAILED' as status from snap group by 1"""),
 }

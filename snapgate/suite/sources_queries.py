@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from snapgate.functions.text import na_to_null, snapshot_of_path
@@ -9,7 +11,7 @@ from snapgate.operators import profile as pf
 from snapgate.sinks.layers import append_metrics, write_layer
 from snapgate.sinks.scratch import scratch_dir
 from snapgate.sources import metrics as mt, snapshots as sn
-from snapgate.sources.raw import ORDER_COLUMNS, read_layer, read_raw, stamp, with_source_order
+from snapgate.sources.raw import CORRUPT, ORDER_COLUMNS, read_layer, read_raw, stamp, with_source_order
 from snapgate.suite.inputs import (CALENDAR, CLEAN, CONTRACT, SNAP, SNAP_KEYS, calendar, out, snap,
                                    table)
 from snapgate.operators import cleaning
@@ -30,6 +32,33 @@ def raw_csv_scan(spark, sf):
     return out(raw.select("snapshot_date", *[c for c in _BRONZE if c != "snapshot_date"]))
 
 
+def raw_csv_corrupt_rows(spark, sf):
+    """Raw lines with one cell too many, which a keeping read sets aside with their text."""
+    path = scratch_dir(spark)
+    cell = F.expr("if(src_pos % 211 = 0, concat(category, ',x'), category)").alias("category")
+    rows = snap(spark, sf).select("snapshot_date", "src_pos", cell)
+    rows.write.partitionBy("snapshot_date").option("header", True).option("quote", "\u0000").csv(path)
+    raw = read_raw(spark, path, on_corrupt="keep")
+    return out(raw.where(F.col(CORRUPT).isNotNull()).select("snapshot_date", "src_pos", F.col(CORRUPT).alias("line")))
+
+
+def silver_schema_growth(spark, sf):
+    """A layer of which only the odd days have the column ``note``, read whole, by list and by day."""
+    path, days = scratch_dir(spark), snap(spark, sf).select("snapshot_date", "src_pos", "period")
+    odd = F.dayofmonth("snapshot_date") % 2 == 1
+    write_layer(days.where(odd).select("snapshot_date", "src_pos", F.col("period").alias("note")), path)
+    write_layer(days.where(~odd).select("snapshot_date", "src_pos"), path)
+    listed = ["2024-01-02", "2024-01-03"]
+    parts = [("whole", None), ("listed", listed), *(("single", [d]) for d in listed)]
+    counted = []
+    for how, which in parts:
+        rows = read_layer(spark, path, snapshots=which)
+        note = F.col("note") if "note" in rows.columns else F.lit(None).cast("string")
+        counted.append(rows.groupBy("snapshot_date").agg(F.count("*").alias("row_count"), F.count(note).alias("notes"))
+                       .select(F.lit(how).alias("how"), "*"))
+    return out(reduce(lambda a, b: a.unionByName(b), counted))
+
+
 def na_token_nulls(spark, sf):
     s = snap(spark, sf).withColumn("cell", na_to_null(F.col("measure_text")))
     return out(s.groupBy("snapshot_date").agg(
@@ -153,6 +182,16 @@ QUERIES = {
 select cast(src_pos as varchar) as src_pos, cast(snapshot_date as varchar) as snapshot_date,
        cast(entity_id as varchar) as entity_id, category, period,
        cast(amount as varchar) as amount, nullif(measure_text, 'NA') as measure_text from snap"""),
+    "raw_csv_corrupt_rows": (raw_csv_corrupt_rows, f"""with {SNAP}
+select cast(snapshot_date as varchar) as snapshot_date, cast(src_pos as varchar) as src_pos,
+       concat(src_pos, ',', category, ',x') as line
+from snap where src_pos % 211 = 0"""),
+    "silver_schema_growth": (silver_schema_growth, f"""with {SNAP},
+d as (select cast(snapshot_date as varchar) as snapshot_date, count(*) as row_count,
+             count(*) filter (day(snapshot_date) % 2 = 1) as notes from snap group by 1)
+select 'whole' as how, * from d
+union all select how, d.* from d, (values ('listed'), ('single')) as h(how)
+where snapshot_date in ('2024-01-02', '2024-01-03')"""),
     "na_token_nulls": (na_token_nulls, f"""with {SNAP}
 select cast(snapshot_date as varchar) as snapshot_date, count(*) as cells,
        count(nullif(measure_text, 'NA')) as present,

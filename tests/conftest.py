@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,6 +13,7 @@ def session():
              .config("spark.sql.shuffle.partitions", "4")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", "8g")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.python.sql.dataFrameDebugging.enabled", "false")

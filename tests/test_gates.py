@@ -148,7 +148,7 @@ def test_profile_edge_cases(spark):
         [("d1", 1.0, "a"), ("d1", 2.0, "b"), ("d1", float("nan"), "b"), ("d2", 5.0, None), ("d3", None, "c")],
         "snapshot_date string, x double, g string")
     for small in (10, 0):
-        got = {r["snapshot_date"]: r for r in pf.profile_numeric(df, ["x", "absent"], small_group_rows=small).collect()}
+        got = {r["snapshot_date"]: r for r in pf.profile_numeric(df, ["x", "absent"], sort_rows=small).collect()}
         assert [got["d1"][m] for m in pf.NUMERIC_METRICS] == [2, 1.5, 1.5, 0.5, 1.0, 2.0, 1.25, 1.5, 1.75]
         assert [got["d2"][m] for m in pf.NUMERIC_METRICS] == [1, 5.0, 5.0, 0.0, 5.0, 5.0, 5.0, 5.0, 5.0]
         assert [got["d3"][m] for m in pf.NUMERIC_METRICS] == [0, None, None, 0.0] + [None] * 5

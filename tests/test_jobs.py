@@ -285,3 +285,87 @@ def test_profiling_skips_absent_columns(spark, root):
     jobs.run_profiling(spark, cfg, run(root), D[:1])
     records = mt.read_metrics(spark, f"{root}/metrics/profile", mt.PROFILE_METRIC).collect()
     assert [(r["column"], r["type"], r["metrics"]["cardinality"]) for r in records] == [("team", "categorical", 3)]
+
+
+def test_run_all_on_a_snapshot_that_loses_all_rows(spark, tmp_path):
+    root = str(tmp_path)
+    write_raw(root, D[0], [f",P1,T1,S1,1,1,1,{D[0]}"])
+    jobs.run_all(spark, PLAYER_STATS, run(root), [D[0]])
+    assert [(a[0], a[1]) for a in alerts(spark, root)] == [("WARN", "GOLD_LOADER")]
+    assert not os.path.exists(f"{root}/ledger")
+    assert {r["metrics"]["count"] for r in mt.read_metrics(spark, f"{root}/metrics/profile", mt.PROFILE_METRIC).collect()} == {0}
+
+
+def test_a_good_duplicate_outlives_a_refused_row_and_old_rejects_go(spark, tmp_path):
+    root = str(tmp_path)
+    write_raw(root, D[0], [player(1, D[0], points="abc"), player(1, D[0], points=7)])
+    jobs.ingest(spark, PLAYER_STATS, run(root), [D[0]])
+    jobs.validate_and_clean(spark, PLAYER_STATS, run(root), [D[0]], on_bad_cast="drop")
+    assert [r["points"] for r in read_layer(spark, f"{root}/silver").collect()] == [7]
+    assert [r["points"] for r in spark.read.parquet(f"{root}/rejects").collect()] == ["abc"]
+    write_raw(root, D[0], [player(1, D[0], points=8)])
+    jobs.ingest(spark, PLAYER_STATS, run(root, 2), [D[0]])
+    jobs.validate_and_clean(spark, PLAYER_STATS, run(root, 2), [D[0]], on_bad_cast="drop")
+    assert read_layer(spark, f"{root}/rejects").count() == 0
+    counts = mt.read_metrics(spark, f"{root}/metrics/cleaning", "snapshot_date string, rows_in bigint, rows_after_dedup bigint, run_seq bigint")
+    assert sorted((r["run_seq"], r["rows_in"], r["rows_after_dedup"]) for r in counts.collect()) == [(1, 1, 1), (2, 1, 1)]
+
+
+def test_a_header_only_file_empties_bronze(spark, tmp_path):
+    root = str(tmp_path)
+    write_raw(root, D[0], day_lines(D[0]))
+    jobs.ingest(spark, PLAYER_STATS, run(root), [D[0]])
+    write_raw(root, D[0], [])
+    jobs.ingest(spark, PLAYER_STATS, run(root, 2), [D[0]])
+    assert read_layer(spark, f"{root}/bronze").count() == 0
+
+
+def test_all_missing_snapshots_are_named(spark, root):
+    days = [f"2023-05-{d:02d}" for d in range(1, 12)]
+    with pytest.raises(FileNotFoundError) as e:
+        jobs.ingest(spark, PLAYER_STATS, run(root), days)
+    assert all(d in str(e.value) for d in days)
+
+
+def test_parquet_types_must_be_the_contracts(spark, tmp_path):
+    root = str(tmp_path)
+    write_raw(root, D[0], day_lines(D[0]))
+    jobs.ingest(spark, PLAYER_STATS, run(root), [D[0]])
+    jobs.validate_and_clean(spark, PLAYER_STATS, run(root), [D[0]])
+    silver = read_layer(spark, f"{root}/silver")
+    for kind in ("string", "int"):
+        silver.withColumn("points", silver.points.cast(kind)).drop("snapshot_date").coalesce(1).write.mode("overwrite").parquet(
+            f"{root}/other-{kind}/silver/snapshot_date={D[0]}")
+        with pytest.raises(GateFailed):
+            jobs.enforce_schema(spark, PLAYER_STATS, run(f"{root}/other-{kind}"), [D[0]])
+    jobs.enforce_schema(spark, PLAYER_STATS, run(root), [D[0]])
+
+
+def test_long_lines_fail_and_quoted_line_ends_come_back_whole(spark, tmp_path):
+    root = str(tmp_path)
+    write_raw(root, D[0], [player(1, D[0]), player(2, D[0]) + ",beyond", player(3, D[0])])
+    with pytest.raises(Exception, match="too many cells"):
+        jobs.ingest(spark, PLAYER_STATS, run(root), [D[0]])
+    write_raw(root, D[0], [player(1, D[0]).replace("P1", '"P\n1"'), player(2, D[0])])
+    jobs.ingest(spark, replace(PLAYER_STATS, raw_multi_line=True), run(root), [D[0]])
+    assert sorted(r["player_name"] for r in read_layer(spark, f"{root}/bronze").collect()) == ["P\n1", "P2"]
+
+
+def test_baselines_read_only_their_windows(spark, tmp_path):
+    root, days = str(tmp_path), [f"2024-03-{d:02d}" for d in range(1, 13)]
+    for day in days:
+        write_raw(root, day, day_lines(day))
+    jobs.ingest(spark, LOOSE, run(root), days)
+    jobs.validate_and_clean(spark, LOOSE, run(root), days)
+    jobs.run_profiling(spark, LOOSE, run(root), days)
+    read = jobs._members(jobs._recorded(spark, f"{root}/metrics/profile"), [days[-1]], 7)
+    assert read == set(days[4:11])
+    files = jobs._profiles(spark, run(root), sorted(read)).inputFiles()
+    assert {f.split("snapshot_date=")[1][:10] for f in files} == read
+
+
+def test_value_counts_are_made_once(spark):
+    from snapgate.operators import profile as pf
+    df = spark.createDataFrame([("d", "a"), ("d", "b"), ("d", None)], "snapshot_date string, g string")
+    plan = pf.profile_categorical(df, ["g"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" not in plan and "LogicalRDD" not in plan   # only the stored counts are read
