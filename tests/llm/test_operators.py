@@ -153,7 +153,7 @@ def spans_of(text):
 
 SECRETS = [(9020, "token=passwd: abcdefgh"), (9021, "Api-key API_KEY = 'abcdefgh12' apikey:\"12345678\""), (9022, "é𝄞 secret: " + "f" * 40),
            (9023, "AKIA" + "A1" * 8 + " AKIAshort AKIAAKIA" + "B" * 9), (9024, "0" * 31 + " " + "0" * 32 + "g" + "a" * 64), (9025, "password=" * 3 + "x" * 9),
-           (9026, "-----BEGIN RSA PRIVATE KEY-----"), (9027, "ghp_" + "a" * 36), (9028, "https://user:pw@host/ password:   short"), (9029, "token:\n12345678")]
+           (9026, "-----BEGIN RSA PRIVATE KEY-----"), (9027, "ghp_" + "Z" * 36), (9028, "https://user:pw@host/ password:   short"), (9029, "token:\n12345678")]
 
 
 def test_secrets_equal_brute_force(spark):
