@@ -32,7 +32,7 @@ def _csv(spark: SparkSession, root: str, snapshots: Sequence[str] | None, multi_
     """All cells as text. A line with more cells than the header fails the read, with its text.
 
     With ``on_corrupt='keep'`` such lines stay and their text is in the column ``_corrupt_record``,
-    NULL for the other lines; ask for another column beside it. A line with fewer cells has NULLs at its end.
+    NULL for the other lines; Spark fills it only where all columns are read. A line with fewer cells has NULLs at its end.
     """
     paths = snapshot_paths(root, snapshots)
     schema = _csv_schema(spark, paths, root)

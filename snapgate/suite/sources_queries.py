@@ -35,11 +35,11 @@ def raw_csv_scan(spark, sf):
 def raw_csv_corrupt_rows(spark, sf):
     """Raw lines with one cell too many, which a keeping read sets aside with their text."""
     path = scratch_dir(spark)
-    cell = F.expr("if(src_pos % 211 = 0, concat(category, ',x'), category)").alias("category")
-    rows = snap(spark, sf).select("snapshot_date", "src_pos", cell)
-    rows.write.partitionBy("snapshot_date").option("header", True).option("quote", "\u0000").csv(path)
+    line = F.expr("concat(src_pos, ',', category, if(src_pos % 211 = 0, ',x', ''))").alias("src_pos,category")
+    rows = snap(spark, sf).select("snapshot_date", line)
+    rows.write.partitionBy("snapshot_date").option("header", True).option("sep", "\u0001").csv(path)
     raw = read_raw(spark, path, on_corrupt="keep")
-    return out(raw.where(F.col(CORRUPT).isNotNull()).select("snapshot_date", "src_pos", F.col(CORRUPT).alias("line")))
+    return out(raw.where(F.col(CORRUPT).isNotNull()).select("snapshot_date", "src_pos", "category", F.col(CORRUPT).alias("line")))
 
 
 def silver_schema_growth(spark, sf):
@@ -184,7 +184,7 @@ select cast(src_pos as varchar) as src_pos, cast(snapshot_date as varchar) as sn
        cast(amount as varchar) as amount, nullif(measure_text, 'NA') as measure_text from snap"""),
     "raw_csv_corrupt_rows": (raw_csv_corrupt_rows, f"""with {SNAP}
 select cast(snapshot_date as varchar) as snapshot_date, cast(src_pos as varchar) as src_pos,
-       concat(src_pos, ',', category, ',x') as line
+       category, concat(src_pos, ',', category, ',x') as line
 from snap where src_pos % 211 = 0"""),
     "silver_schema_growth": (silver_schema_growth, f"""with {SNAP},
 d as (select cast(snapshot_date as varchar) as snapshot_date, count(*) as row_count,
