@@ -85,7 +85,7 @@ def select_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
     largest = _largest(todo)
     while largest:
         wanted = todo.withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
-        inside = _inside(values, wanted, keys)
+        inside = _inside(values, wanted, keys, 2 * len(probs))
         ranges = [*keys, "_lo", "_hi"]
         if largest <= sort_rows:
             ordered = inside.groupBy(*ranges).agg(sorted_values("value").alias("_v"))
@@ -116,13 +116,14 @@ def _largest(todo: DataFrame) -> int:
     return todo.agg(F.max("n")).first()[0] or 0
 
 
-def _inside(values: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
-    """The values in a wanted range; ranges of a group never overlap.
+def _inside(values: DataFrame, wanted: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """The values in a wanted range; a group has at most ``most``, which never overlap.
 
     A group's ranges, two for each probability at most, are packed into one row, so the join
     neither repeats values nor sends them by range; ``wanted`` is a stored table, broadcast
     when its measured size allows.
     """
     ranges = wanted.groupBy(*keys).agg(F.collect_set(F.struct("_lo", "_hi")).alias("_ranges"))
-    hit = F.get(F.filter("_ranges", lambda r: F.col("value").between(r["_lo"], r["_hi"])), F.lit(0))
+    each = [F.get("_ranges", F.lit(i)) for i in range(most)]
+    hit = F.coalesce(*[F.when(F.col("value").between(r["_lo"], r["_hi"]), r) for r in each])
     return values.join(ranges, keys).withColumn("_r", hit).where("_r is not null").select(*values.columns, "_r._lo", "_r._hi")
