@@ -11,6 +11,9 @@ gives their intervals of common prefixes, and extended backwards breadth-first.
 symbol before each suffix (its Burrows-Wheeler symbol) and splits the intervals by it, stably, as the
 LF mapping does; intervals whose common prefix, the extension included, reaches the threshold
 and that hold two suffixes are repeated windows, and no prefix beyond the threshold is looked at.
+
+An anchor with more than ``HOT_GROUP`` different surroundings is never gathered: its intervals are
+extended by ``SPAN`` offsets at once and then by one, as hashes that are counted where they lie.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from snapgate.llm.common import CHUNK_BYTES, chunks, flat, forget, in_arrow, keep, map_chunks, mix, powers, prefix_sums, substring_hashes
 
@@ -27,6 +30,10 @@ MIN_BYTES = 200
 ANCHOR_BYTES = 40
 #: Bytes beside an anchor that a window over it can reach.
 REACH = MIN_BYTES - ANCHOR_BYTES
+#: Different surroundings of an anchor that one task expands.
+HOT_GROUP = 16_384
+#: Offsets that are looked at together in a hot group.
+SPAN = 23
 
 
 def _window_min(values, width):
@@ -139,32 +146,37 @@ def _rank(rows):
     return rank
 
 
+def _suffixes(data, offsets, anchor, before, many):
+    """Row, point in ``data`` and bytes to the left and right of each suffix.
+
+    In rows of ``many``, those of periodic text, each place of the anchor counts.
+    """
+    row, point = np.arange(len(anchor)), offsets[:-1] + before
+    if many.any():
+        sums = prefix_sums(data)
+        _, down = powers(len(data))
+        m = len(data) - ANCHOR_BYTES + 1
+        h = mix((sums[ANCHOR_BYTES:] - sums[:m]) * down[:m])
+        mine = np.repeat(np.arange(len(anchor)), np.diff(offsets))[:m]
+        hit = np.flatnonzero(many[mine] & (h.view(np.int64) == anchor[mine]) & (np.arange(m) + ANCHOR_BYTES <= offsets[mine + 1]))
+        row, point = np.concatenate([row[~many], mine[hit]]), np.concatenate([point[~many], hit])
+    return row, point, np.minimum(point - offsets[row], REACH), np.minimum(offsets[row + 1] - point - ANCHOR_BYTES, REACH)
+
+
 def _expand_rows(table: pa.Table):
     """(doc, start, end) of the repeated stretches in the given surroundings of anchors."""
     data, offsets = flat(table.column("bytes"))
     anchor, doc, at, weight, before, loop = (table.column(c).to_numpy() for c in ("anchor", "doc", "at", "weight", "before", "loop"))
-    row, point = np.arange(len(anchor)), offsets[:-1] + before
     _, group = np.unique(anchor, return_inverse=True)
     looped = np.zeros(int(group.max()) + 1, bool)
     looped[group[loop]] = True
-    if looped.any():
-        # in periodic text each place of the anchor counts
-        sums = prefix_sums(data)
-        _, down = powers(len(data))
-        m = len(data) - ANCHOR_BYTES + 1
-        h = mix((sums[ANCHOR_BYTES:] - sums[:m]) * down[:m])
-        mine = np.repeat(np.arange(len(anchor)), np.diff(offsets))[:m]
-        hit = np.flatnonzero(looped[group[mine]] & (h.view(np.int64) == anchor[mine]) & (np.arange(m) + ANCHOR_BYTES <= offsets[mine + 1]))
-        plain = ~looped[group]
-        row, point = np.concatenate([row[plain], mine[hit]]), np.concatenate([point[plain], hit])
-    begin, end = offsets[row], offsets[row + 1]
-    n_left, n_right = np.minimum(point - begin, REACH), np.minimum(end - point - ANCHOR_BYTES, REACH)
+    row, point, n_left, n_right = _suffixes(data, offsets, anchor, before, looped[group])
     reach = np.arange(REACH)
     padded = np.concatenate([data, np.zeros(1, np.uint8)])
     gather = lambda index, inside: padded[np.where(inside, index, len(data))]
     left = gather(point[:, None] - 1 - reach, reach < n_left[:, None])
     right = gather(point[:, None] + ANCHOR_BYTES + reach, reach < n_right[:, None])
-    corpus = at[row] - before[row] + (point - begin)
+    corpus = at[row] - before[row] + (point - offsets[row])
     _, place = np.unique(np.stack([doc[row], corpus]), axis=1, return_inverse=True)
     marks = expand(left, n_left, right, n_right, group[row], place.ravel(), weight[row])
     # offsets next to each other are one stretch
@@ -175,6 +187,53 @@ def _expand_rows(table: pa.Table):
     return pa.RecordBatch.from_arrays([pa.array(doc[row][who]), pa.array(start), pa.array(stop)], ["doc", "start", "stop"])
 
 
+_SPANS = "shared long, cover long, doc long, point long, weight long, first int, last int, windows array<long>"
+
+
+def _hot_spans(batch):
+    """For each suffix and each ``SPAN`` offsets that have windows: hashes of the bytes that all windows at
+    these offsets hold, of those they cover together and of each window, with the first and last offset."""
+    data, offsets = flat(batch.column("bytes"))
+    anchor, doc, at, weight, before = (batch.column(c).to_numpy() for c in ("anchor", "doc", "at", "weight", "before"))
+    many = batch.column("loop").to_numpy(zero_copy_only=False)
+    row, point, n_left, n_right = _suffixes(data, offsets, anchor, before, many)
+    sums, step = prefix_sums(data), np.arange(REACH + 1)
+    who, offset = np.nonzero((step <= n_left[:, None]) & (step >= REACH - n_right[:, None]))
+    windows = substring_hashes(sums, point[who] - offset, point[who] - offset + MIN_BYTES)
+    span = offset // SPAN
+    cut = np.flatnonzero(np.concatenate([[True], (who[1:] != who[:-1]) | (span[1:] != span[:-1])])[:len(who)])
+    stop = np.append(cut[1:], len(who))
+    who, low, first, last = who[cut], span[cut] * SPAN, offset[cut], offset[stop - 1]
+    high = np.minimum(low + SPAN - 1, REACH)
+    here, salt = point[who], low.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    shared = mix(substring_hashes(sums, here - low, here - high + MIN_BYTES) + salt)
+    cover = mix(substring_hashes(sums, here - last, here - first + MIN_BYTES) + first.astype(np.uint64))
+    mine = row[who]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(shared.view(np.int64)), pa.array(cover.view(np.int64)), pa.array(doc[mine]),
+         pa.array(at[mine] - before[mine] + (here - offsets[mine])), pa.array(weight[mine]), pa.array(first.astype(np.int32)),
+         pa.array(last.astype(np.int32)), pa.ListArray.from_arrays(np.append(cut, len(windows)).astype(np.int32), pa.array(windows.view(np.int64)))],
+        ["shared", "cover", "doc", "point", "weight", "first", "last", "windows"])
+
+
+def _hot_stretches(around: DataFrame) -> DataFrame:
+    """(doc, start, stop) of the repeated stretches in the surroundings of hot anchors, by counting hashes only."""
+    spans = keep(in_arrow(around, lambda batches: map(_hot_spans, chunks(batches, "bytes")), _SPANS))
+
+    def repeated(rows, by, *more):
+        place = F.struct("doc", "point")
+        return (rows.groupBy(by).agg(F.min(place).alias("a"), F.max(place).alias("b"), F.max("weight").alias("w"), *more)
+                .where("a <> b or w > 1").drop("a", "b", "w"))
+
+    found = spans.join(keep(repeated(spans, "shared", (F.min("cover") == F.max("cover")).alias("even"))), "shared")
+    even = found.where("even").select("doc", (F.col("point") - F.col("last")).alias("start"),
+                                      (F.col("point") - F.col("first") + MIN_BYTES).alias("stop"))
+    each = keep(found.where("not even").select("doc", "point", "weight", "first", F.posexplode("windows").alias("k", "window"))
+                .select("window", "doc", (F.col("point") - F.col("first") - F.col("k")).alias("point"), "weight"))
+    twice = each.join(keep(repeated(each, "window")), "window", "left_semi")
+    return even.unionByName(twice.select("doc", F.col("point").alias("start"), (F.col("point") + MIN_BYTES).alias("stop")))
+
+
 def _whole_groups(batches, limit=CHUNK_BYTES):
     """Tables of whole groups of the sorted anchors, of some ``limit`` bytes."""
     held, size, last = [], 0, None
@@ -223,7 +282,7 @@ def _removed(batch):
     return [pa.array(np.diff(offsets)), pa.array(removed), pa.array(spans), pa.array(kept, pa.string())]
 
 
-def repeated_stretches(texts: DataFrame) -> DataFrame:
+def repeated_stretches(texts: DataFrame, hot=HOT_GROUP) -> DataFrame:
     """(doc, start, stop): stretches of texts (doc, text) that are repeated, overlapping ones included."""
     def scan(batches):
         for batch in chunks(batches, "text", CHUNK_BYTES // 2):
@@ -239,24 +298,29 @@ def repeated_stretches(texts: DataFrame) -> DataFrame:
     shared = keep(found.join(shared, "anchor"))
     forget(found)
     whole = F.struct((F.col("at") - REACH).alias("start"), (F.col("at") + ANCHOR_BYTES + REACH).alias("stop"))
-    kind = Window.partitionBy("anchor", "around")
-    mixed = keep(shared.where("not equal").withColumn("weight", F.count("*").over(kind))
-                 .withColumn("place", F.row_number().over(kind.orderBy("doc", "at"))))
-    equal = (shared.where("equal").select("doc", whole.alias("m"))
-             .unionByName(mixed.where("weight > 1").select("doc", whole.alias("m"))).select("doc", "m.start", "m.stop"))
-
-    # one of each surroundings is looked at
-    asked = mixed.where("place = 1").groupBy("doc").agg(F.collect_list(F.struct("anchor", "at", "weight", "loop")).alias("asked"))
-    begin = F.greatest(F.lit(0), F.col("q.at") - REACH)
-    around = (texts.join(asked, "doc").select("doc", "text", F.explode("asked").alias("q"))
-              .select("q.anchor", "doc", "q.at", "q.weight", "q.loop", (F.col("q.at") - begin).alias("before"),
-                      F.substring(F.col("text").cast("binary"), begin + 1, F.col("q.at") - begin + ANCHOR_BYTES + REACH).alias("bytes")))
-    around = around.repartition("anchor").sortWithinPartitions("anchor")
+    mixed = shared.where("not equal")
+    kinds = keep(mixed.groupBy("anchor", "around").agg(
+        F.count("*").alias("weight"), F.min(F.struct("doc", "at")).alias("one"), F.max("loop").alias("loop")).select("anchor", "around", "weight", "loop", "one.*"))
+    copies = mixed.join(kinds.where("weight > 1").select("anchor", "around"), ["anchor", "around"], "left_semi")
+    equal = shared.where("equal").select("doc", whole.alias("m")).unionByName(copies.select("doc", whole.alias("m"))).select("doc", "m.start", "m.stop")
+
+    def surroundings(rows):
+        """One of each surroundings, with its bytes."""
+        asked = rows.groupBy("doc").agg(F.collect_list(F.struct("anchor", "at", "weight", "loop")).alias("asked"))
+        begin = F.greatest(F.lit(0), F.col("q.at") - REACH)
+        return (texts.join(asked, "doc").select("doc", "text", F.explode("asked").alias("q"))
+                .select("q.anchor", "doc", "q.at", "q.weight", "q.loop", (F.col("q.at") - begin).alias("before"),
+                        F.substring(F.col("text").cast("binary"), begin + 1, F.col("q.at") - begin + ANCHOR_BYTES + REACH).alias("bytes")))
+
+    large = keep(kinds.groupBy("anchor").agg(F.count("*").alias("n"), F.max("loop").alias("loops")).where(F.col("n") > hot).select("anchor", "loops"))
+    around = surroundings(kinds.join(large, "anchor", "left_anti")).repartition("anchor").sortWithinPartitions("anchor")
     expanded = in_arrow(around, lambda batches: map(_expand_rows, _whole_groups(batches)), "doc long, start long, stop long")
-    return equal.select("doc", F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop")).unionByName(expanded)
+    counted = _hot_stretches(surroundings(kinds.join(large, "anchor").withColumn("loop", F.col("loops"))))
+    return (equal.select("doc", F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop"))
+            .unionByName(expanded).unionByName(counted))
 
 
-def remove_repeats(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col="doc_id", text_col="text", hot=HOT_GROUP) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256) of each row.
 
     A null text is empty. Texts shorter than ``MIN_BYTES`` bytes stay whole. A repeated row is
@@ -264,7 +328,7 @@ def remove_repeats(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFra
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.xxhash64(F.col(id_col), text).alias("doc"), F.col(id_col).alias("id"), text.alias("text"))
-    marks = repeated_stretches(texts).groupBy("doc").agg(F.collect_set(F.struct("start", "stop")).alias("marks"))
+    marks = repeated_stretches(texts, hot).groupBy("doc").agg(F.collect_set(F.struct("start", "stop")).alias("marks"))
     rows = texts.join(marks, "doc", "left").select("id", "text", "marks")
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
     schema = rows.select("id", *(F.lit(0).cast("long").alias(c) for c in names[:3]), F.lit("").alias(names[3])).schema

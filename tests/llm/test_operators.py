@@ -76,9 +76,10 @@ def repeated_rows():
     return rows + [(i, prose(20) + "-" * rnd.randint(150, 400) + prose(20)) for i in range(30, 36)] + [(40, base), (41, base)]
 
 
-def test_repeats_equal_brute_force(spark):
+@pytest.mark.parametrize("hot", [repeats.HOT_GROUP, 0, 5])
+def test_repeats_equal_brute_force(spark, hot):
     rows = repeated_rows()
-    got = by_id(repeats.remove_repeats(frame(spark, rows).repartition(3)), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    got = by_id(repeats.remove_repeats(frame(spark, rows).repartition(3), hot=hot), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert got == brute_repeats(rows)
 
 
@@ -87,6 +88,11 @@ def test_repeats_of_the_table(spark):
     assert got == brute_repeats(texts())
 
 
+def test_repeats_of_hot_anchors(spark):
+    got = by_id(repeats.remove_repeats(common.table(spark, SF, "documents"), hot=2), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == brute_repeats(texts())
+
+
 # -- pieces
 
 def test_pieces_equal_the_library(spark):
