@@ -9,6 +9,7 @@ line ends and with line ends as spaces, so that wrapped licence texts are found
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -113,8 +114,13 @@ def sentences(text: str) -> list[tuple[int, int, str | None]]:
                 out.append((start, at + len(piece.rstrip()), name))
             at = m.end() if m else end
     known = [s for s in wrapped if s[2]]
-    out = [s for s in lines if not any(a <= s[0] < b for a, b, _ in known)] + known if known else lines
-    return sorted(out)
+    begins = [s[0] for s in known]
+
+    def covered(at: int) -> bool:
+        k = bisect_right(begins, at) - 1
+        return k >= 0 and at < known[k][1]
+
+    return sorted([s for s in lines if not covered(s[0])] + known)
 
 
 def scan(text: str):
@@ -131,14 +137,28 @@ def scan(text: str):
         for first in at.get(rule[0], ()):
             last = first
             for name in rule[1:]:
-                last = next((i for i in at.get(name, ()) if last < i <= last + 1 + MAX_GAP), None)
+                places = at.get(name, ())
+                k = bisect_right(places, last)
+                last = places[k] if k < len(places) and places[k] <= last + 1 + MAX_GAP else None
                 if last is None:
                     break
             if last is not None:
                 matched.append((found[first][0], found[last][1], licence, len(rule)))
     # a rule inside a longer match of another gives way to it
-    best = [m for m in matched if not any(o is not m and o[0] <= m[0] and m[1] <= o[1] and o[3] > m[3] for o in matched)]
-    best = sorted({m[:3] for m in best})
+    reach: dict[int, tuple[list[int], list[int]]] = {}
+    for start, end, _, size in sorted(matched):
+        starts, ends = reach.setdefault(size, ([], []))
+        starts.append(start)
+        ends.append(max(end, ends[-1]) if ends else end)
+
+    def inside(m) -> bool:
+        for size, (starts, ends) in reach.items():
+            k = bisect_right(starts, m[0]) - 1
+            if size > m[3] and k >= 0 and m[1] <= ends[k]:
+                return True
+        return False
+
+    best = sorted({m[:3] for m in matched if not inside(m)})
     return [n for n in names if n], sorted({m[2] for m in best}), best
 
 
