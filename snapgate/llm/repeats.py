@@ -282,6 +282,16 @@ def _removed(batch):
     return [pa.array(np.diff(offsets)), pa.array(removed), pa.array(spans), pa.array(kept, pa.string())]
 
 
+def _meet(rows: DataFrame, keys: DataFrame, by: list[str], hot: int) -> DataFrame:
+    """``rows`` joined with the keys, of which each has ``n`` rows.
+
+    The few keys with more than ``hot`` rows are a table of their own, small enough for Spark to
+    send it to the rows, so that no task gets all rows of such a key.
+    """
+    large = keep(keys.where(F.col("n") > hot))
+    return rows.join(large, by).unionByName(rows.join(large.select(*by), by, "left_anti").join(keys.where(F.col("n") <= hot), by))
+
+
 def repeated_stretches(texts: DataFrame, hot=HOT_GROUP) -> DataFrame:
     """(doc, start, stop): stretches of texts (doc, text) that are repeated, overlapping ones included."""
     def scan(batches):
@@ -293,15 +303,15 @@ def repeated_stretches(texts: DataFrame, hot=HOT_GROUP) -> DataFrame:
                  pa.array((at - offsets[doc]).astype(np.int32)), pa.array(loop)], ["anchor", "around", "doc", "at", "loop"])
 
     found = keep(in_arrow(texts.select("doc", "text"), scan, "anchor long, around long, doc long, at int, loop boolean"))
-    shared = (found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("around").alias("a"), F.max("around").alias("b"), F.max("loop").alias("loops"))
-              .where("n > 1 or loops").select("anchor", F.expr("n > 1 and a = b and not loops").alias("equal")))
-    shared = keep(found.join(shared, "anchor"))
+    counts = keep(found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("around").alias("a"), F.max("around").alias("b"), F.max("loop").alias("loops"))
+                  .where("n > 1 or loops").select("anchor", "n", F.expr("n > 1 and a = b and not loops").alias("equal")))
+    shared = keep(_meet(found, counts, ["anchor"], hot).drop("n"))
     forget(found)
     whole = F.struct((F.col("at") - REACH).alias("start"), (F.col("at") + ANCHOR_BYTES + REACH).alias("stop"))
     mixed = shared.where("not equal")
     kinds = keep(mixed.groupBy("anchor", "around").agg(
         F.count("*").alias("weight"), F.min(F.struct("doc", "at")).alias("one"), F.max("loop").alias("loop")).select("anchor", "around", "weight", "loop", "one.*"))
-    copies = mixed.join(kinds.where("weight > 1").select("anchor", "around"), ["anchor", "around"], "left_semi")
+    copies = _meet(mixed, kinds.where("weight > 1").select("anchor", "around", F.col("weight").alias("n")), ["anchor", "around"], hot)
     equal = shared.where("equal").select("doc", whole.alias("m")).unionByName(copies.select("doc", whole.alias("m"))).select("doc", "m.start", "m.stop")
 
     def surroundings(rows):

@@ -355,6 +355,11 @@ def test_licence_sequences():
     assert licences.scan("") == ([], [], []) and licences.scan("licence") == ([], [], [])
 
 
+def test_licences_of_a_text_of_many():
+    names, found, spans = licences.scan("All rights reserved.\n" * 20_000 + MIT)
+    assert names[:20_000] == ["reserved"] * 20_000 and found == ["MIT", "Proprietary"] and len(spans) == 20_001
+
+
 def test_licences_of_the_table(spark):
     names = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
              "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Released under the MIT License.": "MIT", "All rights reserved.": "Proprietary"}
