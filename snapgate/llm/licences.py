@@ -19,7 +19,7 @@ from snapgate.llm.common import map_chunks
 #: Unknown sentences that may lie between two of a rule.
 MAX_GAP = 3
 
-# Known sentences by identifier.
+# Known sentences by identifier, each as texts are cut, so without a stop inside.
 SENTENCES = {
     "apache2.notice": "Licensed under the Apache License, Version 2.0",
     "apache2.header.1": 'Licensed under the Apache License, Version 2.0 (the "License")',
@@ -47,8 +47,9 @@ SENTENCES = {
     "bsd.names": ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
                   "derived from this software without specific prior written permission"),
     "gpl3.notice": "This work is licensed under the GNU General Public License, version 3",
-    "gpl.free": ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
-                 "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"),
+    "gpl.free.1": "This program is free software",
+    "gpl.free.2": ("you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free "
+                   "Software Foundation, either version 3 of the License, or (at your option) any later version"),
     "gpl.hope": ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY"),
     "ccbync4.notice": "Licensed under CC BY-NC 4.0",
     "ccby4.notice": "Licensed under CC BY 4.0",
@@ -65,7 +66,7 @@ LICENCES = (
     ("BSD-2-Clause", ("bsd.grant", "bsd.source", "bsd.binary")),
     ("BSD-3-Clause", ("bsd.grant", "bsd.source", "bsd.binary", "bsd.names")),
     ("GPL-3.0", ("gpl3.notice",)),
-    ("GPL-3.0-or-later", ("gpl.free", "gpl.hope")),
+    ("GPL-3.0-or-later", ("gpl.free.1", "gpl.free.2", "gpl.hope")),
     ("CC-BY-NC-4.0", ("ccbync4.notice",)),
     ("CC-BY-4.0", ("ccby4.notice",)),
     ("CC-BY-SA-4.0", ("ccbysa4.notice",)),
@@ -83,6 +84,7 @@ def normal(sentence: str) -> str:
     return _MARKS.sub(" ", sentence).strip().lower()
 
 
+assert not any(_END.search(text) for text in SENTENCES.values())
 KNOWN = {normal(text): name for name, text in SENTENCES.items()}
 #: Words of which every known sentence holds one, so that most texts are passed over at once.
 HINTS = re.compile("licen|permission|redistribut|warrant|copyright|software|all rights", re.IGNORECASE)

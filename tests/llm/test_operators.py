@@ -6,6 +6,7 @@ import hashlib
 import os
 import random
 import re
+import textwrap
 import zlib
 from types import SimpleNamespace
 
@@ -360,6 +361,32 @@ def test_licences_of_a_text_of_many():
     assert names[:20_000] == ["reserved"] * 20_000 and found == ["MIT", "Proprietary"] and len(spans) == 20_001
 
 
+GPL = """Copyright (C) 2020  A. N. Author
+
+    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+
+
+def test_licence_of_the_gpl_notice():
+    assert licences.scan(GPL)[:2] == (["gpl.free.1", "gpl.free.2", "gpl.hope"], ["GPL-3.0-or-later"])
+    assert licences.scan("".join(f"# {line.strip()}\n" for line in GPL.splitlines()))[1] == ["GPL-3.0-or-later"]
+
+
+@pytest.mark.parametrize("licence, rule", licences.LICENCES)
+def test_each_licence_rule_finds_its_own_sentences(licence, rule):
+    text = ". ".join(licences.SENTENCES[name] for name in rule) + "."
+    for written in (text, "\n".join(textwrap.wrap(text, 50)), "Some words before.\n\n" + text + "\n\nSome words after.\n"):
+        assert licences.scan(written)[1] == [licence]
+
+
 def test_licences_of_the_table(spark):
     names = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
              "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Released under the MIT License.": "MIT", "All rights reserved.": "Proprietary"}
