@@ -12,8 +12,9 @@ symbol before each suffix (its Burrows-Wheeler symbol) and splits the intervals
 LF mapping does; intervals whose common prefix, the extension included, reaches the threshold
 and that hold two suffixes are repeated windows, and no prefix beyond the threshold is looked at.
 
-An anchor with more than ``HOT_GROUP`` different surroundings is never gathered: its intervals are
-extended by ``SPAN`` offsets at once and then by one, as hashes that are counted where they lie.
+An anchor with more than ``HOT_GROUP`` suffixes is never gathered: its intervals are extended by
+``SPAN`` offsets at once and then by one, as hashes that are counted where they lie. In periodic text,
+where a surrounding holds the anchor at many places, each of its windows is hashed and counted once.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from snapgate.llm.common import CHUNK_BYTES, chunks, flat, forget, in_arrow, keep, map_chunks, mix, powers, prefix_sums, substring_hashes
@@ -30,8 +32,10 @@ MIN_BYTES = 200
 ANCHOR_BYTES = 40
 #: Bytes beside an anchor that a window over it can reach.
 REACH = MIN_BYTES - ANCHOR_BYTES
-#: Different surroundings of an anchor that one task expands.
+#: Suffixes of an anchor that one task expands.
 HOT_GROUP = 16_384
+#: Suffixes that a surrounding of periodic text has at most; another has one.
+LOOP_SUFFIXES = 2 * REACH + 1
 #: Offsets that are looked at together in a hot group.
 SPAN = 23
 
@@ -163,6 +167,21 @@ def _suffixes(data, offsets, anchor, before, many):
     return row, point, np.minimum(point - offsets[row], REACH), np.minimum(offsets[row + 1] - point - ANCHOR_BYTES, REACH)
 
 
+def _expand_groups(batches):
+    """:func:`_expand_rows` over whole groups of the sorted anchors, of some ``HOT_GROUP`` suffixes at most."""
+    for table in _whole_groups(batches):
+        anchor, loop = table.column("anchor").to_numpy(), table.column("loop").to_numpy()
+        cut = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+        rows = np.diff(np.append(cut, len(anchor)))
+        ends = np.cumsum(rows * np.where(np.logical_or.reduceat(loop, cut), LOOP_SUFFIXES, 1))
+        first = 0
+        while first < len(cut):
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + HOT_GROUP, "right")))
+            yield _expand_rows(table.slice(int(cut[first]), int(rows[first:last].sum())))
+            first = last
+
+
 def _expand_rows(table: pa.Table):
     """(doc, start, end) of the repeated stretches in the given surroundings of anchors."""
     data, offsets = flat(table.column("bytes"))
@@ -188,6 +207,16 @@ def _expand_rows(table: pa.Table):
 
 
 _SPANS = "shared long, cover long, doc long, point long, weight long, first int, last int, windows array<long>"
+#: Rows of ``_SPANS`` without ``windows``: a window at ``point``, hashed as ``shared``; without ``shared``: a repeated stretch.
+_WINDOW, _STRETCH = "windows is null and shared is not null", "shared is null"
+
+
+def _hot_rows(batch):
+    """Rows of ``_SPANS`` for a batch of surroundings of hot anchors."""
+    loop = batch.column("loop")
+    for rows, spans in ((batch.filter(pc.invert(loop)), _hot_spans), (batch.filter(loop), _loop_windows)):
+        if rows.num_rows:
+            yield from spans(rows)
 
 
 def _hot_spans(batch):
@@ -195,8 +224,7 @@ def _hot_spans(batch):
     these offsets hold, of those they cover together and of each window, with the first and last offset."""
     data, offsets = flat(batch.column("bytes"))
     anchor, doc, at, weight, before = (batch.column(c).to_numpy() for c in ("anchor", "doc", "at", "weight", "before"))
-    many = batch.column("loop").to_numpy(zero_copy_only=False)
-    row, point, n_left, n_right = _suffixes(data, offsets, anchor, before, many)
+    row, point, n_left, n_right = _suffixes(data, offsets, anchor, before, np.zeros(len(anchor), bool))
     sums, step = prefix_sums(data), np.arange(REACH + 1)
     who, offset = np.nonzero((step <= n_left[:, None]) & (step >= REACH - n_right[:, None]))
     windows = substring_hashes(sums, point[who] - offset, point[who] - offset + MIN_BYTES)
@@ -209,16 +237,53 @@ def _hot_spans(batch):
     shared = mix(substring_hashes(sums, here - low, here - high + MIN_BYTES) + salt)
     cover = mix(substring_hashes(sums, here - last, here - first + MIN_BYTES) + first.astype(np.uint64))
     mine = row[who]
-    return pa.RecordBatch.from_arrays(
+    yield pa.RecordBatch.from_arrays(
         [pa.array(shared.view(np.int64)), pa.array(cover.view(np.int64)), pa.array(doc[mine]),
          pa.array(at[mine] - before[mine] + (here - offsets[mine])), pa.array(weight[mine]), pa.array(first.astype(np.int32)),
          pa.array(last.astype(np.int32)), pa.ListArray.from_arrays(np.append(cut, len(windows)).astype(np.int32), pa.array(windows.view(np.int64)))],
         ["shared", "cover", "doc", "point", "weight", "first", "last", "windows"])
 
 
+def _loop_windows(batch):
+    """Each different window over the anchors of the batch once, with its place, and the stretches that are repeated in the batch.
+
+    A window that is repeated in the batch has a weight of 2 and its places are in the stretches.
+    """
+    data, offsets = flat(batch.column("bytes"))
+    doc, at, weight, before = (batch.column(c).to_numpy() for c in ("doc", "at", "weight", "before"))
+    count = np.maximum(np.minimum(before, np.diff(offsets) - MIN_BYTES) + 1, 0)
+    row = np.repeat(np.arange(len(count)), count)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    window = substring_hashes(prefix_sums(data), offsets[row] + step, offsets[row] + step + MIN_BYTES).view(np.int64)
+    doc, start, more = doc[row], (at - before)[row] + step, weight[row] > 1
+    # places, each once
+    order = np.lexsort((~more, start, doc))
+    doc, start, window, more = doc[order], start[order], window[order], more[order]
+    once = np.concatenate([[True], (doc[1:] != doc[:-1]) | (start[1:] != start[:-1])])[:len(doc)]
+    doc, start, window, more = doc[once], start[once], window[once], more[once]
+    _, one, which, places = np.unique(window, return_index=True, return_inverse=True, return_counts=True)
+    twice = (places > 1) | (np.bincount(which, more, len(one)) > 0)
+    n = len(one)
+    yield _spans_of(n, shared=window[one], doc=doc[one], point=start[one], weight=np.where(twice, 2, 1))
+    mark = np.flatnonzero(twice[which])
+    doc, start = doc[mark], start[mark]
+    new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)])[:len(doc)]
+    first, last = np.flatnonzero(new), np.flatnonzero(np.append(new[1:], True)[:len(doc)])
+    yield _spans_of(len(first), doc=doc[first], point=start[first], cover=start[last] + MIN_BYTES)
+
+
+def _spans_of(n, **columns):
+    """A batch of ``_SPANS`` with the given columns, null in the others."""
+    kinds = {"first": pa.int32(), "last": pa.int32(), "windows": pa.list_(pa.int64())}
+    names = ["shared", "cover", "doc", "point", "weight", "first", "last", "windows"]
+    return pa.RecordBatch.from_arrays([pa.array(np.asarray(columns[c], np.int64)) if c in columns else pa.nulls(n, kinds.get(c, pa.int64()))
+                                       for c in names], names)
+
+
 def _hot_stretches(around: DataFrame) -> DataFrame:
     """(doc, start, stop) of the repeated stretches in the surroundings of hot anchors, by counting hashes only."""
-    spans = keep(in_arrow(around, lambda batches: map(_hot_spans, chunks(batches, "bytes")), _SPANS))
+    rows = keep(in_arrow(around, lambda batches: (out for batch in chunks(batches, "bytes") for out in _hot_rows(batch)), _SPANS))
+    spans = rows.where("windows is not null")
 
     def repeated(rows, by, *more):
         place = F.struct("doc", "point")
@@ -230,8 +295,11 @@ def _hot_stretches(around: DataFrame) -> DataFrame:
                                       (F.col("point") - F.col("first") + MIN_BYTES).alias("stop"))
     each = keep(found.where("not even").select("doc", "point", "weight", "first", F.posexplode("windows").alias("k", "window"))
                 .select("window", "doc", (F.col("point") - F.col("first") - F.col("k")).alias("point"), "weight"))
-    twice = each.join(keep(repeated(each, "window")), "window", "left_semi")
-    return even.unionByName(twice.select("doc", F.col("point").alias("start"), (F.col("point") + MIN_BYTES).alias("stop")))
+    looped = rows.where(_WINDOW)
+    twice = (each.join(keep(repeated(each, "window")), "window", "left_semi").select("doc", "point")
+             .unionByName(looped.where("weight = 1").join(keep(repeated(looped, "shared")), "shared", "left_semi").select("doc", "point")))
+    return (even.unionByName(twice.select("doc", F.col("point").alias("start"), (F.col("point") + MIN_BYTES).alias("stop")))
+            .unionByName(rows.where(_STRETCH).select("doc", F.col("point").alias("start"), F.col("cover").alias("stop"))))
 
 
 def _whole_groups(batches, limit=CHUNK_BYTES):
@@ -322,9 +390,10 @@ def repeated_stretches(texts: DataFrame, hot=HOT_GROUP) -> DataFrame:
                 .select("q.anchor", "doc", "q.at", "q.weight", "q.loop", (F.col("q.at") - begin).alias("before"),
                         F.substring(F.col("text").cast("binary"), begin + 1, F.col("q.at") - begin + ANCHOR_BYTES + REACH).alias("bytes")))
 
-    large = keep(kinds.groupBy("anchor").agg(F.count("*").alias("n"), F.max("loop").alias("loops")).where(F.col("n") > hot).select("anchor", "loops"))
-    around = surroundings(kinds.join(large, "anchor", "left_anti")).repartition("anchor").sortWithinPartitions("anchor")
-    expanded = in_arrow(around, lambda batches: map(_expand_rows, _whole_groups(batches)), "doc long, start long, stop long")
+    large = keep(kinds.groupBy("anchor").agg(F.count("*").alias("n"), F.max("loop").alias("loops"))
+                 .where(F.col("n") * F.when(F.col("loops"), LOOP_SUFFIXES).otherwise(1) > hot).select("anchor", "loops"))
+    around = surroundings(kinds.join(large, "anchor", "left").where("loops is null").drop("loops")).repartition("anchor").sortWithinPartitions("anchor")
+    expanded = in_arrow(around, _expand_groups, "doc long, start long, stop long")
     counted = _hot_stretches(surroundings(kinds.join(large, "anchor").withColumn("loop", F.col("loops"))))
     return (equal.select("doc", F.col("start").cast("long").alias("start"), F.col("stop").cast("long").alias("stop"))
             .unionByName(expanded).unionByName(counted))

@@ -94,6 +94,46 @@ def test_repeats_of_hot_anchors(spark):
     assert got == brute_repeats(texts())
 
 
+def loop_rows(n):
+    rnd = random.Random(3)
+    noise = lambda k: "".join(rnd.choice("abcdefgh ") for _ in range(k))
+    return [(i, noise(rnd.randint(0, 250)) + rnd.choice(["-" * 260, "=-" * 130, "=-" * 101, "_" * rnd.randint(190, 300)]) + noise(rnd.randint(0, 250))) for i in range(n)]
+
+
+@pytest.mark.parametrize("hot", [repeats.HOT_GROUP, 2_000])
+def test_repeats_of_many_periodic_texts(spark, hot):
+    rows = loop_rows(150)
+    rows += rows[:5] + [(900, rows[7][1]), (901, "x" + rows[8][1][3:])]
+    got = by_id(repeats.remove_repeats(frame(spark, rows).repartition(3), hot=hot), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == brute_repeats(rows)
+
+
+def surroundings_of_rules(n, groups=1):
+    rnd = random.Random(4)
+    around = [bytes(rnd.choices(b"abc", k=k)) + b"-" * 300 + bytes(rnd.choices(b"abc", k=60 - k)) for k in (i % 61 for i in range(n))]
+    anchor = common.mix((common.prefix_sums(np.full(40, 45, np.uint8))[40:] * common.powers(40)[1][:1])).view(np.int64)[0]
+    columns = {"anchor": np.full(n, anchor), "doc": np.arange(n), "at": np.full(n, 160, np.int32), "weight": np.ones(n, np.int64),
+               "before": np.full(n, 160, np.int32), "loop": np.ones(n, bool), "bytes": around}
+    return pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
+
+
+def test_expansion_is_bounded_by_suffixes(monkeypatch):
+    sizes, expand = [], repeats.expand
+    monkeypatch.setattr(repeats, "expand", lambda left, *more: sizes.append(len(left)) or expand(left, *more))
+    batch = surroundings_of_rules(50)
+    other = [batch.set_column(0, "anchor", pa.array(batch.column("anchor").to_numpy() + i)) for i in range(4)]
+    found = list(repeats._expand_groups(iter(other)))
+    assert max(sizes) <= repeats.HOT_GROUP and len(found) == 4
+
+
+def test_windows_of_periodic_text_are_counted_once():
+    batch = surroundings_of_rules(200)
+    rows = sum(out.num_rows for out in repeats._hot_rows(batch))
+    assert rows <= 200 * (repeats.REACH + 1)
+    alone = [out.num_rows for out in repeats._hot_rows(surroundings_of_rules(1).set_column(6, "bytes", pa.array([bytes(range(256)) + bytes(104)])))]
+    assert alone == [repeats.REACH + 1, 0]
+
+
 # -- pieces
 
 def test_pieces_equal_the_library(spark):
