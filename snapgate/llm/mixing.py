@@ -4,19 +4,24 @@ Tokens are summed per cell of source, language and topic. The cell table has at
 of the listed categories, each with one more for values that are not listed, whatever the input;
 it is raked on the driver to the target shares of each margin. No cell may give more tokens than
 it has, so the ratio of raked to present tokens is a probability, with which each document of
-the cell is sampled by a hash.
+the cell is sampled by a hash. Where the cells hold too little for the wanted total, the total is
+lowered until the shares fit; what is reached stands beside the probabilities.
 """
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from snapgate.llm.common import fresh
 
-#: Share of all tokens that the sample holds, where the margins allow it.
+#: Share of all tokens that the sample holds, where the margins allow it; else the largest that they allow.
 FRACTION = 0.5
 ROUNDS, TOLERANCE = 500, 1e-9
+#: Error of a share up to which the margins count as met, and halvings of the total's interval.
+FITS, HALVINGS = 1e-4, 12
 OTHER = "(other)"
 
 # The target shares of the registered query and the pipeline.
@@ -66,13 +71,37 @@ def rake(mass: np.ndarray, shares: list[np.ndarray], total: float, rounds=ROUNDS
     return out, error
 
 
+def rake_down(mass: np.ndarray, shares: list[np.ndarray], total: float):
+    """:func:`rake` at ``total`` or, where that does not fit, at the largest total found to fit: (cells, total, error).
+
+    Cells that fit a total fit every smaller one when scaled down, so halving finds the largest.
+    Shares that the categories present cannot meet at any total, as when two only come together,
+    keep an error; then the largest total counts whose error is no greater than a tiny total's.
+    """
+    out, error = rake(mass, shares, total)
+    if error <= FITS:
+        return out, total, error
+    low, high = total * 0.5 ** HALVINGS, total
+    best = low, *rake(mass, shares, low)
+    bound = max(FITS, best[2] + FITS)
+    for _ in range(HALVINGS):
+        middle = (low + high) / 2
+        out, error = rake(mass, shares, middle)
+        if error <= bound:
+            low, best = middle, (middle, out, error)
+        else:
+            high = middle
+    return best[1], best[0], best[2]
+
+
 def _axis(name: str, targets: dict[str, float]) -> Column:
     """The category, or OTHER for a null or a value that has no target."""
     return F.when(F.col(name).isin(*targets), F.col(name)).otherwise(F.lit(OTHER)).alias(name)
 
 
-def probabilities(cells: DataFrame, targets: dict[str, dict[str, float]], fraction=FRACTION) -> list[tuple]:
-    """(category of each margin, ..., probability) of each cell with tokens.
+def probabilities(cells: DataFrame, targets: dict[str, dict[str, float]], fraction=FRACTION) -> tuple[list[tuple], float, float]:
+    """(category of each margin, ..., probability) of each cell with tokens, the share of all tokens that
+    the sample is to hold, and the largest error of a target share in it.
 
     Values without a target keep their present share of the tokens; the listed ones share the rest.
     """
@@ -83,22 +112,24 @@ def probabilities(cells: DataFrame, targets: dict[str, dict[str, float]], fracti
     for r in cells.collect():
         mass[tuple(at[n][r[n]] for n in names)] = r["tokens"] or 0.0
     if not mass.sum():
-        return []
+        return [], float(fraction), 0.0
     shares = []
     for k, n in enumerate(names):
         share = np.array([*targets[n].values(), 0.0])
         other = mass.take(-1, axis=k).sum() / mass.sum()
         shares.append(np.append(share[:-1] / share.sum() * (1 - other), other))
-    raked, _ = rake(mass, shares, fraction * mass.sum())
-    return [(*(lists[n][i] for n, i in zip(names, cell, strict=True)), float(raked[cell] / mass[cell]))
-            for cell in zip(*np.nonzero(mass), strict=True)]
+    raked, total, error = rake_down(mass, shares, fraction * mass.sum())
+    return ([(*(lists[n][i] for n, i in zip(names, cell, strict=True)), float(raked[cell] / mass[cell]))
+             for cell in zip(*np.nonzero(mass), strict=True)], float(total / mass.sum()), float(error))
 
 
 def mix_sources(docs: DataFrame, targets=None, id_col="doc_id", text_col="text", fraction=FRACTION, seed=17) -> DataFrame:
-    """(id, source, lang, topic, n_tokens, probability, sampled) of each row.
+    """(id, source, lang, topic, n_tokens, probability, sampled, fraction, share_error) of each row.
 
+    fraction: the share of all tokens that the sample is to hold, below the wanted one where the
+    targets do not fit it; share_error: the largest error of a target share, the same on all rows.
     A null category or one without a target counts as ``(other)``. A document without tokens
-    takes its cell's probability, or ``fraction`` in a cell without tokens. Rows with the same id
+    takes its cell's probability, or that fraction in a cell without tokens. Rows with the same id
     and text are sampled alike.
     """
     targets = targets or TARGETS
@@ -107,25 +138,27 @@ def mix_sources(docs: DataFrame, targets=None, id_col="doc_id", text_col="text",
     rows = rows.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        *(_axis(n, targets[n]) for n in names))
     rows = rows.withColumn("n_tokens", tokens_of(F.col("text")))
-    found = probabilities(rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")), targets, fraction)
+    found, fraction, error = probabilities(rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")), targets, fraction)
     schema = ", ".join(f"{n} string" for n in names) + ", probability double"
     table = F.broadcast(docs.sparkSession.createDataFrame(found, schema))
     draw = F.expr(f"shiftrightunsigned(xxhash64(id, text, {seed}), 11) / 9007199254740992D")
-    return (rows.join(table, names, "left").withColumn("probability", F.coalesce("probability", F.lit(float(fraction))))
+    return (rows.join(table, names, "left").withColumn("probability", F.coalesce("probability", F.lit(fraction)))
             .select(F.col("id").alias(id_col), *names, F.col("n_tokens").cast("long").alias("n_tokens"), "probability",
-                    (draw < F.col("probability")).alias("sampled")))
+                    (draw < F.col("probability")).alias("sampled"), F.lit(fraction).alias("fraction"), F.lit(error).alias("share_error")))
 
 
 def sample(docs: DataFrame, targets=None, id_col="doc_id", text_col="text", fraction=FRACTION, seed=17) -> DataFrame:
-    """The sampled rows with the columns of ``docs``."""
+    """The sampled rows with the columns of ``docs``; a warning tells a lowered total or shares that are missed."""
     names = list(targets or TARGETS)
     inner = fresh(docs, *(f"mix_{n}" for n in names), "mix_probability")
     targets = targets or TARGETS
     marked = docs.withColumns({c: _axis(n, targets[n]) if n in docs.columns else F.when(
         topic_of(F.col(text_col)).isin(*targets[n]), topic_of(F.col(text_col))).otherwise(F.lit(OTHER)) for n, c in zip(names, inner, strict=False)})
     cells = marked.groupBy(*inner[:-1]).agg(F.sum(tokens_of(F.col(text_col))).alias("tokens"))
-    found = probabilities(cells.select(*(F.col(c).alias(n) for n, c in zip(names, inner, strict=False)), "tokens"), targets, fraction)
+    found, reached, error = probabilities(cells.select(*(F.col(c).alias(n) for n, c in zip(names, inner, strict=False)), "tokens"), targets, fraction)
+    if error > FITS or reached < fraction:
+        warnings.warn(f"mixing: the sample holds {reached:.4f} of the tokens, wanted {fraction}; largest error of a share {error:.1e}", stacklevel=2)
     schema = ", ".join(f"{c} string" for c in inner[:-1]) + f", {inner[-1]} double"
     table = F.broadcast(docs.sparkSession.createDataFrame(found, schema))
     draw = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")), F.lit(seed)), 11) / F.lit(9007199254740992.0)
-    return (marked.join(table, inner[:-1], "left").where(draw < F.coalesce(inner[-1], F.lit(float(fraction)))).select(*docs.columns))
+    return (marked.join(table, inner[:-1], "left").where(draw < F.coalesce(inner[-1], F.lit(reached))).select(*docs.columns))

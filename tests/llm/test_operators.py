@@ -469,6 +469,32 @@ def test_mixing_covers_every_row_and_samples_to_the_targets(spark):
     assert small == {k: len(WORD.findall(t)) for k, t in rows}
 
 
+def test_mixing_lowers_the_total_until_far_targets_fit(spark):
+    targets = {"source": {f"src{i}": 3.0 if i < 5 else 1.0 for i in range(20)}, "lang": mixing.TARGETS["lang"],
+               "topic": {"prose": 0.82, "note": 0.03, "contact": 0.10, "table": 0.04, "licence": 0.01}}
+    got = mixing.mix_sources(common.table(spark, "/root/testdata/sf0.1", "documents"), targets).collect()
+    total, expected = sum(r.n_tokens for r in got), collections.Counter()
+    for r in got:
+        for name in targets:
+            expected[name, r[name]] += r.n_tokens * r.probability
+    held = sum(n for (name, _), n in expected.items() if name == "topic")
+    assert {(r.fraction, r.share_error) for r in got} == {(got[0].fraction, got[0].share_error)} and got[0].share_error <= mixing.FITS
+    assert 0.05 < got[0].fraction < mixing.FRACTION and held / total == pytest.approx(got[0].fraction, rel=0.001)
+    for name, shares in targets.items():
+        for value, share in shares.items():
+            assert expected[name, value] / held == pytest.approx(share / sum(shares.values()), abs=0.001), (name, value)
+
+
+def test_raking_down_finds_the_largest_total():
+    mass, shares = np.array([[90.0, 1.0], [8.0, 1.0]]), [np.array([.5, .5]), np.array([.5, .5])]
+    out, total, error = mixing.rake_down(mass, shares, 50.0)
+    assert error <= mixing.FITS and total == pytest.approx(4, rel=0.01) and (out <= mass + 1e-9).all()
+    assert mixing.rake_down(mass, shares, 3.0)[1] == 3.0
+    # only together: no total fits, and the error says so
+    _, total, error = mixing.rake_down(np.diag([10.0, 10.0]), [np.array([.9, .1]), np.array([.5, .5])], 10.0)
+    assert total > 0 and error > 0.1
+
+
 def test_mixing_edge_cases(spark):
     docs = frame(spark, ODD)
     got = mixing.mix_sources(docs).collect()
