@@ -3,8 +3,9 @@
 Words become symbols: I (insult), V (threat), T (target), N (negation), R (reported speech) and
 o (other). Insult words are a lexicon learned from labels: beginnings of words and whole words
 that toxic texts hold far more often than clean ones, with their log-odds as weight. The other
-symbols are the short lists below. Five small transducers read a clause; composed they give each
-match a form: an insult plain, aimed at a target, negated or reported, or a threat at a target.
+symbols are the short lists below. One hand-written machine reads a clause, in place of five small
+transducers composed, which are not built. It gives each match a form: an insult plain, aimed at a
+target, negated or reported, or a threat at a target.
 A text is scored by a logistic model over the weights its matched clauses have by form, so an
 isolated word counts only through the clause it matches in.
 """
@@ -109,7 +110,7 @@ def lexicon(rows: DataFrame) -> dict[int, float]:
 
 
 class Grammar:
-    """Symbols of words and the composed transducers."""
+    """Symbols of words and the machine over clauses."""
 
     def __init__(self, entries: dict[int, float]):
         self.keys = np.array(sorted(entries), np.int64)
@@ -166,7 +167,7 @@ class Grammar:
 
 
 def match(symbols: str, weights) -> list[tuple[str, float]]:
-    """The composed transducers over one clause: (form, weight) of each match.
+    """The machine over one clause: (form, weight) of each match.
 
     State: words since the last negation and target, whether the clause reports, and the threat
     that waits for its target.
