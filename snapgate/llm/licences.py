@@ -54,6 +54,28 @@ SENTENCES = {
     "ccbync4.notice": "Licensed under CC BY-NC 4.0",
     "ccby4.notice": "Licensed under CC BY 4.0",
     "ccbysa4.notice": "Licensed under CC BY-SA 4.0",
+    "mit.notice.2": "Licensed under the MIT License",
+    "mit.notice.3": "This project is licensed under the MIT License",
+    "apache2.notice.2": "Licensed under the Apache License 2.0",
+    "gpl2.notice": "This work is licensed under the GNU General Public License, version 2",
+    "gpl2.free": ("you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+                  "published by the Free Software Foundation"),
+    "gpl2.version": "either version 2 of the License, or (at your option) any later version",
+    "lgpl3.free": ("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+                   "published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+                   "later version"),
+    "lgpl21.free": ("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+                    "published by the Free Software Foundation"),
+    "lgpl21.version": "either version 2.1 of the License, or (at your option) any later version",
+    "agpl3.free": ("you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+                   "published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
+                   "later version"),
+    "mpl2.notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v",
+    "isc.grant": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
+                  "is hereby granted, provided that the above copyright notice and this permission notice appear in all "
+                  "copies"),
+    "unlicense.free": "This is free and unencumbered software released into the public domain",
+    "cc0.notice": "Licensed under CC0 1.0",
     "reserved": "All rights reserved",
 }
 # Licences as ordered sentence identifiers.
@@ -70,6 +92,18 @@ LICENCES = (
     ("CC-BY-NC-4.0", ("ccbync4.notice",)),
     ("CC-BY-4.0", ("ccby4.notice",)),
     ("CC-BY-SA-4.0", ("ccbysa4.notice",)),
+    ("MIT", ("mit.notice.2",)),
+    ("MIT", ("mit.notice.3",)),
+    ("Apache-2.0", ("apache2.notice.2",)),
+    ("GPL-2.0", ("gpl2.notice",)),
+    ("GPL-2.0-or-later", ("gpl.free.1", "gpl2.free", "gpl2.version")),
+    ("LGPL-3.0-or-later", ("lgpl3.free",)),
+    ("LGPL-2.1-or-later", ("lgpl21.free", "lgpl21.version")),
+    ("AGPL-3.0-or-later", ("agpl3.free",)),
+    ("MPL-2.0", ("mpl2.notice",)),
+    ("ISC", ("isc.grant",)),
+    ("Unlicense", ("unlicense.free",)),
+    ("CC0-1.0", ("cc0.notice",)),
     ("Proprietary", ("reserved",)),
 )
 

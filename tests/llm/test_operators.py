@@ -420,6 +420,15 @@ def test_licence_of_the_gpl_notice():
     assert licences.scan("".join(f"# {line.strip()}\n" for line in GPL.splitlines()))[1] == ["GPL-3.0-or-later"]
 
 
+def test_licences_of_other_common_notices():
+    gpl2 = GPL.replace("software:", "software;").replace("Foundation,", "Foundation;").replace("version 3", "version 2")
+    for text, licence in ((gpl2, "GPL-2.0-or-later"), (GPL.replace("General", "Lesser General", 1), "LGPL-3.0-or-later"),
+                          (GPL.replace("General", "Affero General", 1), "AGPL-3.0-or-later"), ("Licensed under the MIT License.", "MIT"),
+                          (gpl2.replace("General", "Lesser General").replace("version 2", "version 2.1"), "LGPL-2.1-or-later"),
+                          ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy", "MPL-2.0")):
+        assert licences.scan(text)[1] == [licence]
+
+
 @pytest.mark.parametrize("licence, rule", licences.LICENCES)
 def test_each_licence_rule_finds_its_own_sentences(licence, rule):
     text = ". ".join(licences.SENTENCES[name] for name in rule) + "."
