@@ -82,7 +82,7 @@ class DatasetConfig:
     baseline_window: int = 7
     raw_format: str = "csv"
     layer_format: str = "parquet"
-    raw_multi_line: bool = False   # quoted line breaks in raw CSV; files are then not split
+    raw_multi_line: bool = False   # quoted line breaks in raw CSV; files are then read twice
 
 
 # The player-statistics data set the pipeline runs on by default.

@@ -53,7 +53,7 @@ def _layer(spark: SparkSession, run: Run, name: str, cfg: DatasetConfig,
            snapshots: Sequence[str]) -> DataFrame:
     """The given snapshots of a layer; fails when one has no files."""
     require_snapshots(spark, run.path(name), snapshots, name)
-    rows = read_layer(spark, run.path(name), cfg.layer_format, snapshots)
+    rows = read_layer(spark, run.path(name), cfg.layer_format, snapshots, cfg.raw_multi_line)
     if cfg.layer_format == "csv":
         types = {"_src_block": "bigint", "_src_pos": "bigint", "ingested_at": "timestamp_ntz"}
         rows = rows.withColumns({c: F.col(c).cast(t) for c, t in types.items() if c in rows.columns})

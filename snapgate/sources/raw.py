@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from snapgate.functions.text import na_to_null_all
+from snapgate.sources.quoted import read_records
 from snapgate.sources.snapshots import snapshot_paths
 
 SNAPSHOT = "snapshot_date"
@@ -15,46 +17,81 @@ SNAPSHOT = "snapshot_date"
 ORDER_COLUMNS = ["_src_file", "_src_block", "_src_pos"]
 
 CORRUPT = "_corrupt_record"
-CSV_OPTIONS = {"header": True, "escape": '"', "enforceSchema": False, "columnNameOfCorruptRecord": CORRUPT}
+# without pruning a line's cells are counted whichever columns are wanted
+CSV_OPTIONS = {"header": True, "escape": '"', "enforceSchema": False, "columnNameOfCorruptRecord": CORRUPT, "columnPruning": False}
 
 
-def _csv_schema(spark: SparkSession, paths: Sequence[str], base: str) -> T.StructType:
-    """All header columns as text; only the first file's header line is read."""
-    head = spark.read.options(header=True, escape='"', basePath=base).csv(list(paths))
+def _csv_schema(spark: SparkSession, paths: Sequence[str], base: str, multi_line: bool) -> T.StructType:
+    """All header columns as text; only the first file's header is read."""
+    head = spark.read.options(header=True, escape='"', basePath=base, multiLine=multi_line).csv(list(paths))
     names = [f.name for f in head.schema.fields if f.name != SNAPSHOT]
     partitioned = SNAPSHOT in head.columns
     return T.StructType([T.StructField(n, T.StringType()) for n in names]
                         + ([T.StructField(SNAPSHOT, T.StringType())] if partitioned else []))
 
 
-def _csv(spark: SparkSession, root: str, snapshots: Sequence[str] | None, multi_line: bool = False,
-         on_corrupt: str = "fail") -> DataFrame:
+def _wider(text, cells: Sequence[str]):
+    """The cells of a CSV line as a struct, with a field for one cell too many."""
+    fields = ", ".join([*(f"`c{i}` string" for i in range(len(cells))), "`beyond` string"])
+    return F.from_csv(text, fields, {"escape": '"', "mode": "PERMISSIVE"})
+
+
+def _refuse(bad: Column, message: str, text: Column) -> Column:
+    """A condition that fails the read where ``bad`` holds; as a filter it outlives every projection."""
+    return F.when(bad, F.raise_error(F.concat(F.lit(message), text)).cast("boolean")).otherwise(F.lit(True))
+
+
+TOO_MANY = "line with too many cells: "
+
+
+def _csv(spark: SparkSession, root: str, snapshots: Sequence[str] | None, on_corrupt: str = "fail") -> DataFrame:
     """All cells as text. A line with more cells than the header fails the read, with its text.
 
     With ``on_corrupt='keep'`` such lines stay and their text is in the column ``_corrupt_record``,
-    NULL for the other lines; Spark fills it only where all columns are read. A line with fewer cells has NULLs at its end.
+    NULL for the other lines. Either holds whichever columns are read. A line with fewer cells has
+    NULLs at its end.
     """
     paths = snapshot_paths(root, snapshots)
-    schema = _csv_schema(spark, paths, root)
+    schema = _csv_schema(spark, paths, root, False)
     cells = [f.name for f in schema.fields if f.name != SNAPSHOT]
     read = spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
-    df = read.options(**CSV_OPTIONS, basePath=root, multiLine=multi_line).csv(paths)
-    wider = ", ".join([*(f"`c{i}` string" for i in range(len(cells))), "`beyond` string"])
-    beyond = F.from_csv(F.col(CORRUPT), wider, {"escape": '"', "mode": "PERMISSIVE"})["beyond"]
-    text = F.when(beyond.isNotNull(), F.col(CORRUPT))
+    df = read.options(**CSV_OPTIONS, basePath=root).csv(paths)
+    # Spark refuses to read the text of bad lines alone, so a cell takes part; its condition always holds
+    with_cell = F.coalesce(F.length(cells[0]) >= 0, F.lit(True))
+    too_many = with_cell & F.col(CORRUPT).isNotNull() & _wider(F.col(CORRUPT), cells)["beyond"].isNotNull()
     if on_corrupt == "keep":
-        return df.withColumn(CORRUPT, text)
-    failed = F.raise_error(F.concat(F.lit("line with too many cells: "), F.col(CORRUPT))).cast("string")
-    return df.withColumn(cells[0], F.when(text.isNotNull(), failed).otherwise(F.col(cells[0]))).drop(CORRUPT)
+        return df.withColumn(CORRUPT, F.when(too_many, F.col(CORRUPT)))
+    return df.where(_refuse(too_many, TOO_MANY, F.col(CORRUPT))).drop(CORRUPT)
 
 
-def read_csv_text(spark: SparkSession, root: str, snapshots: Sequence[str] | None = None) -> DataFrame:
+def _quoted_csv(spark: SparkSession, root: str, snapshots: Sequence[str] | None, on_corrupt: str = "fail",
+                order: bool = False) -> DataFrame:
+    """:func:`_csv` where quoted cells may hold line breaks; files are split. ``order`` adds the source order."""
+    paths = snapshot_paths(root, snapshots)
+    schema = _csv_schema(spark, paths, root, True)
+    names = [f.name for f in schema.fields if f.name != SNAPSHOT]
+    by = SNAPSHOT if SNAPSHOT in schema.names else None
+    rows = read_records(spark, paths, root, by).withColumn("cells", _wider(F.col("text"), names))
+    # Spark numbers header cells that are empty or repeated
+    known = [(F.lower(F.coalesce(F.col(f"cells.c{i}"), F.lit("_c"))).isin(n.lower(), n.lower().removesuffix(str(i)))) for i, n in enumerate(names)]
+    other = F.col("head") & ~(reduce(lambda a, b: a & b, known) & F.col("cells.beyond").isNull())
+    rows = rows.where(_refuse(other, "header differs from the first file's: ", F.col("text"))).where(~F.col("head"))
+    too_many = F.col("cells.beyond").isNotNull()
+    kept = F.when(too_many, F.col("text")).alias(CORRUPT)
+    if on_corrupt != "keep":
+        rows = rows.where(_refuse(too_many, TOO_MANY, F.col("text")))
+    place = [F.col(c).alias(n) for c, n in zip(("file", "block", "pos"), ORDER_COLUMNS)] if order else []
+    return rows.select(*(F.col(f"cells.c{i}").alias(n) for i, n in enumerate(names)), *([F.col("snapshot").alias(by)] if by else []),
+                       *([kept] if on_corrupt == "keep" else []), *place)
+
+
+def read_csv_text(spark: SparkSession, root: str, snapshots: Sequence[str] | None = None, multi_line: bool = False) -> DataFrame:
     """CSV with a header, every cell as text, missing-value tokens as NULL.
 
     Values stay text so that digits in a string column remain a string. A file whose header
     differs from the first one's fails the read instead of being mapped by position.
     """
-    return na_to_null_all(_csv(spark, root, snapshots))
+    return na_to_null_all((_quoted_csv if multi_line else _csv)(spark, root, snapshots))
 
 
 def read_parquet(spark: SparkSession, root: str, snapshots: Sequence[str] | None = None) -> DataFrame:
@@ -86,18 +123,21 @@ def read_raw(spark: SparkSession, root: str, file_format: str = "csv",
              on_corrupt: str = "fail") -> DataFrame:
     """The raw layer with its source order; only the given snapshots are listed and read.
 
-    ``multi_line`` reads quoted line breaks as part of a cell; a file is then one task's work.
+    ``multi_line`` reads quoted line breaks as part of a cell, at the price of a second pass over
+    the files (:mod:`snapgate.sources.quoted`).
     """
+    if file_format == "csv" and multi_line:
+        return na_to_null_all(_quoted_csv(spark, root, snapshots, on_corrupt, order=True))
     if file_format == "csv":
-        return na_to_null_all(with_source_order(_csv(spark, root, snapshots, multi_line, on_corrupt), "csv"))
+        return na_to_null_all(with_source_order(_csv(spark, root, snapshots, on_corrupt), "csv"))
     return with_source_order(read_parquet(spark, root, snapshots), "parquet")
 
 
 def read_layer(spark: SparkSession, root: str, file_format: str = "parquet",
-               snapshots: Sequence[str] | None = None) -> DataFrame:
+               snapshots: Sequence[str] | None = None, multi_line: bool = False) -> DataFrame:
     """Bronze or Silver; only the given snapshots are listed and read."""
     if file_format == "csv":
-        return read_csv_text(spark, root, snapshots)
+        return read_csv_text(spark, root, snapshots, multi_line)
     return read_parquet(spark, root, snapshots)
 
 

@@ -42,6 +42,17 @@ def raw_csv_corrupt_rows(spark, sf):
     return out(raw.where(F.col(CORRUPT).isNotNull()).select("snapshot_date", "src_pos", "category", F.col(CORRUPT).alias("line")))
 
 
+def raw_csv_quoted_breaks(spark, sf):
+    """Raw files whose cells hold line breaks, quotes and commas, read by many tasks."""
+    path = scratch_dir(spark)
+    note = F.expr("""concat(category, case src_pos % 3 when 0 then concat('\\n"', period, '",\\r\\n\\n', src_pos, '.')
+                                                      when 1 then concat(' 5" ', period, ', x') else '' end)""").alias("note")
+    rows = snap(spark, sf).select("snapshot_date", "src_pos", note, "period")
+    write_layer(rows, path, "csv")
+    raw = read_raw(spark, path, multi_line=True)
+    return out(raw.select("snapshot_date", "src_pos", "note", "period"))
+
+
 def silver_schema_growth(spark, sf):
     """A layer of which only the odd days have the column ``note``, read whole, by list and by day."""
     path, days = scratch_dir(spark), snap(spark, sf).select("snapshot_date", "src_pos", "period")
@@ -186,6 +197,11 @@ select cast(src_pos as varchar) as src_pos, cast(snapshot_date as varchar) as sn
 select cast(snapshot_date as varchar) as snapshot_date, cast(src_pos as varchar) as src_pos,
        category, concat(src_pos, ',', category, ',x') as line
 from snap where src_pos % 211 = 0"""),
+    "raw_csv_quoted_breaks": (raw_csv_quoted_breaks, f"""with {SNAP}
+select cast(snapshot_date as varchar) as snapshot_date, cast(src_pos as varchar) as src_pos,
+       category || case src_pos % 3 when 0 then concat(chr(10), '"', period, '",', chr(13), chr(10), chr(10), src_pos, '.')
+                                    when 1 then concat(' 5" ', period, ', x') else '' end as note,
+       period from snap"""),
     "silver_schema_growth": (silver_schema_growth, f"""with {SNAP},
 d as (select cast(snapshot_date as varchar) as snapshot_date, count(*) as row_count,
              count(*) filter (day(snapshot_date) % 2 = 1) as notes from snap group by 1)
