@@ -52,6 +52,30 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return keep_first(tagged, keys, by_order).select(*cols)
 
 
+def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """:func:`upsert` with what became of each key: ``_source_rows`` of them were merged, ``_known`` if the target had it.
+
+    One shuffle, partially aggregated, so that a key of very many rows never meets in one task.
+    Store the result and both the rows and :func:`merge_counts` come from one pass.
+    """
+    others = [c for c in target.columns if c not in keys]
+    tagged = (target.withColumn("_prio", F.lit(0))
+              .unionByName(source.withColumn("_prio", F.lit(1)), allowMissingColumns=True))
+    newest = F.max_by(F.struct(*others), F.struct("_prio", *order))
+    merged = tagged.groupBy(*keys).agg(newest.alias("_row"), F.sum("_prio").alias("_source_rows"),
+                                       (F.min("_prio") == 0).alias("_known"))
+    return merged.select(*(F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in target.columns),
+                         "_source_rows", "_known")
+
+
+def merge_counts(merged: DataFrame, by: str) -> DataFrame:
+    """:func:`upsert_counts` of a :func:`merge`."""
+    hit = F.col("_source_rows") > 0
+    return merged.groupBy(by).agg(
+        F.sum("_source_rows").alias("source_rows"), F.count_if(hit).alias("distinct_keys"),
+        F.count_if(hit & ~F.col("_known")).alias("inserted"), F.count_if(hit & F.col("_known")).alias("updated"))
+
+
 def upsert_counts(target: DataFrame, source: DataFrame, keys: Sequence[str],
                   by: str) -> DataFrame:
     """Per snapshot: source rows, distinct keys, inserted and updated keys."""

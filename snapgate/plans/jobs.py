@@ -6,6 +6,7 @@ A gate writes its metrics and alerts first and raises :class:`GateFailed` afterw
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
@@ -17,7 +18,8 @@ from snapgate.config import DatasetConfig
 from snapgate.functions.measures import two_places
 from snapgate.operators import (alerts as al, baseline as bl, cleaning, contracts, drift, gold,
                                 profile as pf, quality as dq, schema_gate as sg)
-from snapgate.sinks.layers import (append_metrics, read_gold, write_empty, write_gold,
+from snapgate.sinks import publish as pub
+from snapgate.sinks.layers import (append_metrics, read_registry, read_table, register_versions, write_empty,
                                    write_layer)
 from snapgate.sinks.scratch import cut_lineage
 from snapgate.sources import metrics as mt
@@ -28,6 +30,9 @@ log = logging.getLogger("snapgate")
 
 PROCESSED_SCHEMA = "snapshot_date string, processed_at timestamp_ntz"
 
+#: How often a Gold load merges again because another load was published first.
+LOAD_ATTEMPTS = 5
+
 
 class GateFailed(RuntimeError):
     """A gate refused the snapshot; its metrics and alerts are stored."""
@@ -44,6 +49,16 @@ class Run:
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
+    @classmethod
+    def start(cls, spark: SparkSession, root: str, run_ts: str) -> Run:
+        """A run with the next sequence number, which no other run of this root has."""
+        folder = f"{root.rstrip('/')}/_runs"
+        taken = [int(n.removesuffix(".json")) for n in pub.listed(spark, folder) if n.endswith(".json")]
+        number = max(taken, default=0) + 1
+        while not pub.put_if_absent(spark, f"{folder}/{number:012d}.json", json.dumps({"run_ts": run_ts})):
+            number += 1
+        return cls(root, run_ts, number)
+
 
 def _only(df: DataFrame, snapshots: Sequence[str]) -> DataFrame:
     return df.where(F.col(SNAPSHOT).isin(list(snapshots)))
@@ -128,8 +143,7 @@ def validate_and_clean(spark: SparkSession, cfg: DatasetConfig, run: Run,
 
 def registered_contract(spark: SparkSession, cfg: DatasetConfig, run: Run) -> DataFrame:
     """The registry rows of the data set; before the first registration its own contract."""
-    rows = read_gold(spark, run.path("registry"), contracts.REGISTRY_SCHEMA)
-    rows = rows.where(F.col("dataset") == cfg.dataset)
+    rows = read_registry(spark, run.path("registry")).where(F.col("dataset") == cfg.dataset)
     if rows.isEmpty():
         return contracts.contract_rows(spark, cfg.dataset, [cfg.contract])
     return contracts.latest_contract(rows)
@@ -140,7 +154,9 @@ def enforce_schema(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
     """Contract gate, then the data gate; returns the version in force.
 
     A new version is registered once the data has passed (``register_first`` registers it
-    before the data is looked at).
+    before the data is looked at). Where another run has registered that version with another
+    contract, this one fails with :class:`publish.TakenError` and finds the other's contract when
+    it is repeated.
     """
     incoming = contracts.contract_rows(spark, cfg.dataset, [cfg.contract])
     registered = registered_contract(spark, cfg, run)
@@ -155,8 +171,11 @@ def enforce_schema(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
 
     def register():
         if decision["action"] == "register":
-            contracts.contract_rows(spark, cfg.dataset, [contract]).write.mode("append").parquet(
-                run.path("registry"))
+            try:
+                register_versions(contracts.rows_to_register(registered, incoming), run.path("registry"))
+            except pub.TakenError as e:
+                _emit(al.failure_alert(spark, al.SCHEMA_CHECK, al.SCHEMA_FAILED, snapshots, str(e), run.run_ts), run)
+                raise
 
     if register_first:
         register()
@@ -296,45 +315,77 @@ def detect_drift(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: S
 
 def load_gold(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequence[str],
               version: str | None = None, force: bool = False) -> None:
-    """Merge pending snapshots into Gold, then mark them in the ledger.
+    """Merge pending snapshots into Gold and mark them in the ledger, as one.
 
-    The ledger is written last, so a run that dies in between is repeated without harm.
-    ``force`` applies snapshots the ledger already lists, for corrections.
+    The new state is published by one file (:mod:`snapgate.sinks.publish`): a run that dies
+    before it has changed nothing, one that dies after it is complete. A run that another one
+    overtakes merges again. ``force`` applies snapshots the ledger already lists, for corrections.
     """
     try:
-        _load_gold(spark, cfg, run, snapshots, version, force)
+        for left in reversed(range(LOAD_ATTEMPTS)):
+            try:
+                return _load_gold(spark, cfg, run, snapshots, version, force)
+            except pub.TakenError as e:
+                if not left:
+                    raise
+                log.warning("%s; merging again", e)
     except Exception as e:
         _emit(al.failure_alert(spark, al.GOLD_LOADER, al.GOLD_FAILED, snapshots, str(e), run.run_ts), run)
         raise
 
 
+def read_ledger(spark: SparkSession, run: Run, state: pub.State | None = None) -> DataFrame:
+    """The processed snapshots, from the published state; ``ledger`` is a copy that other tools can read."""
+    state = state or pub.head(spark, run.path("gold"))
+    published = spark.createDataFrame(list(state.snapshots.items()), "snapshot_date string, at string").select(
+        SNAPSHOT, F.col("at").cast("timestamp_ntz").alias("processed_at"))
+    plain = read_table(spark, run.path("ledger"), PROCESSED_SCHEMA)
+    return published.unionByName(plain.join(published, SNAPSHOT, "left_anti"))
+
+
+def _settle(spark: SparkSession, run: Run, state: pub.State) -> None:
+    """Finish what follows a publication: replaced files go, the ledger's copy is completed."""
+    pub.settle(spark, run.path("gold"), state)
+    copied = {r[0] for r in read_table(spark, run.path("ledger"), PROCESSED_SCHEMA).select(SNAPSHOT).collect()}
+    rows = [(s, at) for s, at in state.snapshots.items() if s not in copied]
+    if rows:
+        (spark.createDataFrame(rows, f"{SNAPSHOT} string, at string").select(SNAPSHOT, F.col("at").cast("timestamp_ntz").alias("processed_at"))
+         .coalesce(1).write.mode("append").parquet(run.path("ledger")))
+
+
 def _load_gold(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequence[str],
                version: str | None, force: bool) -> None:
     version = version or registered_contract(spark, cfg, run).first()["version"]
-    ledger = read_gold(spark, run.path("ledger"), PROCESSED_SCHEMA)
-    pending = gold.pending_snapshots(_wanted(spark, snapshots), ledger)
+    path, by = run.path("gold"), cfg.gold_partition
+    state = pub.head(spark, path)
+    if state.number:
+        _settle(spark, run, state)
+    pending = gold.pending_snapshots(_wanted(spark, snapshots), read_ledger(spark, run, state))
     unmarked = [r[0] for r in pending.collect()]
     todo = list(snapshots) if force else unmarked
     skipped = [s for s in snapshots if s not in todo]
-    loaded, alerts = [], [al.already_processed(_wanted(spark, skipped), run.run_ts)] if skipped else []
+    alerts, loaded = [al.already_processed(_wanted(spark, skipped), run.run_ts)] if skipped else [], []
     if todo:
         rows = cleaning.enforce_types(_layer(spark, run, "silver", cfg, todo), cfg.contract)
-        full = _snapshots_of(_layer(spark, run, "silver", cfg, todo))
+        # partition values and one column: which snapshots have rows, and which partitions they touch
+        touches = rows.select(F.col(SNAPSHOT).cast("string").alias("_s"), F.col(by).alias("_by")).distinct().collect()
+        full = {r["_s"] for r in touches}
         loaded = [s for s in todo if s in full]
-        empty = [s for s in todo if s not in loaded]
+        empty = [s for s in todo if s not in full]
         if empty:
             alerts.append(al.silver_empty(_wanted(spark, empty), run.run_ts))
     if loaded:
         source = gold.tag_version(rows, version)
-        by = cfg.gold_partition
-        target = read_gold(spark, run.path("gold"), source.select(*cfg.gold_columns).schema)
-        target = gold.touched(target, source, by)
-        counts = cut_lineage(gold.upsert_counts(target, source, cfg.gold_keys, by))
+        target = pub.read_published(spark, path, source.select(*cfg.gold_columns).schema, state)
+        values = {r["_by"] for r in touches}
+        hit = F.col(by).isin([v for v in values if v is not None])
+        target = target.where(hit | F.col(by).isNull() if None in values else hit)
+        merged = cut_lineage(gold.merge(target, source, cfg.gold_keys, [SNAPSHOT, *ORDER_COLUMNS]))
+        counts = gold.merge_counts(merged, by)
         alerts.append(al.gold_loaded(counts.withColumnRenamed(by, SNAPSHOT), version, run.run_ts))
-        write_gold(source, target, run.path("gold"), cfg.gold_keys, [SNAPSHOT, *ORDER_COLUMNS], by)
-        marked = [s for s in loaded if s in unmarked]
-        gold.ledger_rows(_wanted(spark, marked), run.run_ts).coalesce(1).write.mode("append").parquet(
-            run.path("ledger"))
+        marked = {s: run.run_ts for s in loaded if s in unmarked}
+        state = pub.publish(merged.select(*cfg.gold_columns).hint("rebalance", by), path, by, state, marked)
+        _settle(spark, run, state)
     if alerts:
         _emit(al.union_alerts(alerts), run)
 

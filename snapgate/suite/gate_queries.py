@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from snapgate.operators import alerts as al, gold, quality as dq, schema_gate as sg
+from snapgate.sinks import publish
 from snapgate.sinks.layers import read_gold, write_gold
 from snapgate.sinks.scratch import cut_lineage, scratch_dir
 from snapgate.suite import drift_queries as dr
@@ -84,6 +85,25 @@ def gold_upsert_stored(spark, sf):
     return read_gold(spark, path, source.schema).select(*GOLD_COLUMNS)
 
 
+def gold_publish(spark, sf):
+    """Two loads published with their ledger, each raced by a load that started from the state before and must fail."""
+    target, source = _sides(spark, sf)
+    path, schema = scratch_dir(spark), target.schema
+    state = publish.head(spark, path)
+    for i, rows in enumerate((target, source)):
+        years = {str(r[0]): f"2024-02-0{i + 1} 00:00:00" for r in rows.select("snapshot_year").distinct().collect()}
+        merged = gold.merge(publish.read_published(spark, path, schema, state), rows, GOLD_KEYS, ["o_orderkey"]).select(*GOLD_COLUMNS)
+        won = publish.publish(merged, path, "snapshot_year", state, years)
+        try:
+            publish.publish(merged.withColumn("o_totalprice", F.lit(0.0)), path, "snapshot_year", state, years)
+        except publish.TakenError:
+            state = won
+    ledger = spark.createDataFrame(list(state.snapshots.items()), "snapshot_year string, processed_at string")
+    stored = publish.read_published(spark, path, schema)
+    return stored.join(ledger, stored["snapshot_year"].cast("string") == ledger["snapshot_year"]).select(
+        *(stored[c] for c in GOLD_COLUMNS), "processed_at")
+
+
 def gold_upsert_null_partition(spark, sf):
     """The stored merge where a seventh of the customers have no partition value."""
     year = F.expr("if(o_custkey % 7 = 0, null, snapshot_year)")
@@ -233,6 +253,10 @@ select {_DAY}, row_count, status, round_even(chg, 2), 'category',
   partition by o_custkey, snapshot_year order by o_orderkey desc) as rn from o) where rn = 1"""),
     "gold_upsert": (gold_upsert, f"with {_SIDES}\n{_GOLD} from merged"),
     "gold_upsert_stored": (gold_upsert_stored, f"with {_SIDES}\n{_GOLD} from merged"),
+    "gold_publish": (gold_publish, f"""with {_SIDES}
+select m.o_custkey, m.snapshot_year, m.o_orderkey, m.o_orderstatus, m.o_totalprice,
+       case when snapshot_year in (select snapshot_year from s) then '2024-02-02 00:00:00'
+            else '2024-02-01 00:00:00' end as processed_at from merged m"""),
     "gold_upsert_null_partition": (gold_upsert_null_partition, "with " + _SIDES.replace(
         "cast(year(o_orderdate) as int) as snapshot_year",
         "case when o_custkey % 7 <> 0 then cast(year(o_orderdate) as int) end as snapshot_year")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from snapgate.functions.text import na_to_null
-from snapgate.sinks.scratch import cut_lineage
+from snapgate.sinks.layers import read_registry, register_versions
+from snapgate.sinks.scratch import cut_lineage, scratch_dir
 from snapgate.operators import contracts, schema_gate as sg
 from snapgate.suite.inputs import (CONTRACT, DELIVERED, REGISTRY, SNAP, TEXT_CONTRACT, delivered,
                                    out, registry, snap)
@@ -83,8 +84,10 @@ acted as (
 def registry_append(spark, sf):
     r = _stored_registry(spark, sf)
     old = contracts.previous_contract(r)
-    new = contracts.rows_to_register(old, _grown(r))
-    return old.unionByName(new).withColumn("nullable", F.col("nullable").cast("string"))
+    path = scratch_dir(spark)
+    old.write.parquet(path)
+    register_versions(contracts.rows_to_register(old, _grown(r)), path)
+    return read_registry(spark, path).withColumn("nullable", F.col("nullable").cast("string"))
 
 
 def schema_missing_columns(spark, sf):
