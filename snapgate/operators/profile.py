@@ -33,7 +33,7 @@ def profile_numeric(df: DataFrame, columns: Sequence[str], by: str = "snapshot_d
     """
     columns = [c for c in columns if c in df.columns]
     if not columns:
-        return _no_rows(df, by, "column string, count bigint, "
+        return no_rows(df, by, "column string, count bigint, "
                         + ", ".join(f"{m} double" for m in NUMERIC_METRICS[1:]))
     data = df.select(by, *[nan_to_null(df, c).cast("double").alias(c) for c in columns])
     aggs = []
@@ -66,7 +66,7 @@ def cover_profiles(known: DataFrame, profile: DataFrame, columns: Sequence[str],
     return wanted.join(profile, [by, "column"], "left").withColumns(zeros)
 
 
-def _no_rows(df: DataFrame, by: str, fields: str) -> DataFrame:
+def no_rows(df: DataFrame, by: str, fields: str) -> DataFrame:
     schema = T.StructType([df.schema[by], *T.StructType.fromDDL(fields).fields])
     return df.sparkSession.createDataFrame([], schema)
 
@@ -102,7 +102,7 @@ def profile_categorical(df: DataFrame, columns: Sequence[str], by: str = "snapsh
     the one pass and shuffle over the rows, are stored; totals and ranks are read off them.
     """
     if not any(c in df.columns for c in columns):
-        return _no_rows(df, by, "column string, count bigint, cardinality bigint, "
+        return no_rows(df, by, "column string, count bigint, cardinality bigint, "
                                 "top_5_values map<string,bigint>")
     counts = cut_lineage(_counts(df, columns, by))
     totals = counts.groupBy(by, "column").agg(

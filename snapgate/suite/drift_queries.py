@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from snapgate.operators import baseline as bl, drift, profile as pf
+from snapgate.operators import baseline as bl, drift, heavy, profile as pf
 from snapgate.operators.quantiles import select_quantiles
 from snapgate.sinks.scratch import cut_lineage
 from snapgate.suite.inputs import CALENDAR, CATEGORICAL, NUMERIC, SNAP, calendar, out, snap, table
@@ -100,6 +100,15 @@ def top_values_ranked(spark, sf):
     return pf.top_values(pf.value_counts(d, ["source"]), 10).withColumnRenamed("snapshot_date", "lang")
 
 
+def top_values_bounded(spark, sf):
+    """The five most frequent values a year of columns with few, many and nearly unique values."""
+    rows = table(spark, sf, "lineitem").withColumn("snapshot_year", F.year("l_shipdate"))
+    return heavy.top_values_bounded(rows, _TOP, 5, "snapshot_year")
+
+
+_TOP = ["l_returnflag", "l_partkey", "l_orderkey"]
+
+
 def profile_missing_columns(spark, sf):
     return out(pf.missing_profile_columns(snap(spark, sf), ["measure", "weight", "category", "region"]))
 
@@ -298,6 +307,12 @@ select * from (
   select lang, 'source' as "column", source as value, count(*) as n,
          cast(row_number() over (partition by lang order by count(*) desc, source) as int) as rank
   from documents group by lang, source) where rank <= 10"""),
+    "top_values_bounded": (top_values_bounded, """
+with v as (select cast(year(l_shipdate) as int) as snapshot_year, unnest(['l_returnflag', 'l_partkey', 'l_orderkey']) as "column",
+                  unnest([l_returnflag, l_partkey::varchar, l_orderkey::varchar]) as value from lineitem),
+c as (select snapshot_year, "column", value, count(*) as n from v group by all),
+r as (select *, row_number() over (partition by snapshot_year, "column" order by n desc, value)::int as rank from c)
+select * from r where rank <= 5"""),
     "profile_missing_columns": (profile_missing_columns, f"""with {SNAP}
 select {_DAY}, row_count, c as "column" from (
   select snapshot_date, count(*) as row_count from snap group by 1), unnest(['weight', 'region']) as u(c)"""),
