@@ -18,6 +18,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -33,22 +34,24 @@ ROUNDS = 2
 GROWTH = 16
 
 
-def trimmed(values: list, counts: np.ndarray, counters: int) -> tuple[list, np.ndarray, int]:
-    """At most ``counters`` of the values, all counts lowered by the same amount, and that amount."""
-    if len(values) <= counters:
-        return values, counts, 0
-    taken = int(np.partition(counts, len(counts) - counters - 1)[len(counts) - counters - 1])
-    stay = np.flatnonzero(counts > taken)
-    return [values[i] for i in stay.tolist()], counts[stay] - taken, taken
+#: Counted values a task holds of a column before it makes a summary of them, in multiples of the summary.
+HELD = 4
 
 
-def _merged(held: list, total: np.ndarray, values: list, counts: np.ndarray) -> tuple[list, np.ndarray]:
-    """Two lists of counted values as one."""
-    place = {v: i for i, v in enumerate(held)}
-    at = np.array([place.get(v, -1) for v in values], np.int64)
-    total, new = total.copy(), np.flatnonzero(at < 0)
-    total[at[at >= 0]] += counts[at >= 0]
-    return held + [values[i] for i in new.tolist()], np.concatenate([total, counts[new]])
+def trimmed(group: np.ndarray, counts: np.ndarray, counters: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What stays of each group's counts, at most ``counters``: their places, lowered counts, and the amounts taken.
+
+    ``group`` numbers the groups from 0. All counts of a group are lowered alike.
+    """
+    order = np.lexsort((-counts, group))
+    size = np.bincount(group)
+    begin = np.cumsum(size) - size
+    taken = np.zeros(len(size), np.int64)
+    full = np.flatnonzero(size > counters)
+    taken[full] = counts[order[begin[full] + counters]]
+    left = counts - taken[group]
+    stay = np.flatnonzero(left > 0)
+    return stay, left[stay], taken
 
 
 def _keyed(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
@@ -66,27 +69,40 @@ def summaries(df: DataFrame, columns: Sequence[str], by: str = "snapshot_date",
     names = list(columns)
 
     def run(batches):
-        held, error = {}, {}
+        held = [[] for _ in names]
+        errors = [{} for _ in names]
+
+        def summary(i):
+            """The counted values held of a column as one summary for each group."""
+            table = pa.concat_tables(held[i]).group_by(["by", "value"]).aggregate([("n", "sum")])
+            table = pa.table(dict(zip(("by", "value", "n"), (table.column(c) for c in ("by", "value", "n_sum")))))
+            if only is not None:
+                mine = pa.array([key for key, column in only if column == names[i]], pa.string())
+                table = table.filter(pc.is_in(table.column("by"), mine))
+            keys = table.column("by").combine_chunks().dictionary_encode()
+            stay, n, taken = trimmed(keys.indices.to_numpy(), table.column("n").to_numpy(), counters)
+            for key, amount in zip(keys.dictionary.to_pylist(), taken.tolist()):
+                errors[i][key] = errors[i].get(key, 0) + amount
+            return table.take(pa.array(stay)).set_column(2, "n", pa.array(n))
+
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            for i, column in enumerate(names):
+            for i in range(len(names)):
                 counted = table.select(["by", f"c{i}"]).group_by(["by", f"c{i}"]).aggregate([([], "count_all")])
                 counted = counted.filter(counted.column(f"c{i}").is_valid())
-                values, n = counted.column(f"c{i}").to_pylist(), counted.column("count_all").to_numpy()
-                found = {}
-                for j, key in enumerate(counted.column("by").to_pylist()):
-                    found.setdefault(key, []).append(j)
-                for key, at in found.items():
-                    if only is None or (key, column) in only:
-                        before = held.get((key, column), ([], np.zeros(0, np.int64)))
-                        merged = _merged(*before, [values[j] for j in at], n[at])
-                        *held[key, column], taken = trimmed(*merged, counters)
-                        error[key, column] = error.get((key, column), 0) + taken
-        for (key, column), (values, n) in held.items():
-            m = len(values) + 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([key] * m, pa.string()), pa.array([column] * m, pa.string()), pa.array([*values, None], pa.string()),
-                 pa.array([*n.tolist(), error[key, column]], pa.int64())], ["by", "column", "value", "n"])
+                held[i].append(pa.table(dict(zip(("by", "value", "n"), (counted.column(c) for c in ("by", f"c{i}", "count_all"))))))
+                if sum(map(len, held[i])) > HELD * counters * max(len(errors[i]), 16):
+                    held[i] = [summary(i)]
+        for i, column in enumerate(names):
+            if held[i]:
+                table = summary(i)
+                keys = list(errors[i])
+                yield from pa.table({
+                    "by": pa.chunked_array([*table.column("by").chunks, pa.array(keys, pa.string())]),
+                    "column": pa.array([column] * (len(table) + len(keys)), pa.string()),
+                    "value": pa.chunked_array([*table.column("value").chunks, pa.nulls(len(keys), pa.string())]),
+                    "n": pa.chunked_array([*table.column("n").chunks, pa.array(list(errors[i].values()), pa.int64())]),
+                }).combine_chunks().to_batches()
 
     return _keyed(df, names, by).mapInArrow(run, "by string, column string, value string, n long")
 
