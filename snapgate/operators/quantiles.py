@@ -33,13 +33,13 @@ def long_values(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> Dat
             .where(F.col("value").isNotNull() & ~F.isnan("value")))
 
 
-def _log_bucket(v):
+def log_bucket(v):
     """Non-decreasing in ``v``: equal relative width, negative values mirrored."""
     size = F.lit(_LOG_OFFSET) + F.floor(F.least(F.ln(F.abs(v)), F.lit(800.0)) * _LOG_STEPS)
     return F.when(v == 0, F.lit(0).cast("bigint")).when(v > 0, size).otherwise(-size)
 
 
-def _pick(hist: DataFrame, keys: list[str], order: str, targets: DataFrame | None,
+def pick(hist: DataFrame, keys: list[str], order: str, targets: DataFrame | None,
           probs: Sequence[float]) -> DataFrame:
     """The buckets holding each wanted rank, with the rank made relative to the bucket.
 
@@ -77,9 +77,9 @@ def select_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
     by = list(by)
     values = long_values(df, by, columns)
     keys = [*by, "column"]
-    hist = (values.groupBy(*keys, _log_bucket(F.col("value")).alias("_b"))
+    hist = (values.groupBy(*keys, log_bucket(F.col("value")).alias("_b"))
             .agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")))
-    targets = cut_lineage(_pick(hist, keys, "_b", None, probs))
+    targets = cut_lineage(pick(hist, keys, "_b", None, probs))
     done = targets.where("lo = hi")
     todo = targets.where("lo < hi")
     largest = _largest(todo)
@@ -100,7 +100,7 @@ def select_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
                        / (F.col("_hi") / 2 - F.col("_lo") / 2) * _SPLIT)
         hist = (inside.groupBy(*ranges, F.least(part, F.lit(_SPLIT - 1)).alias("_b"))
                 .agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")))
-        targets = cut_lineage(_pick(hist, ranges, "_b", wanted, probs))
+        targets = cut_lineage(pick(hist, ranges, "_b", wanted, probs))
         done = done.unionByName(targets.where("lo = hi"))
         todo = targets.where("lo < hi")
         largest = _largest(todo)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
-from snapgate.operators import baseline as bl, drift, heavy, profile as pf
+from snapgate.operators import baseline as bl, drift, heavy, mergeable as mg, profile as pf
 from snapgate.operators.quantiles import select_quantiles
 from snapgate.sinks.scratch import cut_lineage
 from snapgate.suite.inputs import CALENDAR, CATEGORICAL, NUMERIC, SNAP, calendar, out, snap, table
@@ -122,6 +124,44 @@ def baseline_previous_snapshots(spark, sf):
     return out(bl.previous_snapshots(snap(spark, sf), newest, WINDOW))
 
 
+def _windowed(spark, sf, state):
+    """The state records of each snapshot's window, from stored ones, and the window's members."""
+    s = snap(spark, sf)
+    members = cut_lineage(bl.window_members(s, WINDOW))
+    return bl.history_of(cut_lineage(state(s)), members), members, s
+
+
+def baseline_pooled_moments(spark, sf):
+    """Mean and deviation over all rows of the window, from the profiles alone."""
+    history, _, _ = _windowed(spark, sf, lambda s: pf.profile_numeric(s, NUMERIC))
+    return out(rounded(mg.pooled_moments(history), ["pooled_mean", "pooled_std"]))
+
+
+def _window_rows(members, s, columns):
+    return members.join(s.select(F.col("snapshot_date").alias("member"), *columns), "member").drop("member")
+
+
+def window_quantiles(spark, sf):
+    """Quartiles over the window's rows from stored bucket counts: do they hold the exact ones, found from the rows?"""
+    history, members, s = _windowed(spark, sf, lambda s: mg.bucket_counts(s, NUMERIC))
+    rough = mg.window_quantiles(history, [0.25, 0.5, 0.75])
+    exact = select_quantiles(cut_lineage(_window_rows(members, s, NUMERIC)), ["snapshot_date"], NUMERIC, [0.25, 0.5, 0.75])
+    both = rough.join(exact.withColumnRenamed("value", "exact"), ["snapshot_date", "column", "prob"])
+    width = F.abs("exact") * (math.exp(1 / 64) - 1) * 1.001 + 1e-9
+    holds = F.col("exact").between(F.col("low"), F.col("high")) & (F.abs(F.col("value") - F.col("exact")) <= width)
+    return out(both.select("snapshot_date", "column", "prob", "rows", F.round("exact", 4).alias("exact"), holds.alias("within")))
+
+
+def distinct_window(spark, sf):
+    """Distinct values of the window from stored sketches against the exact number, within five percent."""
+    history, members, s = _windowed(spark, sf, lambda s: mg.distinct_sketches(s, CATEGORICAL))
+    rough = mg.window_distinct(history)
+    exact = pf.value_counts(_window_rows(members, s, CATEGORICAL), CATEGORICAL).groupBy("snapshot_date", "column").agg(
+        F.count("*").alias("exact"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= F.greatest(F.col("exact") * 0.05, F.lit(0.5))
+    return out(rough.join(exact, ["snapshot_date", "column"]).select("snapshot_date", "column", "exact", near.alias("within")))
+
+
 def baseline_numeric(spark, sf):
     return out(rounded(_baselines(_stored(_numeric(spark, sf)), bl.numeric_baseline), _STATS))
 
@@ -174,6 +214,16 @@ def _categorical_drift(spark, sf):
 _D = ["baseline", "current", "drift_pct"]
 
 
+def drift_distribution(spark, sf):
+    """Each day's values against those of all rows of its window."""
+    s = snap(spark, sf)
+    counts = cut_lineage(pf.value_counts(s, CATEGORICAL))
+    base = bl.history_of(counts, bl.window_members(s, WINDOW)).groupBy("snapshot_date", "column", "value").agg(F.sum("n").alias("n"))
+    found = drift.distribution_drift(counts, base)
+    names = {c: F.array_join(c, ",") for c in ("new_named", "vanished_named")}
+    return out(rounded(found, ["js_distance", "psi"]).withColumns(names))
+
+
 def drift_numeric(spark, sf):
     return out(rounded(_numeric_drift(spark, sf).drop("type"), _D))
 
@@ -338,6 +388,41 @@ select {_DAY}, "column", round(mean, 4) as mean, round(median, 4) as median, 1 a
 where "column" <> 'measure'
 union all
 select {_DAY}, "column", round(mean, 4), round(median, 4), 2 from b7 where "column" = 'measure'"""),
+    "baseline_pooled_moments": (baseline_pooled_moments, f"""with {SNAP}, {PROFILE}, {MEMBERS}
+select cast(m.snapshot_date as varchar) as snapshot_date, n."column", count(n.v) as rows,
+       round(avg(n.v), 4) as pooled_mean, round(stddev_pop(n.v), 4) as pooled_std
+from members m join nums n on n.snapshot_date = m.member group by 1, 2"""),
+    "window_quantiles": (window_quantiles, f"""with {SNAP}, {PROFILE}, {MEMBERS},
+q as (select m.snapshot_date, n."column", count(n.v) as rows, quantile_cont(n.v, [0.25, 0.5, 0.75]) as q
+      from members m join nums n on n.snapshot_date = m.member group by 1, 2)
+select cast(snapshot_date as varchar) as snapshot_date, "column", i * 0.25::double as prob, rows, round(q[i], 4) as exact, true as within
+from q, (values (1), (2), (3)) as t(i)"""),
+    "distinct_window": (distinct_window, f"""with {SNAP}, {VC}, {MEMBERS}
+select cast(m.snapshot_date as varchar) as snapshot_date, v."column", count(distinct v.value) as exact, true as within
+from members m join vc v on v.snapshot_date = m.member group by 1, 2"""),
+    "drift_distribution": (drift_distribution, f"""with {SNAP}, {VC}, {MEMBERS},
+b as (select m.snapshot_date, v."column", v.value, sum(v.n) as n from members m join vc v on v.snapshot_date = m.member group by all),
+t as (select snapshot_date, "column", sum(n) as total from vc group by all),
+u as (select snapshot_date, "column", sum(n) as total from b group by all),
+j as (select t.snapshot_date, t."column", x.value, coalesce(v.n, 0) / t.total as p, coalesce(b.n, 0) / u.total as q
+      from t join u using (snapshot_date, "column")
+      join (select snapshot_date, "column", value from vc union select snapshot_date, "column", value from b) x
+        using (snapshot_date, "column")
+      left join vc v using (snapshot_date, "column", value) left join b using (snapshot_date, "column", value)),
+k as (select *, (p + q) / 2 as m, greatest(p, 1e-4) as pf, greatest(q, 1e-4) as qf,
+             case when q = 0 then 'new' when p = 0 then 'vanished' end as kind from j),
+r as (select *, row_number() over (partition by snapshot_date, "column", kind order by m desc, value) as rank from k),
+a as (select snapshot_date, "column",
+             round(sqrt(greatest(sum(case when p > 0 then p * log2(p / m) else 0 end + case when q > 0 then q * log2(q / m) else 0 end) / 2, 0)), 4)
+               as js_distance,
+             sum((pf - qf) * ln(pf / qf)) as raw_psi,
+             count(*) filter (kind = 'new') as new_values, count(*) filter (kind = 'vanished') as vanished_values,
+             coalesce(string_agg(value, ',' order by rank) filter (kind = 'new' and rank <= 5), '') as new_named,
+             coalesce(string_agg(value, ',' order by rank) filter (kind = 'vanished' and rank <= 5), '') as vanished_named
+      from r group by 1, 2)
+select cast(snapshot_date as varchar) as snapshot_date, "column", js_distance, round(raw_psi, 4) as psi, new_values,
+       vanished_values, new_named, vanished_named,
+       case when raw_psi >= 0.25 then 'CRITICAL' when raw_psi >= 0.1 then 'WARN' else 'INFO' end as severity from a"""),
     "drift_numeric": (drift_numeric, f"""{CHAIN}
 select {_DRIFT_COLS} from records where type = 'numeric'"""),
     "drift_categorical": (drift_categorical, f"""{CHAIN}
