@@ -10,28 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from snapgate.functions.text import nan_to_null
-from snapgate.operators.quantiles import log_bucket, long_values, pick
+from snapgate.operators.quantiles import bucket_table, pick, pooled
 
 #: Bits of a distinct sketch's index: 2**12 registers, a standard error of 1.6 %, 4 kB at most.
 SKETCH_BITS = 12
 
 
-def pooled(entries: Column) -> Column:
-    """(n, mean, m2) of an array of such structs taken together; m2 is the sum of squared deviations."""
-    start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
-
-    def add(a, b):
-        n = a["n"] + b["n"]
-        apart = b["mean"] - a["mean"]
-        both = F.struct(n.alias("n"), (a["mean"] + apart * b["n"] / n).alias("mean"),
-                        (a["m2"] + b["m2"] + apart * apart * a["n"] * b["n"] / n).alias("m2"))
-        return F.when(b["n"] > 0, both).otherwise(a)
-    return F.aggregate(entries, start, add)
-
-
 def pooled_moments(history: DataFrame, by: str = "snapshot_date") -> DataFrame:
     """``(by, column, rows, pooled_mean, pooled_std)`` over all rows of the profiles in the history.
 
@@ -53,10 +40,13 @@ def bucket_counts(df: DataFrame, columns: Sequence[str], by: str = "snapshot_dat
     A bucket is a 64th of a factor of e wide, so there are as many as the values' magnitudes need,
     a few hundred for most columns and never more than 200,000. One partially aggregated pass.
     """
-    values = long_values(df, [by], [c for c in columns if c in df.columns])
-    counted = values.groupBy(by, "column", log_bucket(F.col("value")).cast("int").alias("b")).agg(
-        F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-    return counted.groupBy(by, "column").agg(F.sort_array(F.collect_list(F.struct("b", "n", "lo", "hi"))).alias("buckets"))
+    return as_buckets(bucket_table(df, [by], [c for c in columns if c in df.columns]), by)
+
+
+def as_buckets(table: DataFrame, by: str = "snapshot_date") -> DataFrame:
+    """The :func:`quantiles.bucket_table` of a profile as an array in each record."""
+    bucket = F.when(F.col("n") > 0, F.struct(F.col("_b").cast("int").alias("b"), "n", "lo", "hi"))
+    return table.groupBy(by, "column").agg(F.sort_array(F.collect_list(bucket)).alias("buckets"))
 
 
 def window_quantiles(history: DataFrame, probs: Sequence[float], by: str = "snapshot_date") -> DataFrame:

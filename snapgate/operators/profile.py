@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from snapgate.functions.text import nan_to_null
-from snapgate.operators.quantiles import SMALL_GROUP_ROWS, select_quantiles
+from snapgate.operators.quantiles import SMALL_GROUP_ROWS, bucket_table, pooled, select_quantiles
 from snapgate.sinks.scratch import cut_lineage
 
 # The numeric statistics and their order in a profile record.
@@ -27,26 +27,34 @@ def profile_numeric(df: DataFrame, columns: Sequence[str], by: str = "snapshot_d
                     sort_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
     """``(by, column, count, mean, median, std, min, max, p25, p50, p75)``, all exact.
 
-    Every column is aggregated in one pass. Quantiles come from narrowing rounds that never
-    collect more than ``sort_rows`` values in one task. NaN counts as missing. Standard
-    deviation is that of the population, 0.0 below two values.
+    ``df`` is read once: the pruned columns are stored, one pass over them counts values in
+    buckets, and from these come all statistics and the first narrowing round of the quantiles,
+    which never collects more than ``sort_rows`` values in one task. NaN counts as missing.
+    Standard deviation is that of the population, 0.0 below two values.
     """
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return no_rows(df, by, "column string, count bigint, "
-                        + ", ".join(f"{m} double" for m in NUMERIC_METRICS[1:]))
-    data = df.select(by, *[nan_to_null(df, c).cast("double").alias(c) for c in columns])
-    aggs = []
-    for c in columns:
-        aggs += [F.count(c).alias(f"count_{c}"), F.avg(c).alias(f"mean_{c}"),
-                 F.coalesce(F.stddev_pop(c), F.lit(0.0)).alias(f"std_{c}"),
-                 F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
-    wide = data.groupBy(by).agg(*aggs)
-    fields = ["count", "mean", "std", "min", "max"]
-    rows = F.array(*[F.struct(F.lit(c).alias("column"),
-                              *[F.col(f"{f}_{c}").alias(f) for f in fields]) for c in columns])
-    out = wide.select(by, F.inline(rows))
-    found = select_quantiles(data, [by], columns, list(QUANTILES.values()), sort_rows)
+                       + ", ".join(f"{m} double" for m in NUMERIC_METRICS[1:]))
+    return numeric_profile(*numeric_buckets(df, columns, by), columns, by, sort_rows)
+
+
+def numeric_buckets(df: DataFrame, columns: Sequence[str], by: str = "snapshot_date") -> tuple[DataFrame, DataFrame]:
+    """The stored columns as doubles and their stored :func:`quantiles.bucket_table`; the one read of ``df``."""
+    data = cut_lineage(df.select(by, *[nan_to_null(df, c).cast("double").alias(c) for c in columns]))
+    return data, cut_lineage(bucket_table(data, [by], columns))
+
+
+def numeric_profile(data: DataFrame, buckets: DataFrame, columns: Sequence[str], by: str = "snapshot_date",
+                    sort_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
+    """:func:`profile_numeric` of what :func:`numeric_buckets` stored."""
+    # a bucket is a 64th of a factor of e, so a group has some hundreds of them
+    moments = pooled(F.sort_array(F.collect_list(F.when(F.col("n") > 0, F.struct("n", "mean", "m2")))))
+    out = buckets.groupBy(by, "column").agg(moments.alias("_m"), F.min("lo").alias("min"), F.max("hi").alias("max"))
+    some = F.col("_m.n") > 0
+    out = out.select(by, "column", F.col("_m.n").alias("count"), F.when(some, F.col("_m.mean")).alias("mean"),
+                     F.when(some, F.sqrt(F.col("_m.m2") / F.col("_m.n"))).otherwise(0.0).alias("std"), "min", "max")
+    found = select_quantiles(data, [by], columns, list(QUANTILES.values()), sort_rows, buckets)
     found = found.groupBy(by, "column").agg(*[
         F.max(F.when(F.col("prob") == p, F.col("value"))).alias(name)
         for name, p in QUANTILES.items()])

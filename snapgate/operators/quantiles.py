@@ -25,12 +25,39 @@ def sorted_values(column: str) -> Column:
     return F.sort_array(F.collect_list(column))
 
 
+def _pairs(columns: Sequence[str]) -> Column:
+    return F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]))
+
+
 def long_values(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """``(by, column, value)`` without NULL and NaN."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-                      for c in columns])
-    return (df.select(*by, F.inline(pairs))
-            .where(F.col("value").isNotNull() & ~F.isnan("value")))
+    return df.select(*by, _pairs(columns)).where(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def bucket_table(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``(by, column, _b, n, lo, hi, mean, m2)``: the values in buckets of equal relative width, in one pass.
+
+    ``m2`` is the sum of squared deviations in the bucket. NULL and NaN lie in a bucket without a
+    number, which counts none.
+    """
+    value = F.when(~F.isnan("value"), F.col("value"))
+    rows = df.select(*by, _pairs(columns)).withColumn("value", value)
+    return rows.groupBy(*by, "column", log_bucket(F.col("value")).alias("_b")).agg(
+        F.count("value").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.avg("value").alias("mean"),
+        (F.var_pop("value") * F.count("value")).alias("m2"))
+
+
+def pooled(entries: Column) -> Column:
+    """(n, mean, m2) of an array of such structs taken together, by the pairwise rule."""
+    start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+
+    def add(a, b):
+        n = a["n"] + b["n"]
+        apart = b["mean"] - a["mean"]
+        both = F.struct(n.alias("n"), (a["mean"] + apart * b["n"] / n).alias("mean"),
+                        (a["m2"] + b["m2"] + apart * apart * a["n"] * b["n"] / n).alias("m2"))
+        return F.when(b["n"] > 0, both).otherwise(a)
+    return F.aggregate(entries, start, add)
 
 
 def log_bucket(v):
@@ -65,21 +92,21 @@ def pick(hist: DataFrame, keys: list[str], order: str, targets: DataFrame | None
 
 
 def select_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
-                     probs: Sequence[float], sort_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
+                     probs: Sequence[float], sort_rows: int = SMALL_GROUP_ROWS, buckets: DataFrame | None = None) -> DataFrame:
     """``(by, column, prob, value)`` exact for groups of any size and any value skew.
 
     Round one uses buckets of equal relative width, which needs no knowledge of the data;
     later rounds split the remaining range ``[lo, hi]`` of a bucket into equal parts. A
     bucket is done when its smallest and largest value agree, so repeated values end at once,
     or when it is counted to hold at most ``sort_rows`` values, which are then sorted. Every
-    round scans ``df`` again, column-pruned: give it a stored table.
+    round scans ``df`` again, column-pruned: give it a stored table. ``buckets`` is the
+    :func:`bucket_table` of it where that is at hand.
     """
     by = list(by)
     values = long_values(df, by, columns)
     keys = [*by, "column"]
-    hist = (values.groupBy(*keys, log_bucket(F.col("value")).alias("_b"))
-            .agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")))
-    targets = cut_lineage(pick(hist, keys, "_b", None, probs))
+    hist = bucket_table(df, by, columns) if buckets is None else buckets
+    targets = cut_lineage(pick(hist.where("n > 0").select(*keys, "_b", "n", "lo", "hi"), keys, "_b", None, probs))
     done = targets.where("lo = hi")
     todo = targets.where("lo < hi")
     largest = _largest(todo)
