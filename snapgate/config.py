@@ -82,6 +82,7 @@ class DatasetConfig:
     baseline_window: int = 7
     raw_format: str = "csv"
     layer_format: str = "parquet"
+    mergeable_profiles: bool = False   # bucket counts and distinct sketches in profiles, for windows of rows
     raw_multi_line: bool = False   # quoted line breaks in raw CSV; files are then read twice
 
 

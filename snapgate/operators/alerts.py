@@ -22,6 +22,7 @@ NUMERIC_DRIFT = "Numeric drift detected: "
 CATEGORICAL_DRIFT = "Categorical drift detected: "
 GOLD_FAILED = "Gold load failed"
 GOLD_LOADED = "Gold load completed successfully"
+RULE_BROKEN = "Rule broken: "
 SILVER_EMPTY = "Silver dataset is empty — no rows loaded"
 ALREADY_PROCESSED = "Snapshot already processed — skipping Gold load"
 
@@ -82,6 +83,12 @@ def quality_alerts(statuses: DataFrame, run_ts: str) -> DataFrame:
         ["row_count", "reason", *percentages], run_ts)
 
 
+def rule_alerts(found: DataFrame, run_ts: str) -> DataFrame:
+    """One CRITICAL alert per snapshot and row rule beyond its limit."""
+    return alerts_from(found.where("status = 'FAILED'"), "CRITICAL", DATA_QUALITY, F.concat(F.lit(RULE_BROKEN), "rule"),
+                       ["row_count", "violations", "violated_pct"], run_ts)
+
+
 def drift_alerts(records: DataFrame, run_ts: str) -> DataFrame:
     found = records.where("severity <> 'INFO'")
     message = F.when(F.col("type") == "numeric",

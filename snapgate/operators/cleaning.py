@@ -86,10 +86,11 @@ def clean(df: DataFrame, contract: Contract, keys: Sequence[str],
 
 
 def row_accounting(df: DataFrame, critical: Sequence[str], keys: Sequence[str],
-                   by: str = "snapshot_date") -> DataFrame:
+                   by: str = "snapshot_date", duplicates: bool = False) -> DataFrame:
     """Rows in, after the null drop and after dedup per snapshot, and the rows dropped.
 
     Counts are pre-aggregated per key, so only key counts are shuffled, never the rows.
+    ``duplicates`` adds the duplicate report's ``duplicated_keys``, off the same counts.
     """
     bad = any_missing(df, critical)
     per_key = (df.select(by, *[F.when(~bad, F.col(k)).alias(f"_k{i}") for i, k in enumerate(keys)],
@@ -100,11 +101,13 @@ def row_accounting(df: DataFrame, critical: Sequence[str], keys: Sequence[str],
         F.sum("_n").alias("rows_in"),
         F.sum(F.col("_n") * F.col("_ok")).alias("rows_after_nulls"),
         F.sum(F.col("_ok").cast("bigint")).alias("rows_after_dedup"),
+        F.count_if((F.col("_ok") == 1) & (F.col("_n") > 1)).alias("duplicated_keys"),
     )
+    report = ["duplicated_keys"] if duplicates else []
     return total.select(
         by, "rows_in", "rows_after_nulls", "rows_after_dedup",
         (F.col("rows_in") - F.col("rows_after_nulls")).alias("dropped_nulls"),
-        (F.col("rows_after_nulls") - F.col("rows_after_dedup")).alias("dropped_duplicates"),
+        (F.col("rows_after_nulls") - F.col("rows_after_dedup")).alias("dropped_duplicates"), *report,
     )
 
 

@@ -83,12 +83,16 @@ def quality_status(metrics: DataFrame, limits: QualityLimits,
 
 def quality_record(metrics: DataFrame, limits: QualityLimits,
                    rules: dict[str, Column] | None = None, by: str = "snapshot_date") -> DataFrame:
-    """The metric record: counts, change and null percentages rounded to two places, status."""
+    """The metric record: counts, change and null percentages rounded to two places and as they are, status."""
     present = [c for c in limits.critical_columns if f"nulls_{c}" in metrics.columns]
-    pairs = [F.struct(F.lit(c), two_places(_null_pct(c))) for c in present]
-    nulls = F.map_from_entries(F.array(*pairs)) if pairs else F.create_map().cast("map<string,double>")
+
+    def nulls(of):
+        pairs = [F.struct(F.lit(c), of(_null_pct(c))) for c in present]
+        return F.map_from_entries(F.array(*pairs)) if pairs else F.create_map().cast("map<string,double>")
+    change = F.col("row_count_change_pct")
     return quality_status(metrics, limits, rules).select(
-        by, "row_count", nulls.alias("null_percentages"), "status",
-        two_places(F.col("row_count_change_pct")).alias("row_count_change_pct"), "reasons")
+        by, "row_count", nulls(two_places).alias("null_percentages"), "status",
+        two_places(change).alias("row_count_change_pct"), "reasons",
+        nulls(lambda c: c.cast("double")).alias("exact_null_percentages"), change.cast("double").alias("exact_row_count_change_pct"))
 
 

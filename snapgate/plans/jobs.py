@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from snapgate.config import DatasetConfig
 from snapgate.functions.measures import two_places
 from snapgate.operators import (alerts as al, baseline as bl, cleaning, contracts, drift, gold,
-                                profile as pf, quality as dq, schema_gate as sg)
+                                mergeable as mg, profile as pf, rules as rl, quality as dq, schema_gate as sg)
 from snapgate.sinks import publish as pub
 from snapgate.sinks.layers import (append_metrics, read_registry, read_table, register_versions, write_empty,
                                    write_layer)
@@ -114,8 +114,7 @@ def _snapshots_of(df: DataFrame) -> set[str]:
 def _empty_others(rows: DataFrame, path: str, file_format: str, snapshots: Sequence[str], full: set[str]) -> list[str]:
     """Empty the partitions of the snapshots without rows, whatever an earlier run left there."""
     empty = [s for s in snapshots if s not in full]
-    for s in empty:
-        write_empty(rows, path, s, file_format)
+    write_empty(rows, path, empty, file_format)
     return empty
 
 
@@ -123,14 +122,14 @@ def validate_and_clean(spark: SparkSession, cfg: DatasetConfig, run: Run,
                        snapshots: Sequence[str], on_bad_cast: str = "fail") -> list[str]:
     """Bronze to Silver; with ``on_bad_cast='drop'`` refused rows go to ``rejects``.
 
-    Stores the row accounting of each snapshot under ``metrics/cleaning``. Returns the
+    Stores the row accounting and duplicate report of each snapshot under ``metrics/cleaning``. Returns the
     snapshots that lost all their rows; each becomes an empty partition.
     """
     rows = _layer(spark, run, "bronze", cfg, snapshots)
     silver = cleaning.clean(rows, cfg.contract, [SNAPSHOT, *cfg.dedup_keys], ORDER_COLUMNS, on_bad_cast)
     write_layer(silver, run.path("silver"), cfg.layer_format, rebalance=True)
     taken = cleaning.drop_rejects(rows, cfg.contract) if on_bad_cast == "drop" else rows
-    measured = cleaning.row_accounting(taken, cfg.contract.critical, [SNAPSHOT, *cfg.dedup_keys])
+    measured = cleaning.row_accounting(taken, cfg.contract.critical, [SNAPSHOT, *cfg.dedup_keys], duplicates=True)
     counted = cut_lineage(cover(_wanted(spark, snapshots), measured, [c for c in measured.columns if c != SNAPSHOT]))
     append_metrics(counted, run.path("metrics", "cleaning"), run.run_seq, run.run_ts)
     full = _snapshots_of(counted.where("rows_after_dedup > 0"))
@@ -204,9 +203,14 @@ def enforce_schema(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
 
 
 def check_quality(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequence[str],
-                  compare_with: str = "previous_snapshot", rules: dict | None = None) -> None:
+                  compare_with: str = "previous_snapshot", rules: dict | None = None,
+                  row_rules: Sequence[rl.Rule] = ()) -> None:
     """Quality metrics and gate.
 
+    ``rules`` are conditions over the metrics, ``row_rules`` over the rows themselves: their
+    counts are stored under ``metrics/rules``, the rows that break one under ``violations``, and
+    a rule beyond its limit fails the gate.
+
     ``compare_with`` is ``previous_snapshot`` (strictly earlier, from this call's snapshots
     or the newest record of the history) or ``latest_record`` (the last record written,
     whatever its snapshot).
@@ -228,12 +232,28 @@ def check_quality(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
     judged = cut_lineage(dq.quality_record(compared, cfg.quality, rules))
     append_metrics(judged.drop("reasons").withColumn("format", F.lit(cfg.layer_format)), path,
                    run.run_seq, run.run_ts)
-    alerts = al.quality_alerts(judged, run.run_ts)
-    _stop_on(judged.where("status = 'FAILED'"), "data quality checks failed", alerts, run)
+    alerts, failed = al.quality_alerts(judged, run.run_ts), judged.where("status = 'FAILED'").select(SNAPSHOT)
+    if row_rules:
+        found = _check_row_rules(silver, run, snapshots, row_rules)
+        alerts = al.union_alerts([alerts, al.rule_alerts(found, run.run_ts)])
+        failed = failed.unionByName(found.where("status = 'FAILED'").select(SNAPSHOT))
+    _stop_on(failed, "data quality checks failed", alerts, run)
     if not judged.where("status = 'WARN'").isEmpty():
         _emit(alerts, run)
 
 
+def _check_row_rules(silver: DataFrame, run: Run, snapshots: Sequence[str], rules: Sequence[rl.Rule]) -> DataFrame:
+    """Verdicts on the row rules, stored; the rows that break one are set aside."""
+    counts = cut_lineage(rl.key_counts(silver, rules))
+    broken = cut_lineage(rl.broken_keys(counts, rules))
+    found = cut_lineage(rl.judge(counts, broken, rules))
+    append_metrics(found, run.path("metrics", "rules"), run.run_seq, run.run_ts)
+    aside = cut_lineage(rl.violating_rows(silver, rules, broken))
+    write_layer(aside, run.path("violations"))
+    _empty_others(aside, run.path("violations"), "parquet", snapshots, _snapshots_of(aside))
+    return found
+
+
 def _recorded(spark: SparkSession, path: str) -> list[str]:
     """The snapshots that have records, from the folder listing."""
     return [r[0] for r in list_snapshots(spark, path).collect()]
@@ -246,6 +266,7 @@ def _members(recorded: Sequence[str], snapshots: Sequence[str], window: int) ->
 
 
 def run_profiling(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequence[str]) -> None:
+    """Profiles of the snapshots; with ``cfg.mergeable_profiles`` each record also holds its mergeable state."""
     rows = _layer(spark, run, "silver", cfg, snapshots)
     absent = [c for c in (*cfg.numeric_columns, *cfg.categorical_columns) if c not in rows.columns]
     if absent:
@@ -253,17 +274,28 @@ def run_profiling(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
     wanted = _wanted(spark, snapshots)
     shape = mt.field_type(mt.PROFILE_METRIC, "metrics")
     records = []
-    for kind, profile, columns in (("numeric", pf.profile_numeric, cfg.numeric_columns),
-                                   ("categorical", pf.profile_categorical, cfg.categorical_columns)):
+    for kind, profile, columns in (("numeric", _numeric_records, cfg.numeric_columns),
+                                   ("categorical", _categorical_records, cfg.categorical_columns)):
         columns = [c for c in columns if c in rows.columns]
         if columns:
-            full = pf.cover_profiles(wanted, profile(rows, columns), columns)
+            full = pf.cover_profiles(wanted, profile(rows, columns, cfg.mergeable_profiles), columns)
             records.append(full.select(SNAPSHOT, F.lit("silver").alias("layer"), "column", F.lit(kind).alias("type"),
                                        mt.shaped(full, shape, "metrics")))
     if records:
         append_metrics(reduce(DataFrame.unionByName, records), run.path("metrics", "profile"), run.run_seq, run.run_ts)
 
 
+def _numeric_records(rows: DataFrame, columns: Sequence[str], state: bool) -> DataFrame:
+    data, buckets = pf.numeric_buckets(rows, columns)
+    profile = pf.numeric_profile(data, buckets, columns)
+    return profile.join(mg.as_buckets(buckets), [SNAPSHOT, "column"], "left") if state else profile
+
+
+def _categorical_records(rows: DataFrame, columns: Sequence[str], state: bool) -> DataFrame:
+    profile = pf.profile_categorical(rows, columns)
+    return profile.join(mg.distinct_sketches(rows, columns), [SNAPSHOT, "column"], "left") if state else profile
+
+
 def _profiles(spark: SparkSession, run: Run, snapshots: Sequence[str], all_records: bool = False) -> DataFrame:
     records = mt.read_metrics(spark, run.path("metrics", "profile"), mt.PROFILE_METRIC, snapshots)
     if not all_records:
@@ -281,6 +313,8 @@ def build_baseline(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
     history = bl.history_of(profiles, _only(members, snapshots))
     numeric = bl.numeric_baseline(history.where("type = 'numeric'"))
     categorical = bl.categorical_baseline(history.where("type = 'categorical'"))
+    numeric, categorical = _with_windows(numeric, categorical, bl.history_of(_profiles(spark, run, read), _only(members, snapshots)),
+                                         cfg.mergeable_profiles)
     shape = mt.field_type(mt.BASELINE_METRIC, "baseline")
     records = [kept.select(SNAPSHOT, F.lit("silver").alias("layer"), "column", F.lit(kind).alias("type"),
                            mt.shaped(kept, shape, "baseline"), "history_snapshots")
@@ -288,9 +322,26 @@ def build_baseline(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots:
     append_metrics(records[0].unionByName(records[1]), run.path("metrics", "baseline"), run.run_seq, run.run_ts)
 
 
+def _with_windows(numeric: DataFrame, categorical: DataFrame, history: DataFrame, state: bool) -> tuple[DataFrame, DataFrame]:
+    """The baselines with the statistics of all rows of the window: moments always, the rest where profiles hold its state."""
+    keys = [SNAPSHOT, "column"]
+    numbers = history.where("type = 'numeric'")
+    numeric = numeric.join(mg.pooled_moments(numbers).drop("rows"), keys, "left")
+    if state:
+        found = mg.window_quantiles(numbers.where("buckets is not null"), list(pf.QUANTILES.values()))
+        numeric = numeric.join(found.groupBy(*keys).agg(*[
+            F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"window_{name}") for name, p in pf.QUANTILES.items()]), keys, "left")
+        sketches = history.where("type = 'categorical' and distinct_sketch is not null")
+        categorical = categorical.join(mg.window_distinct(sketches).withColumnRenamed("distinct_values", "window_distinct"), keys, "left")
+    return numeric, categorical
+
+
 def detect_drift(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Sequence[str],
                  all_records: bool = False, **drift_options) -> None:
-    """Drift records and gate; snapshots without a baseline pass."""
+    """Drift records and gate; snapshots without a baseline pass.
+
+    How far the top values' shares lie from the baseline's is recorded beside it and gates nothing.
+    """
     profiles = _profiles(spark, run, snapshots, all_records)
     if profiles.isEmpty():
         raise FileNotFoundError("profiling metrics missing")
@@ -305,8 +356,12 @@ def detect_drift(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: S
                                 **drift_options)))
     append_metrics(records.select(SNAPSHOT, F.lit("silver").alias("layer"), "column", "metric",
                                   "baseline", "current", two_places(F.col("drift_pct")).alias("drift_pct"),
-                                  "severity"),
+                                  "severity", F.col("drift_pct").alias("exact_drift_pct")),
                    run.path("metrics", "drift"), run.run_seq, run.run_ts)
+    apart = drift.distribution_drift(drift.counted_values(profiles.where("type = 'categorical'")),
+                                     drift.counted_values(baselines.where("type = 'categorical'"), "top_values"))
+    append_metrics(apart.select(SNAPSHOT, F.lit("silver").alias("layer"), *[c for c in apart.columns if c != SNAPSHOT]),
+                   run.path("metrics", "distribution"), run.run_seq, run.run_ts)
     alerts = al.drift_alerts(records, run.run_ts)
     _stop_on(records.where("severity = 'CRITICAL'"), "CRITICAL drift detected", alerts, run)
     if not records.where("severity = 'WARN'").isEmpty():

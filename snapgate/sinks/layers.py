@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from urllib.parse import quote
 
@@ -36,11 +37,27 @@ def write_layer(df: DataFrame, path: str, file_format: str = "parquet", by: str
         writer.option("compression", "snappy").parquet(path)
 
 
-def write_empty(df: DataFrame, path: str, snapshot: str, file_format: str = "parquet",
+def write_empty(df: DataFrame, path: str, snapshots: Sequence[str], file_format: str = "parquet",
                 by: str = SNAPSHOT) -> None:
-    """Make a snapshot's partition an empty file, so that it exists but has no rows."""
+    """Make the snapshots' partitions empty files, so that they exist but have no rows.
+
+    One job writes one empty file, which is copied to each partition in place of what lies there.
+    """
+    if not snapshots:
+        return
+    spark, staged = df.sparkSession, f"{path}/_empty-{uuid.uuid4().hex}"
     none = df.drop(by).limit(0).coalesce(1)
-    none.write.mode("overwrite").format(file_format).option("header", True).save(f"{path}/{by}={snapshot}")
+    none.write.mode("overwrite").format(file_format).option("header", True).save(staged)
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    fs = hadoop.Path(staged).getFileSystem(conf)
+    names = [n for n in listed(spark, staged) if not n.startswith(("_", "."))]
+    for s in snapshots:
+        to = hadoop.Path(f"{path}/{by}={s}")
+        fs.delete(to, True)
+        fs.mkdirs(to)
+        for name in names:
+            hadoop.FileUtil.copy(fs, hadoop.Path(f"{staged}/{name}"), fs, hadoop.Path(to, name), False, conf)
+    fs.delete(hadoop.Path(staged), True)
 
 
 def append_metrics(df: DataFrame, path: str, run_seq: int, run_ts: str, by: str = SNAPSHOT) -> None:

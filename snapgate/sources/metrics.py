@@ -15,18 +15,27 @@ _TAIL = ", timestamp string, run_seq bigint"
 SCHEMA_METRIC = (_HEAD + "schema_version string, checks_passed int, checks_failed int, "
                          "status string" + _TAIL)
 QUALITY_METRIC = (_HEAD + "format string, row_count bigint, null_percentages map<string,double>, "
-                          "status string, row_count_change_pct double" + _TAIL)
+                          "status string, row_count_change_pct double, "
+                          "exact_null_percentages map<string,double>, exact_row_count_change_pct double" + _TAIL)
 PROFILE_METRIC = (_HEAD + "layer string, column string, type string, metrics struct<count: bigint, "
                           "mean: double, median: double, std: double, min: double, max: double, "
                           "p25: double, p50: double, p75: double, cardinality: bigint, "
-                          "top_5_values: map<string,bigint>>" + _TAIL)
+                          "top_5_values: map<string,bigint>, distinct_sketch: string, "
+                          "buckets: array<struct<b: int, n: bigint, lo: double, hi: double>>>" + _TAIL)
 BASELINE_METRIC = (_HEAD + "layer string, column string, type string, baseline struct<mean: double, "
                            "median: double, std: double, min: double, max: double, p25: double, "
                            "p50: double, p75: double, avg_cardinality: double, "
-                           "top_values: map<string,double>, seen_values: array<string>>, "
-                           "history_snapshots bigint" + _TAIL)
+                           "top_values: map<string,double>, seen_values: array<string>, "
+                           "pooled_mean: double, pooled_std: double, window_p25: double, window_p50: double, "
+                           "window_p75: double, window_distinct: bigint>, history_snapshots bigint" + _TAIL)
 DRIFT_METRIC = (_HEAD + "layer string, column string, metric string, baseline double, "
-                        "current double, drift_pct double, severity string" + _TAIL)
+                        "current double, drift_pct double, severity string, exact_drift_pct double" + _TAIL)
+DISTRIBUTION_METRIC = (_HEAD + "layer string, column string, js_distance double, psi double, new_values bigint, "
+                               "vanished_values bigint, new_named array<string>, vanished_named array<string>, "
+                               "severity string" + _TAIL)
+RULE_METRIC = (_HEAD + "rule string, row_count bigint, violations bigint, violated_pct double, status string" + _TAIL)
+CLEANING_METRIC = (_HEAD + "rows_in bigint, rows_after_nulls bigint, rows_after_dedup bigint, dropped_nulls bigint, "
+                           "dropped_duplicates bigint, duplicated_keys bigint" + _TAIL)
 ALERT = ("severity string, source string, snapshot_date string, message string, "
          "details string, timestamp string")
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from snapgate.operators import alerts as al, gold, quality as dq, schema_gate as sg
+from snapgate.operators import alerts as al, gold, quality as dq, rules as rl, schema_gate as sg
 from snapgate.sinks import publish
 from snapgate.sinks.layers import read_gold, write_gold
-from snapgate.sinks.scratch import scratch_dir
+from snapgate.sinks.scratch import cut_lineage, scratch_dir
 from snapgate.suite import drift_queries as dr
-from snapgate.suite.inputs import CONTRACT, LIMITS, SNAP, TEXT_CONTRACT, out, snap, yearly_orders
+from snapgate.suite.inputs import CONTRACT, LIMITS, SNAP, TEXT_CONTRACT, out, snap, table, yearly_orders
 from snapgate.functions.text import na_to_null
 
 RUN_TS = "2024-02-01T00:00:00"
@@ -55,6 +55,30 @@ def dq_record(spark, sf):
                .where("row_count_change_pct is not null"))
 
 
+def _order_rules():
+    return [rl.Holds("price above 1000", "o_totalprice > 1000"), rl.Holds("no urgent pending order", F.expr("not (o_orderstatus = 'P' and o_orderpriority = '1-URGENT')")),
+            rl.Holds("half of the customers", "if(o_custkey % 3 = 0, null, o_custkey % 2 = 0)", strict=True, limit_pct=70.0),
+            rl.Unique("one order a customer and priority", ("o_custkey", "o_orderpriority"), limit_pct=50.0)]
+
+
+def rules_rows(spark, sf):
+    """Conditions and a unique key over every order, by year."""
+    found = rl.check_rows(yearly_orders(spark, sf), _order_rules(), "snapshot_year")
+    return found.withColumn("violated_pct", F.round("violated_pct", 4))
+
+
+def rules_reference(spark, sf):
+    """The line items whose part or order the other tables, cut by a rule, do not have, and the rules they break."""
+    lines = table(spark, sf, "lineitem").withColumn("snapshot_year", F.year("l_shipdate"))
+    parts = table(spark, sf, "part").where("p_size <= 45")
+    orders = table(spark, sf, "orders").where("o_orderkey % 50 <> 0").select("o_orderkey")
+    rules = [rl.References("part", ("l_partkey",), parts, ("p_partkey",)), rl.Holds("tax", "l_tax < 0.08"),
+             rl.References("order", ("l_orderkey",), orders, ("o_orderkey",))]
+    broken = cut_lineage(rl.broken_keys(cut_lineage(rl.key_counts(lines, rules, "snapshot_year")), rules, "snapshot_year"))
+    rows = rl.violating_rows(lines, rules, broken, "snapshot_year")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_tax", F.array_join("_violations", ",").alias("violations"))
+
+
 GOLD_KEYS = ["o_custkey", "snapshot_year"]
 GOLD_COLUMNS = ["o_custkey", "snapshot_year", "o_orderkey", "o_orderstatus", "o_totalprice"]
 
@@ -247,6 +271,23 @@ select {_DAY}, row_count, status, round_even(chg, 2) as row_count_change_pct, 'e
 union all
 select {_DAY}, row_count, status, round_even(chg, 2), 'category',
        round_even(c * 100.0::double / row_count, 2) from st where chg is not null"""),
+    "rules_rows": (rules_rows, f"""with {_ORD},
+u as (select *, count(*) over (partition by snapshot_year, o_custkey, o_orderpriority) as same from o),
+b as (select snapshot_year, unnest(['price above 1000', 'no urgent pending order', 'half of the customers',
+                                    'one order a customer and priority']) as rule,
+             unnest([o_totalprice <= 1000, o_orderstatus = 'P' and o_orderpriority = '1-URGENT',
+                     o_custkey % 3 = 0 or o_custkey % 2 <> 0, same > 1]) as bad from u),
+c as (select snapshot_year, rule, count(*) as row_count, count(*) filter (bad) as violations from b group by 1, 2)
+select *, round(violations / row_count * 100, 4) as violated_pct,
+       case when violations / row_count * 100 > case rule when 'half of the customers' then 70
+                 when 'one order a customer and priority' then 50 else 0 end then 'FAILED' else 'PASSED' end as status from c"""),
+    "rules_reference": (rules_reference, """
+with l as (select l_orderkey, l_linenumber, l_partkey, l_tax,
+                  l_partkey not in (select p_partkey from part where p_size <= 45) as no_part, l_tax >= 0.08 as high,
+                  l_orderkey not in (select o_orderkey from orders where o_orderkey % 50 <> 0) as no_order from lineitem)
+select l_orderkey, l_linenumber, l_partkey, l_tax,
+       concat_ws(',', case when no_part then 'part' end, case when high then 'tax' end, case when no_order then 'order' end) as violations
+from l where no_part or high or no_order"""),
     "gold_last_wins": (gold_last_wins, f"""with {_ORD}
 {_GOLD} from (select *, row_number() over (
   partition by o_custkey, snapshot_year order by o_orderkey desc) as rn from o) where rn = 1"""),

@@ -91,3 +91,43 @@ def test_distribution_drift(spark):
     assert (r["new_values"], r["new_named"], r["vanished_named"]) == (9, [f"n{i}" for i in range(5)], ["gone"])
     assert one(spark, [], [("a", 1)]) == [] == one(spark, [("a", 1)], [])
     assert one(spark, [("a", 0)], [("a", 1)]) == []
+
+
+def test_a_profile_reads_its_rows_once(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0)], "snapshot_date string, x double")
+    plan = pf.profile_numeric(df, ["x"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" not in plan and "LogicalRDD" not in plan   # only the stored columns are read
+
+
+def test_jobs_store_window_statistics_exact_figures_and_distributions(spark, tmp_path):
+    from test_jobs import D, LOOSE, player, run, write_raw
+    from dataclasses import replace
+    from snapgate.plans import jobs
+    from snapgate.sources import metrics as mt
+    root, cfg = str(tmp_path), replace(LOOSE, mergeable_profiles=True)
+    values = {}
+    for k, day in enumerate(D):
+        values[day] = [(i * 7 + k) % 50 for i in range(30 + 10 * k)]
+        write_raw(root, day, [player(i, day, team=f"T{(i + k) % 3 + k}", points=v) for i, v in enumerate(values[day])] + ([player(0, day, "T0" if not k else f"T{k % 3 + k}")] * 2))
+    jobs.ingest(spark, cfg, run(root), D)
+    jobs.validate_and_clean(spark, cfg, run(root), D)
+    cleaned = {r["snapshot_date"]: (r["dropped_duplicates"], r["duplicated_keys"]) for r in mt.read_metrics(spark, f"{root}/metrics/cleaning", mt.CLEANING_METRIC).collect()}
+    assert cleaned == {d: (2, 1) for d in D}
+    jobs.check_quality(spark, replace(cfg, quality=replace(cfg.quality, row_count_change_pct=1e6)), run(root), D)
+    changes = {r["snapshot_date"]: r["exact_row_count_change_pct"] for r in mt.read_metrics(spark, f"{root}/metrics/quality", mt.QUALITY_METRIC).collect()}
+    assert changes[D[2]] == 25.0 and changes[D[1]] == pytest.approx(100 / 3, abs=1e-12)
+    jobs.run_profiling(spark, cfg, run(root), D)
+    jobs.build_baseline(spark, cfg, run(root), D)
+    base = {(r["snapshot_date"], r["column"]): r["baseline"] for r in mt.read_metrics(spark, f"{root}/metrics/baseline", mt.BASELINE_METRIC).collect()}
+    rows = values[D[0]] + values[D[1]]
+    b = base[D[2], "points"]
+    assert b["pooled_mean"] == pytest.approx(statistics.fmean(rows)) and b["pooled_std"] == pytest.approx(statistics.pstdev(rows))
+    assert [b[f"window_p{p}"] for p in (25, 50, 75)] == pytest.approx([float(np.quantile(rows, p / 100)) for p in (25, 50, 75)], rel=0.02)
+    assert base[D[2], "team"]["window_distinct"] == 4 and base[D[2], "season"]["window_distinct"] == 1
+    jobs.detect_drift(spark, cfg, run(root), D)
+    apart = {(r["snapshot_date"], r["column"]): r for r in mt.read_metrics(spark, f"{root}/metrics/distribution", mt.DISTRIBUTION_METRIC).collect()}
+    team = apart[D[2], "team"]
+    assert (team["new_named"], team["vanished_named"]) == (["T4"], ["T1", "T0"]) and team["severity"] == "CRITICAL"
+    assert apart[D[2], "season"]["js_distance"] == 0.0
+    exact = [r for r in mt.read_metrics(spark, f"{root}/metrics/drift", mt.DRIFT_METRIC).collect() if r["exact_drift_pct"]]
+    assert exact and all(r["drift_pct"] == pytest.approx(r["exact_drift_pct"], abs=0.0051) for r in exact)
