@@ -3,8 +3,10 @@
 Each rule's regular expression gives a Boolean query of trigrams that any match must hold. An
 index of postings (trigram, text hash) is made of those trigrams alone; intersecting postings
 gives the texts that may match a rule, and only there the expression runs. Rules without
-mandatory trigrams scan every text. Postings are joined by the hash of the text, so equal texts
-share them and a colliding hash can add a candidate but lose none.
+mandatory trigrams scan every text. Postings are joined by the hash of the text and a part of 64
+that hangs on the row's other columns, so copies of one text are dealt over many tasks and a
+colliding hash can add a candidate but lose none. Every expression takes time in proportion to
+the text, whatever it holds.
 """
 
 from __future__ import annotations
@@ -30,13 +32,20 @@ class Rule:
     pattern: str
     least: int = 0
     group: int = 0
+    #: The same matches but for those ``least`` drops, where an expression can say so.
+    find: str | None = None
+
+    @property
+    def finds(self) -> str:
+        return self.find or self.pattern
 
 
 # The base kinds, in the order in which ties of spans are listed.
 BASE = (
     Rule("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, 2),
-    Rule("access", r"AKIA[A-Z0-9]+", 16),
-    Rule("hex", r"[0-9a-f]+", 32),
+    # a match runs to the end of its characters, so none within a dropped one is longer
+    Rule("access", r"AKIA[A-Z0-9]+", 16, find=r"AKIA[A-Z0-9]{12,}"),
+    Rule("hex", r"[0-9a-f]+", 32, find=r"[0-9a-f]{32,}"),
 )
 # Public formats of further credentials.
 MORE = (
@@ -45,8 +54,9 @@ MORE = (
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("map_key", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("pay_key", r"[sr]k_live_[0-9A-Za-z]{16,}"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("url_login", r"[a-z][a-z0-9+.-]*://[^/\s:@]+:[^/\s:@]+@"),
+    # begins where its run of characters does, and a scheme has 31 at most: else long runs take quadratic time
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+"),
+    Rule("url_login", r"[a-z][a-z0-9+.-]{0,30}://[^/\s:@]++:[^/\s:@]++@"),
 )
 RULES = BASE + MORE
 
@@ -101,22 +111,34 @@ def trigram_query(pattern: str) -> list[list[frozenset[str]]]:
     return query
 
 
+#: Parts among which the copies of one text are dealt.
+PARTS = 64
+
+
+def _place(docs: DataFrame, text_col: str) -> list[Column]:
+    """The hash of a row's text and its part, by the row's other columns."""
+    others = [F.col(f"`{f.name}`") for f in docs.schema.fields if f.name != text_col and "map<" not in f.dataType.simpleString()
+              and f.dataType.simpleString() != "variant"]
+    part = F.pmod(F.xxhash64(*others), F.lit(PARTS)) if others else F.lit(0).cast("long")
+    return [F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), part]
+
+
 def postings(docs: DataFrame, text_col: str, trigrams: list[str]) -> DataFrame:
-    """(hash, trigram): the number of each listed trigram that a text holds, with the text's hash."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    low = F.lower(text)
+    """(hash, part, trigram): the number of each listed trigram that a text holds, with the text's place."""
+    low = F.lower(F.coalesce(F.col(text_col), F.lit("")))
     held = F.array_compact(F.array(*(F.when(F.contains(low, F.lit(t)), F.lit(i)) for i, t in enumerate(trigrams))))
-    return docs.select(F.xxhash64(text).alias("hash"), F.explode(held).alias("trigram"))
+    hash_, part = _place(docs, text_col)
+    return docs.select(hash_.alias("hash"), part.alias("part"), F.explode(held).alias("trigram"))
 
 
 def candidates(docs: DataFrame, text_col: str, rules) -> DataFrame:
-    """(hash, rules): for each text that may match a rule, the rules as a bit set."""
+    """(hash, part, rules): for each text that may match a rule, the rules as a bit set."""
     queries = {i: trigram_query(r.pattern) for i, r in enumerate(rules)}
     trigrams = sorted({t for q in queries.values() for any_ in q for s in any_ for t in s})
     number = {t: i for i, t in enumerate(trigrams)}
     words = [f"w{k}" for k in range((len(trigrams) + 62) // 63)]
     # postings of a text meet in its task before the shuffle, as bits
-    sets = postings(docs, text_col, trigrams).groupBy("hash").agg(
+    sets = postings(docs, text_col, trigrams).groupBy("hash", "part").agg(
         *(F.bit_or(F.expr(f"if(trigram div 63 = {k}, shiftleft(1L, cast(trigram % 63 as int)), 0L)")).alias(w) for k, w in enumerate(words)))
 
     def holds(trigram_set) -> Column:
@@ -137,50 +159,50 @@ def candidates(docs: DataFrame, text_col: str, rules) -> DataFrame:
                     some = some | holds(s)
                 every = every & some
             bits = bits.bitwiseOR(F.when(every, F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")))
-    return sets.select("hash", bits.alias("rules")).where("rules <> 0")
+    return sets.select("hash", "part", bits.alias("rules")).where("rules <> 0")
 
 
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
-def _java(pattern: str) -> Column:
-    return F.lit(pattern)
-
-
 def _matches(text: Column, number: int, rule: Rule) -> Column:
     """Spans of a rule: the text between matches and the matches give the places, in code points."""
-    whole = F.regexp_extract_all(text, _java(rule.pattern), F.lit(0))
-    part = F.regexp_extract_all(text, _java(rule.pattern), F.lit(rule.group)) if rule.group else whole
-    between = F.split(text, rule.pattern, -1)
-    zipped = F.arrays_zip(between.alias("gap"), whole.alias("whole"), part.alias("part"))
+    whole = F.regexp_extract_all(text, F.lit(rule.finds), F.lit(0))
+    zipped = F.arrays_zip(F.split(text, rule.finds, -1).alias("gap"), whole.alias("whole"))
 
     def step(acc, x):
         start = acc["at"] + F.length(x["gap"])
         end = start + F.length(x["whole"])
         span = F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"))
-        good = F.when(F.length(x["part"]) >= rule.least, F.array(span)).otherwise(F.array().cast(_SPANS))
-        return F.when(x["whole"].isNull(), acc).otherwise(F.struct(end.alias("at"), F.concat(acc["out"], good).alias("out")))
+        # a match alone matches as it does in its text, so its group is taken from it
+        part = F.regexp_extract(x["whole"], rule.finds, rule.group) if rule.group else x["whole"]
+        out = F.when(F.length(part) >= rule.least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
+        return F.when(x["whole"].isNull(), acc).otherwise(F.struct(end.alias("at"), out.alias("out")))
 
     return F.aggregate(zipped, F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out")), step, lambda acc: acc["out"])
 
 
 def _needs(rule: Rule) -> str:
     """A cheaper test of rules that scan fully: a class repeated ``least`` times."""
-    return rule.pattern[:-1] + "{%d}" % rule.least if rule.pattern.endswith("]+") and rule.least else rule.pattern
+    return rule.finds.replace(",}", "}")
 
 
 def with_spans(docs: DataFrame, text_col="text", out="spans", rules=RULES) -> DataFrame:
-    """All columns and the spans (start, kind number, end) by start, then kind; a null text is empty."""
-    h, bits, rows = *fresh(docs, "text_hash", "rule_bits"), docs
-    found = candidates(docs, text_col, rules).select(F.col("hash").alias(h), F.col("rules").alias(bits))
+    """All columns and the spans (start, kind number, end) by start, then kind; a null text is empty.
+
+    Repeated rows come out repeated, an empty table gives an empty result.
+    """
+    h, part, bits = fresh(docs, "text_hash", "text_part", "rule_bits")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = rows.withColumn(h, F.xxhash64(text)).join(found, h, "left")
+    found = candidates(docs, text_col, rules).toDF(h, part, bits)
+    hash_, place = _place(docs, text_col)
+    rows = docs.withColumns({h: hash_, part: place}).join(found, [h, part], "left")
     none = F.array().cast(_SPANS)
     parts = []
     for i, rule in enumerate(rules):
         may = F.col(bits).bitwiseAND(F.lit(1 << i)) != 0 if trigram_query(rule.pattern) else text.rlike(_needs(rule))
         parts.append(F.when(may, _matches(text, i, rule)).otherwise(none))
-    return rows.withColumn(out, F.array_sort(F.concat(*parts))).drop(h, bits)
+    return rows.withColumn(out, F.array_sort(F.concat(*parts))).drop(h, part, bits)
 
 
 def listed(spans: Column, rules=RULES) -> Column:
