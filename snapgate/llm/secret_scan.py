@@ -125,10 +125,12 @@ def _place(docs: DataFrame, text_col: str) -> list[Column]:
 
 def postings(docs: DataFrame, text_col: str, trigrams: list[str]) -> DataFrame:
     """(hash, part, trigram): the number of each listed trigram that a text holds, with the text's place."""
-    low = F.lower(F.coalesce(F.col(text_col), F.lit("")))
-    held = F.array_compact(F.array(*(F.when(F.contains(low, F.lit(t)), F.lit(i)) for i, t in enumerate(trigrams))))
     hash_, part = _place(docs, text_col)
-    return docs.select(hash_.alias("hash"), part.alias("part"), F.explode(held).alias("trigram"))
+    low = F.lower(F.coalesce(F.col(text_col), F.lit("")))
+    # a column of its own, or the text would be lowered once for each trigram
+    rows = docs.select(hash_.alias("hash"), part.alias("part"), low.alias("low"))
+    held = F.array_compact(F.array(*(F.when(F.contains("low", F.lit(t)), F.lit(i)) for i, t in enumerate(trigrams))))
+    return rows.select("hash", "part", F.explode(held).alias("trigram"))
 
 
 def candidates(docs: DataFrame, text_col: str, rules) -> DataFrame:
