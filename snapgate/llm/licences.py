@@ -44,7 +44,7 @@ SENTENCES = {
     "bsd.source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
     "bsd.binary": ("Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
                    "disclaimer in the documentation and/or other materials provided with the distribution"),
-    "bsd.names": ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "bsd.names": ("Neither the name of {name} nor the names of its contributors may be used to endorse or promote products "
                   "derived from this software without specific prior written permission"),
     "gpl3.notice": "This work is licensed under the GNU General Public License, version 3",
     "gpl.free.1": "This program is free software",
@@ -77,6 +77,7 @@ SENTENCES = {
     "unlicense.free": "This is free and unencumbered software released into the public domain",
     "cc0.notice": "Licensed under CC0 1.0",
     "reserved": "All rights reserved",
+    "spdx.tag": "SPDX-License-Identifier",
 }
 # Licences as ordered sentence identifiers.
 LICENCES = (
@@ -119,11 +120,40 @@ def normal(sentence: str) -> str:
 
 
 assert not any(_END.search(text) for text in SENTENCES.values())
-KNOWN = {normal(text): name for name, text in SENTENCES.items()}
+KNOWN = {normal(text): name for name, text in SENTENCES.items() if "{name}" not in text}
+#: Sentences with a slot: the normal text before and behind it, and the words it may have.
+SLOTS = [(*(normal(part) for part in text.split("{name}")), name) for name, text in SENTENCES.items() if "{name}" in text]
+SLOT_WORDS = 12
 #: Words of which every known sentence holds one, so that most texts are passed over at once.
 HINTS = re.compile("licen|permission|redistribut|warrant|copyright|software|all rights", re.IGNORECASE)
 assert all(HINTS.search(text) for text in SENTENCES.values())
-LONGEST = max(map(len, SENTENCES.values())) * 2
+#: Characters of the longest known normal sentence.
+LONGEST = max(max(map(len, KNOWN)), max(len(a) + len(b) for a, b, _ in SLOTS) + 20 * SLOT_WORDS)
+
+
+def known_sentence(words: str) -> str | None:
+    """The identifier of a normal sentence."""
+    if words in KNOWN:
+        return KNOWN[words]
+    for before, behind, name in SLOTS:
+        if words.startswith(before + " ") and words.endswith(" " + behind) and (
+                0 < len(words[len(before):len(words) - len(behind)].split()) <= SLOT_WORDS):
+            return name
+    return None
+
+
+def _known_tail(piece: str) -> tuple[str | None, int]:
+    """The longest known sentence that begins at a line of the piece but the first and ends with it, and its place."""
+    found, words, end = (None, 0), "", len(piece)
+    while len(words) <= LONGEST and (at := piece.rfind("\n", 0, end)) >= 0:
+        line = normal(piece[at + 1:end])
+        if line:
+            words = f"{line} {words}" if words else line
+            name = known_sentence(words)
+            if name:
+                found = name, at + 1 + len(piece[at + 1:end]) - len(piece[at + 1:end].lstrip())
+        end = at
+    return found
 
 
 def sentences(text: str) -> list[tuple[int, int, str | None]]:
@@ -139,14 +169,11 @@ def sentences(text: str) -> list[tuple[int, int, str | None]]:
             piece = text[at:end]
             if piece.strip():
                 start = at + len(piece) - len(piece.lstrip())
-                name = KNOWN.get(normal(piece)) if len(piece) <= LONGEST else None
+                name = known_sentence(normal(piece)) if HINTS.search(piece) else None
                 if name is None and out is wrapped:
                     # a heading without a stop may stand on the lines before
-                    for line in re.finditer("\n", piece[-LONGEST:]):
-                        tail = piece[max(0, len(piece) - LONGEST) + line.end():]
-                        if normal(tail) in KNOWN:
-                            name, start = KNOWN[normal(tail)], at + len(piece) - len(tail.lstrip())
-                            break
+                    name, place = _known_tail(piece)
+                    start = at + place if name else start
                 out.append((start, at + len(piece.rstrip()), name))
             at = m.end() if m else end
     known = [s for s in wrapped if s[2]]
@@ -159,8 +186,31 @@ def sentences(text: str) -> list[tuple[int, int, str | None]]:
     return sorted([s for s in lines if not covered(s[0])] + known)
 
 
+# Public names of licences beside those the rules give.
+SPDX = {normal(name): name for name in (*(licence for licence, _ in LICENCES if licence != "Proprietary"), "GPL-2.0-only", "GPL-3.0-only",
+                                        "LGPL-2.1-only", "LGPL-3.0-only", "AGPL-3.0-only", "0BSD", "Zlib", "BSL-1.0", "EPL-2.0")}
+_NOTICE = re.compile(r"copyright|©|\(c\)", re.IGNORECASE)
+_OPERATOR = re.compile(r" (?:or|and) ")
+
+
+def _tagged(text: str, found, i: int) -> list[str]:
+    """The licences named in the sentence behind an SPDX tag."""
+    if i + 1 >= len(found) or text[found[i][1]:found[i + 1][0]].strip(" \t:"):
+        return []
+    names = normal(text[found[i + 1][0]:found[i + 1][1]])
+    parts = [SPDX.get(p) for p in _OPERATOR.split(names)]
+    if None in parts:      # what follows the name on its line, such as the end of a comment, is no part of it
+        parts = [SPDX.get(" ".join(names.split()[:k])) for k in range(len(names.split()), 0, -1)]
+        parts = [p for p in parts if p][:1]
+    return parts
+
+
 def scan(text: str):
-    """(identifiers, licences, spans): known sentences, and matched rules with the text they cover."""
+    """(identifiers, licences, spans): known sentences, and matched rules with the text they cover.
+
+    Reserved rights of a copyright notice give way to a licence that begins within ``MAX_GAP``
+    sentences behind them.
+    """
     if not HINTS.search(text):
         return [], [], []
     found = sentences(text)
@@ -168,7 +218,7 @@ def scan(text: str):
     at = {}
     for i, n in enumerate(names):
         at.setdefault(n, []).append(i)
-    matched = []
+    matched, placed = [], []
     for licence, rule in LICENCES:
         for first in at.get(rule[0], ()):
             last = first
@@ -180,6 +230,20 @@ def scan(text: str):
                     break
             if last is not None:
                 matched.append((found[first][0], found[last][1], licence, len(rule)))
+                placed.append((first, licence))
+    for i in at.get("spdx.tag", ()):
+        for licence in _tagged(text, found, i):
+            matched.append((found[i][0], found[i + 1][1], licence, 2))
+            placed.append((i, licence))
+    granted = sorted(first for first, licence in placed if licence != "Proprietary")
+
+    def granted_behind(first: int) -> bool:
+        k = bisect_right(granted, first)
+        notice = text[found[max(0, first - MAX_GAP)][0]:found[first][0]]
+        return k < len(granted) and granted[k] <= first + 1 + MAX_GAP and _NOTICE.search(notice) is not None
+
+    yields = {found[first][0] for first, licence in placed if licence == "Proprietary" and granted_behind(first)}
+    matched = [m for m in matched if m[2] != "Proprietary" or m[0] not in yields]
     # a rule inside a longer match of another gives way to it
     reach: dict[int, tuple[list[int], list[int]]] = {}
     for start, end, _, size in sorted(matched):

@@ -94,9 +94,10 @@ def rake_down(mass: np.ndarray, shares: list[np.ndarray], total: float):
     return best[1], best[0], best[2]
 
 
-def _axis(name: str, targets: dict[str, float]) -> Column:
-    """The category, or OTHER for a null or a value that has no target."""
-    return F.when(F.col(name).isin(*targets), F.col(name)).otherwise(F.lit(OTHER)).alias(name)
+def _axis(name: str, targets: dict[str, float], text_col: str) -> Column:
+    """The category, or OTHER for a null or a value that has no target; the topic is that of the text."""
+    value = topic_of(F.col(text_col)) if name == "topic" else F.col(name)
+    return F.when(value.isin(*targets), value).otherwise(F.lit(OTHER))
 
 
 def probabilities(cells: DataFrame, targets: dict[str, dict[str, float]], fraction=FRACTION) -> tuple[list[tuple], float, float]:
@@ -128,15 +129,15 @@ def mix_sources(docs: DataFrame, targets=None, id_col="doc_id", text_col="text",
 
     fraction: the share of all tokens that the sample is to hold, below the wanted one where the
     targets do not fit it; share_error: the largest error of a target share, the same on all rows.
+    The topic is made of the text, whatever columns ``docs`` has; the other axes are columns.
     A null category or one without a target counts as ``(other)``. A document without tokens
     takes its cell's probability, or that fraction in a cell without tokens. Rows with the same id
     and text are sampled alike.
     """
     targets = targets or TARGETS
     names = list(targets)
-    rows = docs.withColumns({"topic": topic_of(F.col(text_col))}) if "topic" in names and "topic" not in docs.columns else docs
-    rows = rows.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                       *(_axis(n, targets[n]) for n in names))
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                       *(_axis(n, targets[n], text_col).alias(n) for n in names))
     rows = rows.withColumn("n_tokens", tokens_of(F.col("text")))
     found, fraction, error = probabilities(rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens")), targets, fraction)
     schema = ", ".join(f"{n} string" for n in names) + ", probability double"
@@ -148,12 +149,14 @@ def mix_sources(docs: DataFrame, targets=None, id_col="doc_id", text_col="text",
 
 
 def sample(docs: DataFrame, targets=None, id_col="doc_id", text_col="text", fraction=FRACTION, seed=17) -> DataFrame:
-    """The sampled rows with the columns of ``docs``; a warning tells a lowered total or shares that are missed."""
+    """The sampled rows with the columns of ``docs``; a warning tells a lowered total or shares that are missed.
+
+    Categories are those of :func:`mix_sources`.
+    """
     names = list(targets or TARGETS)
     inner = fresh(docs, *(f"mix_{n}" for n in names), "mix_probability")
     targets = targets or TARGETS
-    marked = docs.withColumns({c: _axis(n, targets[n]) if n in docs.columns else F.when(
-        topic_of(F.col(text_col)).isin(*targets[n]), topic_of(F.col(text_col))).otherwise(F.lit(OTHER)) for n, c in zip(names, inner, strict=False)})
+    marked = docs.withColumns({c: _axis(n, targets[n], text_col) for n, c in zip(names, inner, strict=False)})
     cells = marked.groupBy(*inner[:-1]).agg(F.sum(tokens_of(F.col(text_col))).alias("tokens"))
     found, reached, error = probabilities(cells.select(*(F.col(c).alias(n) for n, c in zip(names, inner, strict=False)), "tokens"), targets, fraction)
     if error > FITS or reached < fraction:

@@ -444,6 +444,51 @@ def test_licence_sequences():
     assert licences.scan("") == ([], [], []) and licences.scan("licence") == ([], [], [])
 
 
+BSD = """Copyright (c) 2020, {owner}. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+NAMES = """3. Neither the name of {owner} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+@pytest.mark.parametrize("owner", ["Acme", "the copyright holder", "Ä. Smith & Sons, Ltd", "The Regents of the University of Somewhere"])
+def test_bsd_with_any_name_is_one_licence(owner):
+    two, three = BSD.format(owner=owner), (BSD + NAMES).format(owner=owner)
+    assert licences.scan(two)[1] == ["BSD-2-Clause"]
+    if "." not in owner:
+        assert licences.scan(three)[1] == ["BSD-3-Clause"]
+        assert licences.scan(" * ".join(three.splitlines(True)))[1] == ["BSD-3-Clause"]
+    assert licences.scan("All rights reserved.\n")[1] == ["Proprietary"]
+    assert licences.scan("All rights reserved. " + "Another one. " * 9 + "\n\n" + two)[1] == ["BSD-2-Clause", "Proprietary"][:2]
+    assert licences.known_sentence(licences.normal(NAMES.format(owner="x " * 40)).removeprefix("3 ")) is None
+
+
+def test_spdx_tags():
+    for text, found in (("// SPDX-License-Identifier: MIT\nint x;", ["MIT"]), ("# SPDX-License-Identifier: Apache-2.0", ["Apache-2.0"]),
+                        ("/* SPDX-License-Identifier: GPL-2.0-only */", ["GPL-2.0-only"]),
+                        ("SPDX-License-Identifier:  (MIT OR Apache-2.0)", ["Apache-2.0", "MIT"]),
+                        ("SPDX-License-Identifier: Nobody-Knows-1.0", []), ("SPDX-License-Identifier", []), ("MIT", []),
+                        ("SPDX-License-Identifier: BSD-3-Clause\n" + MIT, ["BSD-3-Clause", "MIT"])):
+        assert licences.scan(text)[1] == found, text
+
+
+def test_licences_with_long_padding():
+    pad = " " + "-" * 10_000 + " "
+    assert licences.scan("Released" + pad + "under the" + pad + "MIT License.")[1] == ["MIT"]
+    long = "A line of words\n" * 30_000
+    assert licences.scan(long + "Released under the MIT\n" + pad + "\nLicense\n")[1] == ["MIT"]
+
+
 def test_licences_of_a_text_of_many():
     names, found, spans = licences.scan("All rights reserved.\n" * 20_000 + MIT)
     assert names[:20_000] == ["reserved"] * 20_000 and found == ["MIT", "Proprietary"] and len(spans) == 20_001
@@ -564,6 +609,17 @@ def test_mixing_edge_cases(spark):
     assert mixing.mix_sources(plain).first().source == mixing.OTHER
 
 
+def test_mixing_makes_the_topic_of_the_text_whatever_columns_there_are(spark):
+    rows = [(i, t, "en", "src1") for i, t in texts()[:80]]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for name in ("topic", "Topic"):
+        clash = plain.selectExpr("*", f"'x' as {name}", "'y' as probability")
+        same = lambda df: {r.doc_id: (r.topic, r.probability, r.sampled) for r in mixing.mix_sources(df).collect()}
+        assert same(clash) == same(plain)
+        assert {r.doc_id for r in mixing.sample(clash).collect()} == {r.doc_id for r in mixing.sample(plain).collect()}
+        assert mixing.sample(clash).columns == clash.columns
+
+
 # -- helpers
 
 def test_chunks_and_flat():
