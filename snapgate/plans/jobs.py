@@ -445,6 +445,12 @@ def _load_gold(spark: SparkSession, cfg: DatasetConfig, run: Run, snapshots: Seq
         _emit(al.union_alerts(alerts), run)
 
 
+def compact_history(spark: SparkSession, run: Run, snapshots: Sequence[str] | None = None, limit: int = 32) -> None:
+    """Compact the metric history of snapshots that ran so often that they have more than ``limit`` files."""
+    for kind in pub.listed(spark, run.path("metrics")):
+        mt.compact_metrics(spark, run.path("metrics", kind), snapshots, limit)
+
+
 def run_all(spark: SparkSession, cfg: DatasetConfig, run: Run,
             snapshots: Sequence[str] | None = None) -> None:
     """Ingest to Gold in order; the first gate that refuses stops the run."""
@@ -456,3 +462,4 @@ def run_all(spark: SparkSession, cfg: DatasetConfig, run: Run,
     build_baseline(spark, cfg, run, snapshots)
     detect_drift(spark, cfg, run, snapshots)
     load_gold(spark, cfg, run, snapshots, version)
+    compact_history(spark, run, snapshots)

@@ -45,6 +45,11 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    at, fs = _fs(spark, path)
+    fs.delete(at, False)
+
+
 def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
     """Create a file with its text at once; False, and nothing changed, where it exists already.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from snapgate.functions.text import na_to_null, snapshot_of_path
 from snapgate.operators import profile as pf
 from snapgate.sinks.layers import append_metrics, write_layer
-from snapgate.sinks.scratch import scratch_dir
+from snapgate.sinks.scratch import cut_lineage, scratch_dir
 from snapgate.sources import metrics as mt, snapshots as sn
 from snapgate.sources.raw import CORRUPT, ORDER_COLUMNS, read_layer, read_raw, stamp, with_source_order
 from snapgate.suite.inputs import (CALENDAR, CLEAN, CONTRACT, SNAP, SNAP_KEYS, calendar, out, snap,
@@ -126,6 +126,18 @@ def latest_metric_record(spark, sf):
     return out(mt.latest_record(_run_records(spark, sf), ["dataset"], ["snapshot_date", "run_seq"]))
 
 
+def metric_history_compacted(spark, sf):
+    """Records of many runs in as many files, compacted and then added to: the newest of each category and day."""
+    path = scratch_dir(spark)
+    runs = _run_records(spark, sf).drop("run_seq").groupBy("dataset", "snapshot_date").agg(F.sum("row_count").alias("row_count"))
+    counts = cut_lineage(runs).coalesce(1)
+    for seq in (1, 2, 3):
+        append_metrics(counts.withColumn("row_count", F.col("row_count") * seq).where(F.dayofmonth("snapshot_date") % seq == 0), path, seq, RUN_TS)
+        mt.compact_metrics(spark, path, limit=seq - 1)
+    history = mt.read_metrics(spark, path, "snapshot_date string, dataset string, row_count bigint, run_seq bigint")
+    return mt.latest_record(history, ["dataset", "snapshot_date"], ["run_seq"])
+
+
 def metric_history_union(spark, sf):
     """Two runs append their records as JSON lines; both stay in the history."""
     path = scratch_dir(spark)
@@ -238,6 +250,10 @@ r as (select category as dataset, snapshot_date, cast(substr(period, 2) as bigin
 select dataset, cast(snapshot_date as varchar) as snapshot_date, run_seq, row_count from (
   select *, row_number() over (partition by dataset order by snapshot_date desc, run_seq desc) as rn
   from r) where rn = 1"""),
+    "metric_history_compacted": (metric_history_compacted, f"""with {SNAP},
+c as (select category as dataset, snapshot_date, count(*) as row_count from snap group by all),
+r as (select *, case when day(snapshot_date) % 3 = 0 then 3 when day(snapshot_date) % 2 = 0 then 2 else 1 end as run_seq from c)
+select dataset, cast(snapshot_date as varchar) as snapshot_date, row_count * run_seq as row_count, run_seq from r"""),
     "metric_history_union": (metric_history_union, f"""with {SNAP},
 c as (select snapshot_date, 'category' as "column", category as value, count(*) as n from snap group by all
       union all
