@@ -22,6 +22,8 @@ NUMERIC_DRIFT = "Numeric drift detected: "
 CATEGORICAL_DRIFT = "Categorical drift detected: "
 GOLD_FAILED = "Gold load failed"
 GOLD_LOADED = "Gold load completed successfully"
+INGESTION = "INGESTION"
+FILE_TOO_LATE = "File came too late for its snapshot and was not read"
 RULE_BROKEN = "Rule broken: "
 SILVER_EMPTY = "Silver dataset is empty — no rows loaded"
 ALREADY_PROCESSED = "Snapshot already processed — skipping Gold load"
@@ -108,6 +110,11 @@ def silver_empty(snapshots: DataFrame, run_ts: str) -> DataFrame:
     return alerts_from(snapshots, "WARN", GOLD_LOADER, SILVER_EMPTY, [], run_ts)
 
 
+def late_files(files: DataFrame, run_ts: str) -> DataFrame:
+    """One WARN alert per file that came after its snapshot's time was up."""
+    return alerts_from(files, "WARN", INGESTION, FILE_TOO_LATE, ["path"], run_ts)
+
+
 def already_processed(snapshots: DataFrame, run_ts: str) -> DataFrame:
     return alerts_from(snapshots, "INFO", GOLD_LOADER, ALREADY_PROCESSED, [], run_ts)
 

@@ -119,3 +119,10 @@ def duplicate_counts(df: DataFrame, keys: Sequence[str], by: str = "snapshot_dat
         F.sum(F.col("_n") - 1).alias("duplicate_rows"),
         F.sum(F.when(F.col("_n") > 1, 1).otherwise(0)).cast("bigint").alias("duplicated_keys"),
     )
+
+
+def new_keys(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows whose key ``known`` does not have; keys with NULLs are keys like any other."""
+    there = known.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return rows.join(there, same, "left_anti")

@@ -21,8 +21,8 @@ CLAIMS = "_claims"
 
 
 def write_layer(df: DataFrame, path: str, file_format: str = "parquet", by: str = SNAPSHOT,
-                rebalance: bool = False) -> None:
-    """Replace the partitions ``df`` has rows for and leave the others alone.
+                rebalance: bool = False, append: bool = False) -> None:
+    """Replace the partitions ``df`` has rows for, or with ``append`` add to them, and leave the others alone.
 
     Only dynamic mode is ever used: static mode would delete partitions that are being read.
     With ``rebalance`` rows are first gathered by snapshot into files of the advisory size;
@@ -30,7 +30,7 @@ def write_layer(df: DataFrame, path: str, file_format: str = "parquet", by: str
     """
     if rebalance:
         df = df.hint("rebalance", by)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by)
+    writer = df.write.mode("append" if append else "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by)
     if file_format == "csv":
         writer.option("header", True).option("escape", '"').csv(path)
     else:

@@ -44,14 +44,15 @@ def _refuse(bad: Column, message: str, text: Column) -> Column:
 TOO_MANY = "line with too many cells: "
 
 
-def _csv(spark: SparkSession, root: str, snapshots: Sequence[str] | None, on_corrupt: str = "fail") -> DataFrame:
+def _csv(spark: SparkSession, root: str, snapshots: Sequence[str] | None, on_corrupt: str = "fail",
+         files: Sequence[str] | None = None) -> DataFrame:
     """All cells as text. A line with more cells than the header fails the read, with its text.
 
     With ``on_corrupt='keep'`` such lines stay and their text is in the column ``_corrupt_record``,
     NULL for the other lines. Either holds whichever columns are read. A line with fewer cells has
     NULLs at its end.
     """
-    paths = snapshot_paths(root, snapshots)
+    paths = files or snapshot_paths(root, snapshots)
     schema = _csv_schema(spark, paths, root, False)
     cells = [f.name for f in schema.fields if f.name != SNAPSHOT]
     read = spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
@@ -65,9 +66,9 @@ def _csv(spark: SparkSession, root: str, snapshots: Sequence[str] | None, on_cor
 
 
 def _quoted_csv(spark: SparkSession, root: str, snapshots: Sequence[str] | None, on_corrupt: str = "fail",
-                order: bool = False) -> DataFrame:
+                files: Sequence[str] | None = None, order: bool = False) -> DataFrame:
     """:func:`_csv` where quoted cells may hold line breaks; files are split. ``order`` adds the source order."""
-    paths = snapshot_paths(root, snapshots)
+    paths = files or snapshot_paths(root, snapshots)
     schema = _csv_schema(spark, paths, root, True)
     names = [f.name for f in schema.fields if f.name != SNAPSHOT]
     by = SNAPSHOT if SNAPSHOT in schema.names else None
@@ -94,13 +95,14 @@ def read_csv_text(spark: SparkSession, root: str, snapshots: Sequence[str] | Non
     return na_to_null_all((_quoted_csv if multi_line else _csv)(spark, root, snapshots))
 
 
-def read_parquet(spark: SparkSession, root: str, snapshots: Sequence[str] | None = None) -> DataFrame:
+def read_parquet(spark: SparkSession, root: str, snapshots: Sequence[str] | None = None,
+                 files: Sequence[str] | None = None) -> DataFrame:
     """Parquet snapshots with a text ``snapshot_date``.
 
     Schemas are always merged, so that a column only some snapshots have is there however
     they are asked for.
     """
-    df = spark.read.options(basePath=root, mergeSchema=True).parquet(*snapshot_paths(root, snapshots))
+    df = spark.read.options(basePath=root, mergeSchema=True).parquet(*(files or snapshot_paths(root, snapshots)))
     return df.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("string"))
 
 
@@ -120,17 +122,17 @@ def with_source_order(df: DataFrame, file_format: str) -> DataFrame:
 
 def read_raw(spark: SparkSession, root: str, file_format: str = "csv",
              snapshots: Sequence[str] | None = None, multi_line: bool = False,
-             on_corrupt: str = "fail") -> DataFrame:
-    """The raw layer with its source order; only the given snapshots are listed and read.
+             on_corrupt: str = "fail", files: Sequence[str] | None = None) -> DataFrame:
+    """The raw layer with its source order; only the given snapshots, or files of it, are listed and read.
 
     ``multi_line`` reads quoted line breaks as part of a cell, at the price of a second pass over
     the files (:mod:`snapgate.sources.quoted`).
     """
     if file_format == "csv" and multi_line:
-        return na_to_null_all(_quoted_csv(spark, root, snapshots, on_corrupt, order=True))
+        return na_to_null_all(_quoted_csv(spark, root, snapshots, on_corrupt, files, order=True))
     if file_format == "csv":
-        return na_to_null_all(with_source_order(_csv(spark, root, snapshots, on_corrupt), "csv"))
-    return with_source_order(read_parquet(spark, root, snapshots), "parquet")
+        return na_to_null_all(with_source_order(_csv(spark, root, snapshots, on_corrupt, files), "csv"))
+    return with_source_order(read_parquet(spark, root, snapshots, files), "parquet")
 
 
 def read_layer(spark: SparkSession, root: str, file_format: str = "parquet",
