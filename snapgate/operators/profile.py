@@ -27,10 +27,10 @@ def profile_numeric(df: DataFrame, columns: Sequence[str], by: str = "snapshot_d
                     sort_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
     """``(by, column, count, mean, median, std, min, max, p25, p50, p75)``, all exact.
 
-    ``df`` is read once: the pruned columns are stored, one pass over them counts values in
-    buckets, and from these come all statistics and the first narrowing round of the quantiles,
-    which never collects more than ``sort_rows`` values in one task. NaN counts as missing.
-    Standard deviation is that of the population, 0.0 below two values.
+    One pass over the pruned columns counts values in buckets, and from these come all statistics
+    and the first narrowing round of the quantiles. Only ranges that hold a wanted rank among
+    different values are read again, and never more than ``sort_rows`` values sorted in one task.
+    NaN counts as missing. Standard deviation is that of the population, 0.0 below two values.
     """
     columns = [c for c in columns if c in df.columns]
     if not columns:
@@ -40,14 +40,14 @@ def profile_numeric(df: DataFrame, columns: Sequence[str], by: str = "snapshot_d
 
 
 def numeric_buckets(df: DataFrame, columns: Sequence[str], by: str = "snapshot_date") -> tuple[DataFrame, DataFrame]:
-    """The stored columns as doubles and their stored :func:`quantiles.bucket_table`; the one read of ``df``."""
-    data = cut_lineage(df.select(by, *[nan_to_null(df, c).cast("double").alias(c) for c in columns]))
+    """The columns as doubles and their stored :func:`quantiles.bucket_table`."""
+    data = df.select(by, *[nan_to_null(df, c).cast("double").alias(c) for c in columns])
     return data, cut_lineage(bucket_table(data, [by], columns))
 
 
 def numeric_profile(data: DataFrame, buckets: DataFrame, columns: Sequence[str], by: str = "snapshot_date",
                     sort_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
-    """:func:`profile_numeric` of what :func:`numeric_buckets` stored."""
+    """:func:`profile_numeric` of what :func:`numeric_buckets` gives."""
     # a bucket is a 64th of a factor of e, so a group has some hundreds of them
     moments = pooled(F.sort_array(F.collect_list(F.when(F.col("n") > 0, F.struct("n", "mean", "m2")))))
     out = buckets.groupBy(by, "column").agg(moments.alias("_m"), F.min("lo").alias("min"), F.max("hi").alias("max"))

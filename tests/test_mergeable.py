@@ -93,10 +93,11 @@ def test_distribution_drift(spark):
     assert one(spark, [("a", 0)], [("a", 1)]) == []
 
 
-def test_a_profile_reads_its_rows_once(spark):
-    df = spark.createDataFrame([("a", 1.0), ("a", 3.0)], "snapshot_date string, x double")
-    plan = pf.profile_numeric(df, ["x"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "LocalRelation" not in plan and "LogicalRDD" not in plan   # only the stored columns are read
+def test_a_profile_reads_its_rows_once_and_the_ranges_of_its_quantiles_again(spark):
+    for rows, again in (([("a", 1.0), ("a", 3.0), ("a", 3.0)], 0), ([("a", 1.0 + i / 1e6) for i in range(99)], 1)):
+        df = spark.createDataFrame(rows, "snapshot_date string, x double")
+        plan = pf.profile_numeric(df, ["x"])._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("LocalRelation") + plan.count("LogicalRDD") == again   # the bucket pass is stored
 
 
 def test_jobs_store_window_statistics_exact_figures_and_distributions(spark, tmp_path):
