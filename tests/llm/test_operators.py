@@ -646,3 +646,20 @@ def test_sql_of_the_registered_queries(spark):
         names = [d[0] for d in res.description]
         assert sorted(names) == sorted(df.columns)
         assert sorted(tuple(r[n] for n in names) for r in df.collect()) == sorted(res.fetchall())
+
+
+def test_repeats_and_pieces_of_empty_tables(spark):
+    empty = frame(spark, ODD).limit(0)
+    assert repeats.remove_repeats(empty).collect() == [] and pieces.encode(empty, queries.tokenizer()).collect() == []
+
+
+def test_texts_beyond_a_chunk(spark):
+    """A text of more than a chunk's bytes beside small ones, whole in every operator that works in chunks."""
+    long = " ".join(f"word{i}" for i in range(300_000))
+    assert len(long) > common.CHUNK_BYTES
+    docs = spark.createDataFrame([(1, "short text"), (2, long), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_tokens, r.decoded_sha256) for r in pieces.encode(docs, queries.tokenizer(), with_ids=False).collect()}
+    assert got[2][0] > 300_000 and got[2][1] == hashlib.sha256(long.encode()).hexdigest() and got[3] == (0, hashlib.sha256(b"").hexdigest())
+    kept = {r.doc_id: (r.n_bytes, r.n_removed) for r in repeats.remove_repeats(docs).collect()}
+    assert kept == {1: (10, 0), 2: (len(long), 0), 3: (0, 0)}
+    assert simhash.near_duplicates(docs).count() == 3
