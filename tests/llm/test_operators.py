@@ -3,6 +3,7 @@
 import collections
 import glob
 import hashlib
+import math
 import os
 import random
 import re
@@ -172,14 +173,139 @@ def test_toxicity_of_held_out_labels(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in held)
 
 
+def by_table(symbols, weights):
+    return toxicity.match([toxicity.INPUTS.index(s) for s in symbols], weights, toxicity.composed())
+
+
+def one_after_the_other(symbols, weights):
+    """Matches of a clause by five passes, each over what the one before wrote."""
+    arcs, written = [1.0] * len(symbols), list(symbols)
+    for machine in toxicity.MACHINES:
+        state = 0
+        for i, symbol in enumerate(written):
+            state, written[i], weight = toxicity.step(machine, state, symbol)
+            arcs[i] *= weight
+    out = []
+    for symbol, word, arc, form in zip(symbols, weights, arcs, written, strict=True):
+        if form == "late":
+            out[-1] = "aimed", out[-1][1] * arc
+        elif form in toxicity.FORMS:
+            out.append((form, arc * word if symbol == "I" else arc))
+    return out
+
+
+def forms_by_distance(symbols):
+    """Forms of the matches from the distances between words, without any machine."""
+    last = lambda i, marks: i - max((j for j in range(i) if symbols[j] in marks), default=-100)
+    out, waiting = [], None
+    for i, s in enumerate(symbols):
+        reported = "R" in symbols[:i]
+        if s == "I":
+            out.append("negated" if last(i, "N") <= 3 else "reported" if reported else "aimed" if last(i, "T") <= 3 else "plain")
+        elif s == "V":
+            waiting = None if last(i, "N") <= 3 else i
+            if waiting is not None and last(i, "T") <= 3:
+                out.append("reported" if reported else "threat")
+                waiting = None
+        elif s == "T" and waiting is not None and i - waiting <= 3:
+            out.append("reported" if reported else "threat")
+            waiting = None
+        elif s == "T" and out and out[-1] == "plain":
+            out[-1] = "aimed"
+    return out
+
+
 def test_grammar_forms():
-    forms = lambda s: [f for f, _ in toxicity.match(s, [1.0] * len(s))]
+    forms = lambda s: [f for f, _ in by_table(s, [1.0] * len(s))]
     assert forms("ooI") == ["plain"] and forms("ToI") == ["aimed"] and forms("IT") == ["aimed"]
     assert forms("NoI") == ["negated"] and forms("NooooI") == ["plain"] and forms("RooI") == ["reported"]
     assert forms("VoT") == ["threat"] and forms("TV") == ["threat"] and forms("NVT") == [] and forms("RVT") == ["reported"]
     assert forms("o") == [] and forms("") == []
 
 
+def test_composed_table_equals_the_transducers_one_after_the_other():
+    rng = random.Random(5)
+    for _ in range(20_000):
+        symbols = "".join(rng.choices("oIVTNR", (4, 2, 2, 2, 1, 1), k=rng.randrange(14)))
+        weights = [rng.random() for _ in symbols]
+        found = by_table(symbols, weights)
+        expected = one_after_the_other(symbols, weights)
+        assert [f for f, _ in found] == [f for f, _ in expected] == forms_by_distance(symbols), symbols
+        assert [w for _, w in found] == pytest.approx([w for _, w in expected])
+
+
+def test_arcs_weigh_by_distance():
+    weight = lambda s: by_table(s, [2.0] * len(s))[-1][1]
+    assert weight("NI") < weight("NoI") < weight("NooI") < weight("I") == 2.0
+    assert weight("TI") > weight("ToI") > weight("TooI") > 2.0 > weight("RI")
+    assert weight("VT") > weight("VoT") > weight("VooT")
+
+
+def toxic_words(text):
+    """Words by clause, in bytes."""
+    return [re.findall(rb"[0-9a-z_'\x80-\xff]+", clause) for clause in re.split(rb"[.!?;:\n]", text.lower().encode())]
+
+
+def toxic_entries(word):
+    return [word[:n] for n in (3, 4, 5, 6, 7, 8) if n <= len(word)] + [word + b"$"]
+
+
+def test_toxicity_equals_brute_force(spark):
+    docs, labels = (common.table(spark, "/root/testdata/sf0.001", t) for t in ("documents", "labels"))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    marked = {r.doc_id: r.toxic for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 5}
+    rows = {}
+    for i, toxic in marked.items():
+        rows[texts[i]] = max(toxic, rows.get(texts[i], 0))
+    assert len(marked) <= toxicity.FIT_ROWS
+    n1 = sum(rows.values())
+    n0 = len(rows) - n1
+    counts = collections.defaultdict(lambda: [0, 0])
+    for text, toxic in rows.items():
+        for entry in {e for words in toxic_words(text) for w in words for e in toxic_entries(w)}:
+            counts[entry][toxic] += 1
+    lexicon = {}
+    for entry, (clean, toxic) in counts.items():
+        odds = math.log((toxic + .5) / (n1 + 1)) - math.log((clean + .5) / (n0 + 1)) - 1.64 * math.sqrt(1 / (toxic + .5) + 1 / (clean + .5))
+        if toxic >= 4 and odds >= 1:
+            lexicon[entry] = odds
+    entries, w = toxicity.fit(docs, labels)
+    assert lexicon and sorted(entries.values()) == pytest.approx(sorted(lexicon.values()))
+
+    listed = {x.encode(): s for s, words in (("T", toxicity.TARGETS), ("N", toxicity.NEGATIONS), ("R", toxicity.REPORTS),
+                                             ("V", toxicity.THREATS)) for x in words}
+
+    def score(text):
+        form, matches, largest, n = dict.fromkeys(toxicity.FORMS, 0.0), 0, 0.0, 0
+        for words in toxic_words(text):
+            n += len(words)
+            weights = [max((lexicon.get(e, 0.0) for e in toxic_entries(x)), default=0.0) for x in words]
+            symbols = [listed.get(x, "I" if v else "o") for x, v in zip(words, weights, strict=True)]
+            found = one_after_the_other(symbols, weights)
+            for f, v in found:
+                form[f] += v
+            matches += len(found)
+            largest = max(largest, sum(v for _, v in found))
+        total = sum(form.values())
+        x = [*form.values(), total, 100 * total / max(n, 1), matches, largest]
+        return 1 / (1 + math.exp(-sum(math.log1p(a) * b for a, b in zip(x, w, strict=False)) - w[-1]))
+
+    found = toxicity.with_score(docs, (entries, w)).collect()
+    assert len(found) == len(texts)
+    assert [r.score for r in found] == pytest.approx([score(r.text or "") for r in found], abs=1e-9)
+    ask = toxicity.toxicity(docs, labels).collect()
+    assert {r.doc_id: r.score for r in ask} == pytest.approx({r.doc_id: r.score for r in found}, abs=1e-4)
+
+
+def test_toxicity_of_an_id_with_many_texts(spark):
+    """Texts that share an id, null ids and repeated rows."""
+    docs = frame(spark, [(1, f"you are a vile{i % 7} person") for i in range(60)] + [(2, f"fine day number {i}") for i in range(60)] + [(None, None)] * 2)
+    marks = spark.createDataFrame([(1, 1), (2, 0), (None, 1)], "doc_id long, toxic int")
+    found = toxicity.toxicity(docs, marks).collect()
+    assert len(found) == 122 and all(r.predicted == (r.doc_id == 1) for r in found)
+    assert all(not r.held_out for r in found if r.doc_id is None)
+
+
 def test_toxicity_edge_cases(spark, labels):
     docs = frame(spark, ODD)
     assert toxicity.toxicity(docs, labels).count() == len(ODD)
