@@ -684,15 +684,24 @@ def test_mixing_covers_every_row_and_samples_to_the_targets(spark):
     rows = texts()
     got = queries.op1_mix_sources(spark, "/root/testdata/sf0.1").collect()
     assert len(got) == 10_000 and all(0 <= r.probability <= 1 for r in got)
-    total = sum(r.n_tokens for r in got)
-    expected, drawn = collections.Counter(), collections.Counter()
+    total, reached = sum(r.n_tokens for r in got), got[0].fraction
+    expected, drawn, natural, spread = (collections.Counter() for _ in range(4))
     for r in got:
-        expected[r.lang] += r.n_tokens * r.probability
-        drawn[r.lang] += r.n_tokens * r.sampled
-    assert sum(expected.values()) == pytest.approx(mixing.FRACTION * total, rel=0.05)
-    for lang, share in mixing.TARGETS["lang"].items():
-        assert expected[lang] / sum(expected.values()) == pytest.approx(share, abs=0.02)
-        assert drawn[lang] / sum(drawn.values()) == pytest.approx(share, abs=0.04)
+        for name in mixing.TARGETS:
+            natural[name, r[name]] += r.n_tokens / total
+            expected[name, r[name]] += r.n_tokens * r.probability / total / reached
+            drawn[name, r[name]] += r.n_tokens * r.sampled / total / reached
+            spread[name, r[name]] += (r.n_tokens / total / reached) ** 2 * r.probability * (1 - r.probability)
+    assert {r.share_error for r in got} == {got[0].share_error} and got[0].share_error <= mixing.FITS and 0.3 < reached <= mixing.FRACTION
+    for name, shares in mixing.TARGETS.items():
+        assert sum(v for (n, _), v in expected.items() if n == name) == pytest.approx(1, abs=0.001)
+        apart = 0
+        for value, share in shares.items():
+            share /= sum(shares.values())
+            assert expected[name, value] == pytest.approx(share, abs=0.001)
+            assert drawn[name, value] == pytest.approx(share, abs=4 * math.sqrt(spread[name, value]) + 0.001)
+            apart += abs(natural[name, value] / share - 1) > 0.33
+        assert apart * 2 > len(shares), name              # most targets are far from the natural shares
     small = {r.doc_id: r.n_tokens for r in queries.op1_mix_sources(spark, SF).collect()}
     assert small == {k: len(WORD.findall(t)) for k, t in rows}
 
@@ -713,6 +722,48 @@ def test_mixing_lowers_the_total_until_far_targets_fit(spark):
             assert expected[name, value] / held == pytest.approx(share / sum(shares.values()), abs=0.001), (name, value)
 
 
+def plain_rake(mass, targets, total):
+    """Raking of {(category of each margin): tokens} in plain Python: (cells, largest error of a share)."""
+    cells = {c: m * total / sum(mass.values()) for c, m in mass.items()}
+    error = 1.0
+    for _ in range(500):
+        for axis, shares in enumerate(targets):
+            have = collections.Counter()
+            for c, m in cells.items():
+                have[c[axis]] += m
+            cells = {c: m * shares[c[axis]] * total / have[c[axis]] if have[c[axis]] else 0.0 for c, m in cells.items()}
+        cells = {c: min(m, mass[c]) for c, m in cells.items()}
+        error = 0.0
+        for axis, shares in enumerate(targets):
+            have = collections.Counter()
+            for c, m in cells.items():
+                have[c[axis]] += m
+            error = max([error, *(abs(have[v] - share * total) / total for v, share in shares.items())])
+        if error < 1e-9:
+            break
+    return cells, error
+
+
+def test_probabilities_equal_a_plain_raking(spark):
+    got = queries.op1_mix_sources(spark, SF).collect()
+    mass = collections.Counter()
+    for r in got:
+        mass[r.source, r.lang, r.topic] += r.n_tokens
+    whole, targets = sum(mass.values()), []
+    for axis, shares in enumerate(mixing.TARGETS.values()):
+        there = {c[axis] for c, m in mass.items() if m}
+        assert there <= set(shares)
+        targets.append({v: shares[v] / sum(shares[x] for x in there) for v in there})
+    low, high = 0.5 * whole / 2 ** 12, 0.5 * whole
+    assert plain_rake(mass, targets, high)[1] > 1e-4       # the wanted total does not fit
+    for _ in range(12):
+        middle = (low + high) / 2
+        low, high = (middle, high) if plain_rake(mass, targets, middle)[1] <= 1e-4 else (low, middle)
+    cells, _ = plain_rake(mass, targets, low)
+    assert len({r.fraction for r in got}) == 1 and got[0].fraction == pytest.approx(low / whole)
+    assert [r.probability for r in got] == pytest.approx([cells[r.source, r.lang, r.topic] / mass[r.source, r.lang, r.topic] for r in got], abs=1e-6)
+
+
 def test_raking_down_finds_the_largest_total():
     mass, shares = np.array([[90.0, 1.0], [8.0, 1.0]]), [np.array([.5, .5]), np.array([.5, .5])]
     out, total, error = mixing.rake_down(mass, shares, 50.0)
