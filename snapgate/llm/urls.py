@@ -20,6 +20,8 @@ SIZES = (3, 4, 5)
 FEATURES = 1 << 14
 #: The best of PENALTIES by :func:`cross_validate`, over the labelled table before its last widening.
 PENALTY = 1e-5
+#: Rounds of the regression; each is a Spark job.
+ROUNDS = 30
 PENALTIES = (1e-2, 1e-3, 1e-4, 1e-5)
 FOLDS = 5
 
@@ -196,7 +198,7 @@ def labelled(spark: SparkSession, allowed=ALLOWED, blocked=BLOCKED) -> DataFrame
 
 
 def _regression(penalty=PENALTY) -> LogisticRegression:
-    return LogisticRegression(regParam=penalty, maxIter=100, standardization=False)
+    return LogisticRegression(regParam=penalty, maxIter=ROUNDS, standardization=False)
 
 
 def train(spark: SparkSession, allowed=ALLOWED, blocked=BLOCKED) -> LogisticRegressionModel:
