@@ -12,8 +12,9 @@ counters, at last with all its values.
 
 from __future__ import annotations
 
+import math
 import sys
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -36,6 +37,10 @@ GROWTH = 16
 
 #: Counted values a task holds of a column before it makes a summary of them, in multiples of the summary.
 HELD = 4
+#: Counted values a task holds of a column before it passes their counts on, where all values are counted.
+PASSED = 1 << 18
+#: Values one task counts, where all are.
+COUNTED = 500_000
 
 
 def trimmed(group: np.ndarray, counts: np.ndarray, counters: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,6 +65,19 @@ def _keyed(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     return df.select(key, *[nan_to_null(df, c).cast("string").alias(f"c{i}") for i, c in enumerate(columns)])
 
 
+def _counts_of(table: pa.Table, column: str) -> pa.Table:
+    """``(by, value, n)`` of the values that a column has in a table."""
+    counted = table.select(["by", column]).group_by(["by", column]).aggregate([([], "count_all")])
+    counted = counted.filter(counted.column(column).is_valid())
+    return pa.table(dict(zip(("by", "value", "n"), (counted.column(c) for c in ("by", column, "count_all")))))
+
+
+def _added(tables: list[pa.Table]) -> pa.Table:
+    """Tables ``(by, value, n)`` as one, a row for each value."""
+    table = pa.concat_tables(tables).group_by(["by", "value"]).aggregate([("n", "sum")])
+    return pa.table(dict(zip(("by", "value", "n"), (table.column(c) for c in ("by", "value", "n_sum")))))
+
+
 def summaries(df: DataFrame, columns: Sequence[str], by: str = "snapshot_date", counters: int = COUNTERS,
               only: set | None = None) -> DataFrame:
     """``(by, column, value, n)``: each task's summaries; the row without a value has what was taken.
@@ -74,8 +92,7 @@ def summaries(df: DataFrame, columns: Sequence[str], by: str = "snapshot_date",
 
         def summary(i):
             """The counted values held of a column as one summary for each group."""
-            table = pa.concat_tables(held[i]).group_by(["by", "value"]).aggregate([("n", "sum")])
-            table = pa.table(dict(zip(("by", "value", "n"), (table.column(c) for c in ("by", "value", "n_sum")))))
+            table = _added(held[i])
             if only is not None:
                 mine = pa.array([key for key, column in only if column == names[i]], pa.string())
                 table = table.filter(pc.is_in(table.column("by"), mine))
@@ -88,9 +105,7 @@ def summaries(df: DataFrame, columns: Sequence[str], by: str = "snapshot_date",
         for batch in batches:
             table = pa.Table.from_batches([batch])
             for i in range(len(names)):
-                counted = table.select(["by", f"c{i}"]).group_by(["by", f"c{i}"]).aggregate([([], "count_all")])
-                counted = counted.filter(counted.column(f"c{i}").is_valid())
-                held[i].append(pa.table(dict(zip(("by", "value", "n"), (counted.column(c) for c in ("by", f"c{i}", "count_all"))))))
+                held[i].append(_counts_of(table, f"c{i}"))
                 if sum(map(len, held[i])) > HELD * counters * max(len(errors[i]), 16):
                     held[i] = [summary(i)]
         for i, column in enumerate(names):
@@ -123,8 +138,47 @@ def candidates(summed: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     return near.where(F.col("n") + F.col("error") >= F.coalesce("kth", F.lit(0))).select("by", "column", "value"), proofs
 
 
+def partial_counts(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
+    """``(by, column, value, n)``: each task's counts of all values; those of a value add up to its count.
+
+    A task passes on what it holds of a column when that is more than ``PASSED`` values.
+    """
+    names = list(columns)
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        held = [[] for _ in names]
+
+        def rows(i):
+            table = _added(held[i])
+            held[i] = []
+            return table.add_column(1, "column", pa.array([names[i]] * len(table), pa.string())).combine_chunks().to_batches()
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            for i in range(len(names)):
+                held[i].append(_counts_of(table, f"c{i}"))
+                if sum(map(len, held[i])) > PASSED:
+                    held[i] = [_added(held[i])]
+                    if len(held[i][0]) > PASSED // 2:
+                        yield from rows(i)
+        for i in range(len(names)):
+            if held[i]:
+                yield from rows(i)
+
+    return _keyed(df, names, by).mapInArrow(run, "by string, column string, value string, n long")
+
+
 def _counted(df: DataFrame, columns: Sequence[str], by: str, wanted: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Exact counts of the values ``wanted`` names; it is small and stored, so Spark broadcasts it by its size."""
+    """Exact counts of the values ``wanted`` names; it is small and stored, so Spark broadcasts it by its size.
+
+    Where it names columns, all their values are counted, by a task for every ``COUNTED`` of them:
+    the size of a shuffle tells little of them, as such counts compress well.
+    """
+    if "value" not in on:
+        values = sum(df.agg(*[F.count(nan_to_null(df, c)) for c in columns]).first())
+        parts = partial_counts(df, columns, by).join(F.broadcast(wanted), list(on), "left_semi")
+        dealt = parts.repartition(max(1, math.ceil(values / COUNTED)), "by", "column", "value")
+        return dealt.groupBy("by", "column", "value").agg(F.sum("n").alias("n"))
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("value")) for i, c in enumerate(columns)])
     values = _keyed(df, columns, by).select("by", F.inline(pairs)).where("value is not null")
     return values.join(wanted, list(on), "left_semi").groupBy("by", "column", "value").agg(F.count("*").alias("n"))
@@ -137,7 +191,7 @@ def top_values_bounded(df: DataFrame, columns: Sequence[str], k: int = 5, by: st
     A task holds at most ``counters`` values per snapshot and column. A round that does not prove
     its result reads the columns left once more, with ``GROWTH`` times as many. What ``rounds``
     rounds leave, columns of which the k-th value is about as rare as all others, has all its
-    values counted. Give it a stored table: it is read at least twice.
+    values counted, ``COUNTED`` a task. Give it a stored table: it is read at least twice.
     """
     columns = [c for c in columns if c in df.columns]
     if not columns:

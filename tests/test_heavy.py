@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from snapgate.operators import heavy, profile as pf
 
@@ -58,6 +59,22 @@ def test_a_heavy_column_is_proven_without_counting_all_its_values(spark, skewed,
     assert len(left) == 1 and left[0][1] == ["by", "column", "value"] and left[0][0] < 3 * 200
 
 
+def test_counting_all_values_is_dealt_over_as_many_tasks_as_they_need(spark, monkeypatch):
+    """However well the counts compress in a shuffle, a task counts about ``COUNTED`` values."""
+    monkeypatch.setattr(heavy, "COUNTED", 1000, raising=False)
+    monkeypatch.setattr(heavy, "PASSED", 500, raising=False)
+    n = 40_000
+    df = spark.range(n).selectExpr("concat('d', id % 2) as day", "id as unique", "if(id % 2 = 0, null, id % 7) as few")
+    wanted = spark.createDataFrame([("=d0", "unique"), ("=d1", "unique"), ("=d1", "few")], "by string, column string")
+    counted = heavy._counted(df, ["unique", "few"], "day", wanted, ["by", "column"])
+    of_task = [r["count"] for r in counted.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(of_task) == n + 7 and max(of_task) < 2000
+    assert sorted(r["n"] for r in counted.where("column = 'few'").collect()) == [2857] * 6 + [2858]
+    assert {r["n"] for r in counted.where("column = 'unique'").collect()} == {1}
+    narrow = heavy._counted(df, ["unique", "few"], "day", wanted.where("by = '=d0'"), ["by", "column"])
+    assert narrow.count() == n // 2
+
+
 def test_empty_and_null_tables(spark):
     empty = spark.createDataFrame([], "day date, g string")
     assert heavy.top_values_bounded(empty, ["g"], 5, "day").collect() == []
