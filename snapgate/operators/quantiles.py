@@ -86,8 +86,7 @@ def pick(hist: DataFrame, keys: list[str], order: str, targets: DataFrame | None
         cum = cum.join(targets.select(*keys, "prob", "side", "rank", "frac"), keys)
     start = F.col("_end") - F.col("n")
     hit = cum.where((F.col("rank") >= start) & (F.col("rank") < F.col("_end")))
-    out = [k for k in keys if not k.startswith("_")]
-    return hit.select(*out, "prob", "side", "frac", (F.col("rank") - start).alias("rank"),
+    return hit.select(*keys, order, "prob", "side", "frac", (F.col("rank") - start).alias("rank"),
                       "lo", "hi", "n")
 
 
@@ -103,17 +102,18 @@ def select_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
     :func:`bucket_table` of it where that is at hand.
     """
     by = list(by)
-    values = long_values(df, by, columns)
     keys = [*by, "column"]
     hist = bucket_table(df, by, columns) if buckets is None else buckets
     targets = cut_lineage(pick(hist.where("n > 0").select(*keys, "_b", "n", "lo", "hi"), keys, "_b", None, probs))
-    done = targets.where("lo = hi")
+    values, at = long_values(df, by, columns).withColumn("_b", log_bucket(F.col("value"))), ["_b"]
+    fields = [*keys, "prob", "side", "frac", "rank", "lo", "hi", "n"]
+    ranges = [*keys, "_lo", "_hi"]
+    done = targets.where("lo = hi").select(*fields)
     todo = targets.where("lo < hi")
     largest = _largest(todo)
     while largest:
-        wanted = todo.withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
-        inside = _inside(values, wanted, keys, 2 * len(probs))
-        ranges = [*keys, "_lo", "_hi"]
+        inside = _inside(values, todo, keys, at)
+        wanted = todo.select(*fields).withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
         if largest <= sort_rows:
             ordered = inside.groupBy(*ranges).agg(sorted_values("value").alias("_v"))
             value = F.get("_v", F.col("rank").cast("int"))
@@ -125,10 +125,10 @@ def select_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
         # halving before subtracting keeps the width finite for the widest buckets
         part = F.floor((F.col("value") / 2 - F.col("_lo") / 2)
                        / (F.col("_hi") / 2 - F.col("_lo") / 2) * _SPLIT)
-        hist = (inside.groupBy(*ranges, F.least(part, F.lit(_SPLIT - 1)).alias("_b"))
-                .agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")))
+        values, at = inside.withColumn("_b", F.least(part, F.lit(_SPLIT - 1))), ["_lo", "_hi", "_b"]
+        hist = values.groupBy(*ranges, "_b").agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
         targets = cut_lineage(pick(hist, ranges, "_b", wanted, probs))
-        done = done.unionByName(targets.where("lo = hi"))
+        done = done.unionByName(targets.where("lo = hi").select(*fields))
         todo = targets.where("lo < hi")
         largest = _largest(todo)
     low, high = (F.max(F.when(F.col("side") == s, F.col("lo"))) for s in ("lo", "hi"))
@@ -143,14 +143,11 @@ def _largest(todo: DataFrame) -> int:
     return todo.agg(F.max("n")).first()[0] or 0
 
 
-def _inside(values: DataFrame, wanted: DataFrame, keys: list[str], most: int) -> DataFrame:
-    """The values in a wanted range; a group has at most ``most``, which never overlap.
+def _inside(values: DataFrame, todo: DataFrame, keys: list[str], at: list[str]) -> DataFrame:
+    """``(keys, value, _lo, _hi)``: the values in a wanted bucket, with its least and largest value.
 
-    A group's ranges, two for each probability at most, are packed into one row, so the join
-    neither repeats values nor sends them by range; ``wanted`` is a stored table, broadcast
-    when its measured size allows.
+    ``at`` names a value's bucket in its group, so a value is looked up in one equality join
+    whatever the number of ranges; ``todo`` is a stored table, broadcast when its measured size allows.
     """
-    ranges = wanted.groupBy(*keys).agg(F.collect_set(F.struct("_lo", "_hi")).alias("_ranges"))
-    each = [F.get("_ranges", F.lit(i)) for i in range(most)]
-    hit = F.coalesce(*[F.when(F.col("value").between(r["_lo"], r["_hi"]), r) for r in each])
-    return values.join(ranges, keys).withColumn("_r", hit).where("_r is not null").select(*values.columns, "_r._lo", "_r._hi")
+    ends = todo.select(*keys, *at, F.struct("lo", "hi").alias("_r")).distinct()
+    return values.join(ends, [*keys, *at]).select(*keys, "value", F.col("_r.lo").alias("_lo"), F.col("_r.hi").alias("_hi"))
