@@ -91,7 +91,8 @@ def pick(hist: DataFrame, keys: list[str], order: str, targets: DataFrame | None
 
 
 def select_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
-                     probs: Sequence[float], sort_rows: int = SMALL_GROUP_ROWS, buckets: DataFrame | None = None) -> DataFrame:
+                     probs: Sequence[float], sort_rows: int = SMALL_GROUP_ROWS, buckets: DataFrame | None = None,
+                     members: DataFrame | None = None) -> DataFrame:
     """``(by, column, prob, value)`` exact for groups of any size and any value skew.
 
     Round one uses buckets of equal relative width, which needs no knowledge of the data;
@@ -100,19 +101,28 @@ def select_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
     or when it is counted to hold at most ``sort_rows`` values, which are then sorted. Every
     round scans ``df`` again, column-pruned: give it a stored table. ``buckets`` is the
     :func:`bucket_table` of it where that is at hand.
+
+    With ``members``, a stored table of different pairs ``(by, member)``, a group has the rows of all
+    its members, which are the groups of ``df`` by the one column in ``by``. A member's values are
+    counted once whatever the number of groups it is in, and only those in a range that a group
+    wants are repeated for it.
     """
     by = list(by)
     keys = [*by, "column"]
-    hist = bucket_table(df, by, columns) if buckets is None else buckets
-    targets = cut_lineage(pick(hist.where("n > 0").select(*keys, "_b", "n", "lo", "hi"), keys, "_b", None, probs))
-    values, at = long_values(df, by, columns).withColumn("_b", log_bucket(F.col("value"))), ["_b"]
+    hist = (bucket_table(df, by, columns) if buckets is None else buckets).where("n > 0").select(*keys, "_b", "n", "lo", "hi")
+    values, at = long_values(df, by, columns).withColumn("_b", log_bucket(F.col("value"))), [*keys, "_b"]
+    if members is not None:
+        hist = (hist.withColumnRenamed(by[0], "member").join(members, "member").groupBy(*keys, "_b")
+                .agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+        values, at = values.withColumnRenamed(by[0], "member"), ["member", "column", "_b"]
+    targets = cut_lineage(pick(hist, keys, "_b", None, probs))
     fields = [*keys, "prob", "side", "frac", "rank", "lo", "hi", "n"]
     ranges = [*keys, "_lo", "_hi"]
     done = targets.where("lo = hi").select(*fields)
     todo = targets.where("lo < hi")
     largest = _largest(todo)
     while largest:
-        inside = _inside(values, todo, keys, at)
+        inside = _inside(values, todo if "member" not in at else todo.join(members, by), keys, at)
         wanted = todo.select(*fields).withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
         if largest <= sort_rows:
             ordered = inside.groupBy(*ranges).agg(sorted_values("value").alias("_v"))
@@ -125,7 +135,7 @@ def select_quantiles(df: DataFrame, by: Sequence[str], columns: Sequence[str],
         # halving before subtracting keeps the width finite for the widest buckets
         part = F.floor((F.col("value") / 2 - F.col("_lo") / 2)
                        / (F.col("_hi") / 2 - F.col("_lo") / 2) * _SPLIT)
-        values, at = inside.withColumn("_b", F.least(part, F.lit(_SPLIT - 1))), ["_lo", "_hi", "_b"]
+        values, at = inside.withColumn("_b", F.least(part, F.lit(_SPLIT - 1))), [*ranges, "_b"]
         hist = values.groupBy(*ranges, "_b").agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
         targets = cut_lineage(pick(hist, ranges, "_b", wanted, probs))
         done = done.unionByName(targets.where("lo = hi").select(*fields))
@@ -146,8 +156,8 @@ def _largest(todo: DataFrame) -> int:
 def _inside(values: DataFrame, todo: DataFrame, keys: list[str], at: list[str]) -> DataFrame:
     """``(keys, value, _lo, _hi)``: the values in a wanted bucket, with its least and largest value.
 
-    ``at`` names a value's bucket in its group, so a value is looked up in one equality join
-    whatever the number of ranges; ``todo`` is a stored table, broadcast when its measured size allows.
+    ``at`` names a value's bucket, so a value is looked up in one equality join whatever the number
+    of ranges; ``todo`` is a stored table, broadcast when its measured size allows.
     """
-    ends = todo.select(*keys, *at, F.struct("lo", "hi").alias("_r")).distinct()
-    return values.join(ends, [*keys, *at]).select(*keys, "value", F.col("_r.lo").alias("_lo"), F.col("_r.hi").alias("_hi"))
+    ends = todo.select(*dict.fromkeys([*keys, *at]), F.struct("lo", "hi").alias("_r")).distinct()
+    return values.join(ends, at).select(*keys, "value", F.col("_r.lo").alias("_lo"), F.col("_r.hi").alias("_hi"))

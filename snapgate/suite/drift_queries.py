@@ -145,7 +145,7 @@ def window_quantiles(spark, sf):
     """Quartiles over the window's rows from stored bucket counts: do they hold the exact ones, found from the rows?"""
     history, members, s = _windowed(spark, sf, lambda s: mg.bucket_counts(s, NUMERIC))
     rough = mg.window_quantiles(history, [0.25, 0.5, 0.75])
-    exact = select_quantiles(cut_lineage(_window_rows(members, s, NUMERIC)), ["snapshot_date"], NUMERIC, [0.25, 0.5, 0.75])
+    exact = select_quantiles(s, ["snapshot_date"], NUMERIC, [0.25, 0.5, 0.75], members=members)
     both = rough.join(exact.withColumnRenamed("value", "exact"), ["snapshot_date", "column", "prob"])
     width = F.abs("exact") * (math.exp(1 / 64) - 1) * 1.001 + 1e-9
     holds = F.col("exact").between(F.col("low"), F.col("high")) & (F.abs(F.col("value") - F.col("exact")) <= width)
