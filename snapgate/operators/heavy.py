@@ -41,6 +41,8 @@ HELD = 4
 PASSED = 1 << 18
 #: Values one task counts, where all are.
 COUNTED = 500_000
+#: At most so many such tasks: a shuffle to more of them holds its rows in memory to sort them.
+MOST_TASKS = 200
 
 
 def trimmed(group: np.ndarray, counts: np.ndarray, counters: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -171,13 +173,13 @@ def partial_counts(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
 def _counted(df: DataFrame, columns: Sequence[str], by: str, wanted: DataFrame, on: Sequence[str]) -> DataFrame:
     """Exact counts of the values ``wanted`` names; it is small and stored, so Spark broadcasts it by its size.
 
-    Where it names columns, all their values are counted, by a task for every ``COUNTED`` of them:
+    Where it names columns, all their values are counted, by a task for every ``COUNTED`` of them, at most ``MOST_TASKS``:
     the size of a shuffle tells little of them, as such counts compress well.
     """
     if "value" not in on:
         values = sum(df.agg(*[F.count(nan_to_null(df, c)) for c in columns]).first())
         parts = partial_counts(df, columns, by).join(F.broadcast(wanted), list(on), "left_semi")
-        dealt = parts.repartition(max(1, math.ceil(values / COUNTED)), "by", "column", "value")
+        dealt = parts.repartition(min(MOST_TASKS, max(1, math.ceil(values / COUNTED))), "by", "column", "value")
         return dealt.groupBy("by", "column", "value").agg(F.sum("n").alias("n"))
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("value")) for i, c in enumerate(columns)])
     values = _keyed(df, columns, by).select("by", F.inline(pairs)).where("value is not null")
@@ -191,7 +193,7 @@ def top_values_bounded(df: DataFrame, columns: Sequence[str], k: int = 5, by: st
     A task holds at most ``counters`` values per snapshot and column. A round that does not prove
     its result reads the columns left once more, with ``GROWTH`` times as many. What ``rounds``
     rounds leave, columns of which the k-th value is about as rare as all others, has all its
-    values counted, ``COUNTED`` a task. Give it a stored table: it is read at least twice.
+    values counted, ``COUNTED`` a task up to 200 tasks. Give it a stored table: it is read at least twice.
     """
     columns = [c for c in columns if c in df.columns]
     if not columns:
